@@ -96,7 +96,7 @@ def to_envelope(records: DataFrame, ingest_ts: str = K.AS_OF,
 def flatten_envelope(env: DataFrame) -> DataFrame:
     """Envelope -> flat columns (report / oracle shape)."""
     d = [f.name for f in env.schema["data"].dataType.fields]
-    top = [c for c in env.columns if c != "data"]
+    top = [c for c in env.columns if c not in ("data", "doc_type")]
     return env.select(*top, *[F.col(f"data.{c}").alias(c if c != "type" else "doc_type") for c in d])
 
 
@@ -140,3 +140,33 @@ def to_json_value(df: DataFrame, ignore_null_fields: bool = True) -> DataFrame:
     """Each row as one JSON ``value`` (B1 / C11)."""
     opts = {} if ignore_null_fields else {"ignoreNullFields": "false"}
     return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns]), opts).alias("value"))
+
+
+def decode_json(records: DataFrame, schema, value: str = "value", keep=("topic", "partition", "offset", "timestamp_ms"),
+                objects_only: bool = True) -> DataFrame:
+    """``from_json(value, schema)`` expanded to columns.
+
+    ``from_json`` turns text that is not a JSON object into a row of NULLs
+    rather than NULL (D6); with ``objects_only`` such records are dropped here
+    (they are the dead-letter / ``unknown`` side of the envelope).
+    """
+    df = records
+    if objects_only:
+        df = df.where(F.try_parse_json(F.col(value)).isNotNull() &
+                      F.ltrim(F.col(value)).startswith("{"))
+    keep = [c for c in keep if c in records.columns]
+    return df.select(*keep, F.from_json(F.col(value), schema).alias("_tm_data")).select(
+        *keep, "_tm_data.*")
+
+
+def read_topics(records: DataFrame, topics, schema, topic: str = "topic", **kw) -> DataFrame:
+    """One reader over several topics (A2/O5): a single filter + decode with
+    the union schema instead of one scan per topic and a union."""
+    return decode_json(records.where(F.col(topic).isin(*list(topics))), schema, **kw)
+
+
+def load_bars(df: DataFrame, date: str = "date") -> DataFrame:
+    """Historical bar table -> lower-case columns, ``date`` as 'yyyy-MM-dd' (A6)."""
+    t = df.toDF(*[c.lower() for c in df.columns])
+    return t.withColumn(date.lower(), F.date_format(F.col(date.lower()).cast("timestamp"),
+                                                    "yyyy-MM-dd"))

@@ -129,7 +129,7 @@ def score_updates(env: DataFrame, processed_at: str, scorer: Scorer | None = Non
     """Scores for the unscored raw documents: key + new label/score (B5 input)."""
     from tidemark.operators.daily import unscored_texts
     todo = unscored_texts(env, types).select(*DOC_KEY, F.col("data.text").alias("text"))
-    s = batch_score(todo, "text", scorer)
+    s = batch_score(todo, "text", scorer).where(F.col("sentiment_label").isNotNull())
     return s.select(*DOC_KEY, "text", "sentiment_label", "sentiment_score",
                     F.lit(processed_at).alias("processed_at"))
 

@@ -6,6 +6,6 @@ from tidemark.plans import oracle as O
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
-        "training_frame": O.training_frame(),
-    }
+    q = {"training_frame": O.training_frame()}
+    q.update(O.batch_sql())
+    return {k: O.nudge_rounding(v) for k, v in q.items()}
