@@ -448,3 +448,34 @@ FROM (SELECT s.symbol, s.date, s.split, {scaled} FROM split s, fit)"""
 SELECT symbol, date, {', '.join(f'round({c}, 6) AS {c}' for c in feats)} FROM (
   SELECT symbol, date, {inv} FROM (SELECT s.symbol, s.date, {scaled}, fit.* FROM split s, fit))"""
     return q
+
+
+def stream_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    b = batch_sql()
+    q["stream_json_source"] = b["json_decode"]
+    q["topic_counts"] = b["row_counts"]
+    q["envelope_sink"] = b["envelope_all"]
+    q["stream_daily_sentiment"] = b["daily_sentiment"]
+    valid = "event_id % 101 <> 0 AND event_id % 97 <> 0"
+    q["stream_scored"] = with_(EV) + f"""
+SELECT CAST(event_id AS VARCHAR) AS id, comp AS company,
+  CASE WHEN event_id % 7 = 0 THEN '' ELSE iso END AS timestamp, txt AS text,
+  event_id % 7 AS replyCount, event_id % 11 AS likeCount, event_id % 3 AS quoteCount,
+  event_id % 5 AS repostCount, {kw_label('txt')} AS sentiment
+FROM ev WHERE topic = 'twitter_raw' AND {valid}"""
+    q["stream_restart"] = with_(EV, MESSAGES) + \
+        '\nSELECT topic, partition, "offset" AS offset FROM messages'
+    q["index_sink"] = with_(EV) + f"""
+SELECT event_id AS offset, CAST(event_id AS VARCHAR) AS id, comp AS company, txt AS text,
+  label AS sentiment_label, round(score, 6) AS sentiment_score, iso AS timestamp
+FROM ev WHERE topic = 'sentiment_scored' AND {valid}"""
+    upd = f"doc_type IN {RAW} AND sentiment_score IS NULL AND text IS NOT NULL"
+    q["incremental_scoring"] = env_query(f"""
+SELECT source_topic, kafka_partition, kafka_offset, text, {kw_label('text')} AS sentiment_label,
+  round({polarity(kw_label('text'))}, 6) AS sentiment_score, '{K.AS_OF}' AS processed_at
+FROM env WHERE {upd}""")
+    q["dead_letter"] = with_(EV, MESSAGES) + """
+SELECT topic AS source_topic, "offset" AS kafka_offset, value AS payload
+FROM messages WHERE NOT json_valid(value)"""
+    return q

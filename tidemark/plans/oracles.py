@@ -8,4 +8,5 @@ from tidemark.plans import oracle as O
 def oracle_sql() -> dict[str, str]:
     q = {"training_frame": O.training_frame()}
     q.update(O.batch_sql())
+    q.update(O.stream_sql())
     return {k: O.nudge_rounding(v) for k, v in q.items()}

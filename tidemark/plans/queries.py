@@ -477,3 +477,10 @@ def q_minmax_inverse(spark, d):
     inv = minmax_inverse(s.select("symbol", "date", *[F.col(c + "_s").alias(c) for c in BAR_FEATURES]),
                          fit, BAR_FEATURES)
     return inv
+
+
+@query("dead_letter")
+def q_dead_letter(spark, d):
+    """Records whose value is not JSON, kept in their own partition."""
+    return B.dead_letter_docs(spark, d).select("source_topic", "kafka_offset",
+                                               F.col("data.payload").alias("payload"))

@@ -62,3 +62,13 @@ POST = (T.StructType()
         .add("record", T.StructType().add("createdAt", T.StringType()).add("text", T.StringType()))
         .add("replyCount", T.IntegerType()).add("likeCount", T.IntegerType())
         .add("repostCount", T.IntegerType()).add("quoteCount", T.IntegerType()))
+
+
+def extend(schema: T.StructType, *fields: tuple[str, T.DataType]) -> T.StructType:
+    """A new struct with extra fields (``StructType.add`` mutates in place)."""
+    return T.StructType(list(schema.fields) + [T.StructField(n, t) for n, t in fields])
+
+
+# The envelope store as written: envelope + record key + the type partition column.
+ENVELOPE_STORED = extend(ENVELOPE, ("kafka_partition", T.IntegerType()),
+                         ("kafka_offset", T.LongType()), ("doc_type", T.StringType()))
