@@ -479,3 +479,41 @@ FROM env WHERE {upd}""")
 SELECT topic AS source_topic, "offset" AS kafka_offset, value AS payload
 FROM messages WHERE NOT json_valid(value)"""
     return q
+
+
+def ml_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    feats = ["open", "high", "low", "close", "volume", "target_price"]
+    fit_cols = ", ".join(f"min({c}) AS min_{c}, max({c}) AS max_{c}" for c in feats)
+    scaled = ", ".join(
+        f"CASE WHEN fit.max_{c} - fit.min_{c} = 0 THEN -1.0::DOUBLE ELSE "
+        f"(s.{c} - fit.min_{c}) / (fit.max_{c} - fit.min_{c}) * 2.0 + -1.0 END AS {c}" for c in feats)
+    L = K.SEQUENCE_LENGTH
+    q["sequence_dataset"] = with_(EV, BARS, """
+t0 AS (SELECT * FROM (SELECT *, lead(open) OVER (PARTITION BY symbol ORDER BY date) AS target_price
+                      FROM bars) WHERE target_price IS NOT NULL),
+numbered AS (SELECT *, row_number() OVER (ORDER BY date, symbol) AS row_id,
+                    count(*) OVER () AS n_rows FROM t0),
+split AS (SELECT *, CASE WHEN row_id <= floor(0.7::DOUBLE * n_rows) THEN 'train'
+                         WHEN row_id <= floor(0.85::DOUBLE * n_rows) THEN 'val' ELSE 'test' END AS split
+          FROM numbered)""", f"fit AS (SELECT {fit_cols} FROM split WHERE split = 'train')",
+                                 f"sc AS (SELECT s.split, s.symbol, s.date, {scaled} FROM split s, fit)",
+                                 f"""
+w AS (SELECT *, row_number() OVER (PARTITION BY split, symbol ORDER BY date) AS rn,
+             count(*) OVER (PARTITION BY split, symbol) AS n,
+             sum(close) OVER (PARTITION BY split, symbol ORDER BY date
+                              ROWS BETWEEN {L - 1} PRECEDING AND CURRENT ROW) AS sum_close,
+             first_value(volume) OVER (PARTITION BY split, symbol ORDER BY date
+                              ROWS BETWEEN {L - 1} PRECEDING AND CURRENT ROW) AS first_volume
+      FROM sc)""") + f"""
+SELECT split, symbol, rn - {L} AS idx, round(sum_close, 6) AS sum_close,
+  round(first_volume, 6) AS first_volume, round(target_price, 6) AS y
+FROM w WHERE rn >= {L} AND rn <= n - 1"""
+    q["batch_score"] = f"""
+SELECT doc_id, {kw_label('text', ('hate',), ('great',))} AS sentiment_label,
+  round({polarity(kw_label('text', ('hate',), ('great',)))}, 6) AS sentiment_score FROM documents"""
+    q["per_symbol_apply"] = with_(EV, BARS) + """
+SELECT symbol, substr(date, 1, 7) AS month, count(*) AS n_rows, round(avg(close), 6) AS mean_close,
+  round(arg_max(close, date), 6) AS last_close FROM bars GROUP BY 1, 2"""
+    q["rebuild_table"] = with_(EV, BARS) + f"\nSELECT symbol, date, {BAR_ROUND} FROM bars"
+    return q

@@ -9,4 +9,5 @@ def oracle_sql() -> dict[str, str]:
     q = {"training_frame": O.training_frame()}
     q.update(O.batch_sql())
     q.update(O.stream_sql())
+    q.update(O.ml_sql())
     return {k: O.nudge_rounding(v) for k, v in q.items()}
