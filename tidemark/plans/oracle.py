@@ -517,3 +517,17 @@ SELECT symbol, substr(date, 1, 7) AS month, count(*) AS n_rows, round(avg(close)
   round(arg_max(close, date), 6) AS last_close FROM bars GROUP BY 1, 2"""
     q["rebuild_table"] = with_(EV, BARS) + f"\nSELECT symbol, date, {BAR_ROUND} FROM bars"
     return q
+
+
+def long_series_sql() -> str:
+    return """
+WITH ls AS (
+  SELECT 'P' || CAST(l_partkey % 50 AS VARCHAR) AS symbol, strftime(l_shipdate, '%Y-%m-%d') AS date,
+         l_extendedprice AS close, l_orderkey, l_linenumber FROM lineitem),
+p AS (SELECT *, last_value(close IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY date, l_orderkey, l_linenumber
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c FROM ls)
+SELECT symbol, date, l_orderkey, l_linenumber, round(close, 6) AS close,
+  round(c / nullif(lag(c) OVER w, 0) - 1, 6) AS ret, row_number() OVER w AS rn,
+  round(avg(close) OVER (PARTITION BY symbol ORDER BY date, l_orderkey, l_linenumber
+        ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 6) AS close_mean_5
+FROM p WINDOW w AS (PARTITION BY symbol ORDER BY date, l_orderkey, l_linenumber)"""

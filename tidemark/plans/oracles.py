@@ -10,4 +10,5 @@ def oracle_sql() -> dict[str, str]:
     q.update(O.batch_sql())
     q.update(O.stream_sql())
     q.update(O.ml_sql())
+    q["long_series_features"] = O.long_series_sql()
     return {k: O.nudge_rounding(v) for k, v in q.items()}

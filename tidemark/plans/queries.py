@@ -484,3 +484,17 @@ def q_dead_letter(spark, d):
     """Records whose value is not JSON, kept in their own partition."""
     return B.dead_letter_docs(spark, d).select("source_topic", "kafka_offset",
                                                F.col("data.payload").alias("payload"))
+
+
+@query("long_series_features")
+def q_long_series_features(spark, d):
+    """W1/W5/W11 on 50 long series from ``lineitem`` (several rows per date,
+    tie-breaker (orderkey, linenumber)): return, position and 5-row mean."""
+    from tidemark.operators.series import pct_change, positions, rolling_mean
+    order = ["date", "l_orderkey", "l_linenumber"]
+    ls = B.long_series(spark, d).select("symbol", "date", "close", "l_orderkey", "l_linenumber")
+    t = pct_change(ls, "close", "ret", ["symbol"], order, _month())
+    t = positions(t, ["symbol"], order, _month(), pos="rn", total=None)
+    t = rolling_mean(t, "close", 5, "close_mean_5", ["symbol"], order, _month(), chunk_rows=4096)
+    return t.select("symbol", "date", "l_orderkey", "l_linenumber", "close", "ret", "rn",
+                    "close_mean_5")
