@@ -99,7 +99,7 @@ def sequence_dataset(frame: DataFrame, length: int, features: Sequence[str], tar
     from tidemark.operators.scaling import minmax_fit, minmax_scale
     from tidemark.operators.series import sequence_windows
     cols = list(features) + [target]
-    fit = minmax_fit(frame.where(F.col(split) == "train"), cols)
+    fit = minmax_fit(frame.where(F.col(split) == "train"), cols).first().asDict()
     scaled = minmax_scale(frame, fit, cols)
     seq = sequence_windows(scaled, length, features, target, [split, *keys], list(order),
                            bucket=bucket)

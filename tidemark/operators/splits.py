@@ -26,9 +26,10 @@ def global_row_id(df: DataFrame, order: Sequence[str], out: str = "row_id",
     ``out`` and ``n_rows`` (the total count, for split cut points)."""
     from tidemark.session import scratch_dir
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(c) for c in order]
-    ranged = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    # no fixed count: AQE sizes the range partitions from the data
+    ranged = (df.repartitionByRange(partitions, *cols) if partitions
+              else df.repartitionByRange(*cols)).sortWithinPartitions(*cols)
     tagged = ranged.withColumn("_tm_mid", F.monotonically_increasing_id())
     if checkpoint:
         scratch_dir(spark, "rowid")          # makes sure a checkpoint dir is set

@@ -472,7 +472,7 @@ def q_minmax_inverse(spark, d):
     """X9 inverse: scaled features mapped back (round trip of the fit)."""
     from tidemark.operators.scaling import minmax_fit, minmax_inverse, minmax_scale
     t = _train_bars(spark, d)
-    fit = minmax_fit(t.where(F.col("split") == "train"), BAR_FEATURES)
+    fit = minmax_fit(t.where(F.col("split") == "train"), BAR_FEATURES).first().asDict()
     s = minmax_scale(t, fit, BAR_FEATURES, suffix="_s")
     inv = minmax_inverse(s.select("symbol", "date", *[F.col(c + "_s").alias(c) for c in BAR_FEATURES]),
                          fit, BAR_FEATURES)

@@ -41,9 +41,9 @@ def q_stream_scored(spark, d):
     """Text topic -> parse -> keyword score -> JSON value sink; the sink
     is read back and decoded."""
     out = scratch_dir(spark, "stream_scored")
-    scored = P.scored_stream(file_stream(spark, _log_path(spark, d)))
-    values = P.json_value_stream(scored.drop("topic", "partition", "offset"))
-    P.run(values.writeStream.format("json").option("path", out + "/data"), out + "/_checkpoint")
+    scored = P.scored_stream(file_stream(spark, _log_path(spark, d), max_files_per_trigger=4))
+    sink = P.fan_out(P.json_value_writer(out + "/data"), P.topic_count_writer(out + "/counts"))
+    P.run(scored.writeStream.foreachBatch(sink), out + "/_checkpoint")
     sink_schema = schemas.extend(schemas.TEXT, ("sentiment", T.StringType()))
     back = spark.read.schema("key string, value string").json(out + "/data")
     return back.select(F.from_json("value", sink_schema).alias("m")).select("m.*")

@@ -44,6 +44,43 @@ def batch_dir_writer(path: str, partition_by: list[str] | None = None,
     return write
 
 
+def fan_out(*writers: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """T4: one source read feeding several sinks. The micro-batch is persisted
+    once, every writer runs on it, then it is released. (The reference ran
+    one streaming query per sink, each re-reading the topic and re-scoring.)"""
+    def write(df: DataFrame, batch_id: int) -> None:
+        df.persist()
+        try:
+            for w in writers:
+                w(df, batch_id)
+        finally:
+            df.unpersist()
+    return write
+
+
+def console_writer(df: DataFrame, truncate: bool = False, rows: int = 20):
+    """B2: untruncated console output of a stream (debugging)."""
+    return (df.writeStream.outputMode("append").format("console")
+              .option("truncate", str(truncate).lower()).option("numRows", str(rows)))
+
+
+def topic_count_writer(path: str) -> Callable[[DataFrame, int], None]:
+    """Per-batch record count by topic, one small row set per batch."""
+    def write(df: DataFrame, batch_id: int) -> None:
+        (df.groupBy("topic").agg(F.count(F.lit(1)).alias("n_rows"))
+           .withColumn("batch_id", F.lit(batch_id))
+           .write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}"))
+    return write
+
+
+def json_value_writer(path: str, key: str | None = "id") -> Callable[[DataFrame, int], None]:
+    """B1 as a batch writer: rows -> JSON values (a topic sink stand-in)."""
+    def write(df: DataFrame, batch_id: int) -> None:
+        json_value_stream(df.drop("topic", "partition", "offset"), key).write.mode(
+            "overwrite").json(f"{path}/batch_id={batch_id}")
+    return write
+
+
 # ---------------------------------------------------------------- A1 / T1 / B1
 def parsed_stream(records: DataFrame, schema, topic: str | None = None) -> DataFrame:
     """A1: records of one topic decoded with a fixed schema (non-objects dropped, D6)."""
