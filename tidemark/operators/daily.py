@@ -11,13 +11,20 @@ from tidemark.functions.text import falsy_to_null
 
 
 # ---------------------------------------------------------------- scans
+def type_is(env: DataFrame, *types: str) -> Column:
+    """Document-type predicate. On the stored envelope (partitioned by
+    ``doc_type``) this prunes whole partitions; otherwise it tests ``data.type``."""
+    c = F.col("doc_type") if "doc_type" in env.columns else F.col("data.type")
+    return c == types[0] if len(types) == 1 else c.isin(*types)
+
+
 def price_scan(env: DataFrame) -> DataFrame:
     """Price documents, projected to the 7 fields the feature job needs (A4/F1).
 
     The nested-field filter and projection reach the Parquet scan (nested
     schema pruning + pushed filter on ``data.type``) when ``env`` is a table.
     """
-    return (env.where(F.col("data.type") == "price")
+    return (env.where(type_is(env, "price"))
                .select("symbol", "timestamp",
                        F.col("data.closing_price").alias("closing_price"),
                        F.col("data.opening_price").alias("opening_price"),
@@ -39,7 +46,7 @@ def unscored_texts(env: DataFrame, types=None) -> DataFrame:
     """Raw social documents that have no score yet (A5: ``$in`` + ``$exists: false``)."""
     from tidemark.constants import RAW_TEXT_TYPES
     types = list(types or RAW_TEXT_TYPES)
-    return env.where(F.col("data.type").isin(*types) & F.col("data.sentiment_score").isNull())
+    return env.where(type_is(env, *types) & F.col("data.sentiment_score").isNull())
 
 
 def sample_by_type(env: DataFrame, order=("kafka_timestamp_ms", "kafka_offset")) -> DataFrame:
@@ -72,7 +79,7 @@ def lookback_filter(docs: DataFrame, as_of: str, days: int, ts: str = "timestamp
 
 def sentiment_docs(env: DataFrame) -> DataFrame:
     """Envelope sentiment documents flattened to (company, timestamp, label, score, id)."""
-    return env.where(F.col("data.type") == "sentiment").select(
+    return env.where(type_is(env, "sentiment")).select(
         F.col("symbol").alias("company"), "timestamp",
         F.col("data.sentiment_label").alias("label"),
         F.col("data.sentiment_score").alias("score"), F.col("data.id").alias("id"))

@@ -116,9 +116,10 @@ def batch_score(df: DataFrame, text: str = "text", scorer: Scorer | None = None,
 
 
 def unscored_antijoin(items: DataFrame, scored: DataFrame, key: str) -> DataFrame:
-    """Items with no row in the scored table (J5). Only the key of the scored
-    side is shuffled; at scale this is a sort-merge or (AQE) broadcast anti join."""
-    return items.join(scored.select(key).distinct(), key, "left_anti")
+    """Items with no row in the scored table (J5). Only the key column of the
+    scored side is read; duplicates there need no ``distinct`` (an anti join
+    never multiplies rows). Sort-merge, or broadcast when AQE measures it small."""
+    return items.join(scored.select(key), key, "left_anti")
 
 
 DOC_KEY = ("source_topic", "kafka_partition", "kafka_offset")
