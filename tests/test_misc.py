@@ -6,10 +6,10 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from tidemark.operators.envelope import load_bars
-from tidemark.operators.ml import gbt_pipeline, simulated_sentiment
+from tidemark.operators.ml import gbt_estimator, simulated_sentiment
 from tidemark.operators.scoring import LexiconScorer, Scorer, batch_score
 from tidemark.schemas import TOPIC_RECORD
-from tidemark.streaming import pipelines as P
+from tidemark.streaming import jobs as P
 from tidemark.streaming.sources import file_stream
 
 
@@ -56,8 +56,8 @@ def test_pluggable_scorer_loaded_once_per_worker(spark):
     assert lex == {"A": "POSITIVE", "B": "NEGATIVE", "C": None}
 
 
-def test_gbt_pipeline_small(spark):
+def test_gbt_estimator_small(spark):
     df = spark.createDataFrame([(float(i), float(i % 3), float(2 * i)) for i in range(30)],
                                "open double, avg_sentiment double, target_price double")
-    m = gbt_pipeline(["open", "avg_sentiment"], params={"maxIter": 3}).fit(df)
+    m = gbt_estimator(["open", "avg_sentiment"], params={"maxIter": 3}).fit(df)
     assert m.transform(df).where(F.col("prediction").isNull()).count() == 0

@@ -31,7 +31,7 @@ def test_entry(spark):
 def test_every_query_has_an_oracle_or_is_model_output():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) <= SLOW | {"to_json_value"}
+    assert set(q) - set(o) <= SLOW
 
 
 @pytest.mark.parametrize("name", sorted(set(E.oracle_sql())))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.envelope import to_envelope
 from tidemark.schemas import TOPIC_RECORD
-from tidemark.streaming import pipelines as P
+from tidemark.streaming import jobs as P
 from tidemark.streaming.sources import file_stream, kafka_options
 
 

@@ -31,7 +31,7 @@ def simulated_sentiment(df: DataFrame, out: str = "avg_sentiment", seed: int = 4
     return df.withColumn(out, u * 2.0 - 1.0)
 
 
-def gbt_pipeline(features: Sequence[str], label: str = "target_price", params: dict | None = None,
+def gbt_estimator(features: Sequence[str], label: str = "target_price", params: dict | None = None,
                  scaled: bool = True) -> Pipeline:
     """M1-M4: VectorAssembler -> MinMaxScaler -> GBTRegressor."""
     p = dict(GBT_PARAMS)
@@ -48,7 +48,7 @@ def gbt_pipeline(features: Sequence[str], label: str = "target_price", params: d
 def fit_and_predict(frame: DataFrame, features: Sequence[str], label: str = "target_price",
                     split: str = "split", params: dict | None = None):
     """Fit on ``split == 'train'``, predict every row. Returns (model, predictions)."""
-    model = gbt_pipeline(features, label, params).fit(frame.where(F.col(split) == "train"))
+    model = gbt_estimator(features, label, params).fit(frame.where(F.col(split) == "train"))
     pred = model.transform(frame).drop("features", "scaled_features")
     return model, pred
 

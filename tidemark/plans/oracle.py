@@ -531,3 +531,14 @@ SELECT symbol, date, l_orderkey, l_linenumber, round(close, 6) AS close,
   round(avg(close) OVER (PARTITION BY symbol ORDER BY date, l_orderkey, l_linenumber
         ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 6) AS close_mean_5
 FROM p WINDOW w AS (PARTITION BY symbol ORDER BY date, l_orderkey, l_linenumber)"""
+
+
+def json_value_sql() -> str:
+    """``to_json`` leaves NULL fields out; the template text (and with it the
+    label) is NULL on every 50th event."""
+    label = kw_label("txt")
+    full = f"json_object('id', CAST(event_id AS VARCHAR), 'company', comp, 'timestamp', iso, 'text', txt, 'sentiment', {label})"
+    short = "json_object('id', CAST(event_id AS VARCHAR), 'company', comp, 'timestamp', iso)"
+    return with_(EV) + f"""
+SELECT CASE WHEN txt IS NULL THEN {short} ELSE {full} END::VARCHAR AS value
+FROM ev WHERE event_type IN ('error','purchase','signup')"""

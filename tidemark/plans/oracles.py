@@ -11,4 +11,5 @@ def oracle_sql() -> dict[str, str]:
     q.update(O.stream_sql())
     q.update(O.ml_sql())
     q["long_series_features"] = O.long_series_sql()
+    q["to_json_value"] = O.json_value_sql()
     return {k: O.nudge_rounding(v) for k, v in q.items()}

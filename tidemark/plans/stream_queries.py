@@ -13,7 +13,7 @@ from tidemark import schemas
 from tidemark.plans.queries import query
 from tidemark.session import scratch_dir
 from tidemark.sources import bindings as B
-from tidemark.streaming import pipelines as P
+from tidemark.streaming import jobs as P
 from tidemark.streaming.sources import file_stream
 
 

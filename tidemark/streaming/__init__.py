@@ -1 +1 @@
-"""Structured Streaming jobs (T1-T8): sources, pipelines and idempotent sinks."""
+"""Structured Streaming jobs (T1-T8): sources, jobs and idempotent sinks."""

@@ -163,13 +163,15 @@ def index_writer(index_path: str, dead_path: str, id_col: str = "id"):
     table instead of failing the batch (T8); the rest are written keyed by id.
     """
     def write(df: DataFrame, batch_id: int) -> None:
-        ok = F.col(id_col).isNotNull()
-        flagged = df.withColumn("_tm_ok", ok)
-        flagged.where("_tm_ok").drop("_tm_ok").write.mode("overwrite").parquet(
-            f"{index_path}/batch_id={batch_id}")
-        flagged.where(~F.col("_tm_ok")).drop("_tm_ok").withColumn(
-            "error", F.lit("missing document id")).write.mode("overwrite").parquet(
-            f"{dead_path}/batch_id={batch_id}")
+        flagged = df.withColumn("_tm_ok", F.col(id_col).isNotNull()).persist()
+        try:   # the batch is read once for both outputs
+            flagged.where("_tm_ok").drop("_tm_ok").write.mode("overwrite").parquet(
+                f"{index_path}/batch_id={batch_id}")
+            flagged.where(~F.col("_tm_ok")).drop("_tm_ok").withColumn(
+                "error", F.lit("missing document id")).write.mode("overwrite").parquet(
+                f"{dead_path}/batch_id={batch_id}")
+        finally:
+            flagged.unpersist()
     return write
 
 
