@@ -34,6 +34,22 @@ UNB = Window.unboundedPreceding
 
 _B = "_tm_bucket"
 
+# How the in-bucket pass of a two-pass scan is staged before its two readers
+# (the per-bucket summary and the join back): "checkpoint" writes it once to
+# the shared checkpoint folder (reliable, cuts lineage, keeps its hash
+# partitioning on (key, bucket) so neither reader shuffles the big side again,
+# and chained scans on the same key/bucket need no new shuffle at all);
+# "none" lets each reader recompute it (cheaper only for tiny inputs).
+MATERIALIZE = "checkpoint"
+
+
+def _stage(df: DataFrame) -> DataFrame:
+    if MATERIALIZE == "checkpoint":
+        from tidemark.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    return df
+
 
 def _cols(xs) -> list[str]:
     return [xs] if isinstance(xs, str) else list(xs)
@@ -47,12 +63,27 @@ def _order_key(order) -> Column:
     return F.struct(*_order_cols(order))
 
 
+# Upper bound for broadcasting a carry summary (one row per key and bucket).
+BROADCAST_MAX_BYTES = 64 << 20
+
+
 def _carry(local: DataFrame, keys: list[str], summary_aggs: list[Column],
            carry_exprs) -> DataFrame:
-    """Summarise ``local`` per (key, bucket), carry across buckets, join back."""
+    """Summarise ``local`` per (key, bucket), carry across buckets, join back.
+
+    The summary has one row per (key, bucket). It is staged, its size is
+    measured, and it is broadcast only when the estimate stays under
+    ``BROADCAST_MAX_BYTES``; beyond that the join back is a sort-merge join.
+    """
+    local = _stage(local)
     summ = local.groupBy(*keys, _B).agg(*summary_aggs)
     ws = Window.partitionBy(*keys).orderBy(_B)
     summ = summ.select(*keys, _B, *carry_exprs(ws))
+    if MATERIALIZE == "checkpoint":
+        summ = _stage(summ)
+        est = summ.count() * (32 + 16 * len(summ.columns))
+        if est <= BROADCAST_MAX_BYTES:
+            summ = F.broadcast(summ)
     return local.join(summ, [*keys, _B], "left")
 
 

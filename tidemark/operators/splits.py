@@ -24,7 +24,7 @@ def global_row_id(df: DataFrame, order: Sequence[str], out: str = "row_id",
                   partitions: int | None = None, checkpoint: bool = True) -> DataFrame:
     """1-based position of every row in the total order ``order``; adds
     ``out`` and ``n_rows`` (the total count, for split cut points)."""
-    from tidemark.session import scratch_dir
+    from tidemark.session import ensure_checkpoint_dir
     spark = df.sparkSession
     cols = [F.col(c) for c in order]
     # no fixed count: AQE sizes the range partitions from the data
@@ -32,7 +32,7 @@ def global_row_id(df: DataFrame, order: Sequence[str], out: str = "row_id",
               else df.repartitionByRange(*cols)).sortWithinPartitions(*cols)
     tagged = ranged.withColumn("_tm_mid", F.monotonically_increasing_id())
     if checkpoint:
-        scratch_dir(spark, "rowid")          # makes sure a checkpoint dir is set
+        ensure_checkpoint_dir(spark)
         tagged = tagged.checkpoint(eager=True)
     tagged = (tagged.withColumn("_tm_part", F.shiftright("_tm_mid", 33))
                     .withColumn("_tm_local", F.col("_tm_mid").bitwiseAND(F.lit(_LOW33))))

@@ -18,6 +18,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # streaming state (running counts, de-dup keys, open windows) off-heap in RocksDB
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -50,6 +53,18 @@ def apply_runtime_conf(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The context's checkpoint dir; set from ``spark.checkpoint.dir`` or, only
+    when the cluster names none (local runs, tests), a local temp folder."""
+    sc = spark.sparkContext
+    cur = sc.getCheckpointDir()
+    if cur:
+        return cur
+    base = sc.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-")
+    sc.setCheckpointDir(base)
+    return sc.getCheckpointDir() or base
+
+
 def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh directory under the cluster's shared checkpoint folder.
 
