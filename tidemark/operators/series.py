@@ -87,6 +87,97 @@ def _carry(local: DataFrame, keys: list[str], summary_aggs: list[Column],
     return local.join(summ, [*keys, _B], "left")
 
 
+# ------------------------------------------------------------------ fused scan
+def fused_scan(df: DataFrame, keys=("symbol",), order=("date",), bucket: Column | None = None,
+               pct: Sequence[tuple[str, str]] = (), ffill: Sequence[str] = (),
+               nxt: Sequence[tuple[str, str]] = (), pos: tuple[str, str | None] | None = None
+               ) -> DataFrame:
+    """Several per-key scans in one pass over the data.
+
+    * ``pct``: (column, output) padded percent changes (W1);
+    * ``ffill``: columns forward-filled in place (W2);
+    * ``nxt``: (column, output) next-row values (W3/W4);
+    * ``pos``: (position, total) 1-based row number and row count (W5).
+
+    All scans read the *input* columns (so returns are taken before the fill,
+    as in the reference, D23). With ``bucket`` the two-pass scheme runs once
+    for all of them: one window pass over (key, bucket), one summary row per
+    bucket, one carry window, one join back.
+    """
+    keys = _cols(keys)
+    ffill = _cols(ffill)
+    for k in keys:                      # pandas group-by drops NULL keys
+        df = df.where(F.col(k).isNotNull())
+    names = df.columns
+    part = [*keys, _B] if bucket is not None else keys
+    if bucket is not None:
+        df = df.withColumn(_B, bucket)
+    w = Window.partitionBy(*part).orderBy(*_order_cols(order))
+    run = w.rowsBetween(UNB, 0)
+    sel = [F.last(c, ignorenulls=True).over(run).alias(c) if c in ffill else F.col(c) for c in names]
+    if bucket is not None:
+        sel.append(F.col(_B))
+    for i, (c, _) in enumerate(pct):
+        sel.append(F.last(c, ignorenulls=True).over(run).alias(f"_tm_c{i}"))
+    for i, (c, _) in enumerate(nxt):
+        sel.append(F.lead(c).over(w).alias(f"_tm_nx{i}"))
+    if nxt:
+        sel.append(F.lead(F.lit(1)).over(w).isNull().alias("_tm_last"))
+    if pos:
+        sel.append(F.row_number().over(w).cast("bigint").alias("_tm_lp"))
+    t = df.select(*sel)
+    if pct:
+        t = t.select("*", *[F.lag(f"_tm_c{i}").over(w).alias(f"_tm_p{i}") for i in range(len(pct))])
+
+    if bucket is None:
+        fin = [F.col(c) for c in names]
+        for i, (_, out) in enumerate(pct):
+            fin.append((safe_div(F.col(f"_tm_c{i}"), F.col(f"_tm_p{i}")) - F.lit(1.0)).alias(out))
+        for i, (_, out) in enumerate(nxt):
+            fin.append(F.col(f"_tm_nx{i}").alias(out))
+        if pos:
+            fin.append(F.col("_tm_lp").alias(pos[0]))
+            if pos[1]:
+                fin.append(F.count(F.lit(1)).over(Window.partitionBy(*keys)).alias(pos[1]))
+        return t.select(*fin)
+
+    ok = _order_key(order)
+    aggs, carry = [], []
+    for i in range(len(pct)):
+        aggs.append(F.max_by(f"_tm_c{i}", ok).alias(f"_tm_pb{i}"))
+        carry.append(lambda ws, i=i: F.last(f"_tm_pb{i}", ignorenulls=True)
+                     .over(ws.rowsBetween(UNB, -1)).alias(f"_tm_pk{i}"))
+    for i, c in enumerate(ffill):
+        aggs.append(F.max_by(c, ok).alias(f"_tm_fb{i}"))
+        carry.append(lambda ws, i=i: F.last(f"_tm_fb{i}", ignorenulls=True)
+                     .over(ws.rowsBetween(UNB, -1)).alias(f"_tm_fk{i}"))
+    for i, (c, _) in enumerate(nxt):
+        aggs.append(F.min_by(c, ok).alias(f"_tm_nb{i}"))
+        carry.append(lambda ws, i=i: F.lead(f"_tm_nb{i}").over(ws).alias(f"_tm_nk{i}"))
+    if pos:
+        aggs.append(F.count(F.lit(1)).alias("_tm_bn"))
+        carry.append(lambda ws: F.coalesce(F.sum("_tm_bn").over(ws.rowsBetween(UNB, -1)),
+                                           F.lit(0)).alias("_tm_off"))
+        if pos[1]:
+            carry.append(lambda ws: F.sum("_tm_bn").over(Window.partitionBy(*keys)).alias(pos[1]))
+    j = _carry(t, keys, aggs, lambda ws: [f(ws) for f in carry])
+    fidx = {c: i for i, c in enumerate(ffill)}
+    fin = [F.coalesce(F.col(c), F.col(f"_tm_fk{fidx[c]}")).alias(c) if c in fidx else F.col(c)
+           for c in names]
+    for i, (_, out) in enumerate(pct):
+        cur = F.coalesce(F.col(f"_tm_c{i}"), F.col(f"_tm_pk{i}"))
+        prev = F.coalesce(F.col(f"_tm_p{i}"), F.col(f"_tm_pk{i}"))
+        fin.append((safe_div(cur, prev) - F.lit(1.0)).alias(out))
+    for i, (_, out) in enumerate(nxt):
+        fin.append(F.when(F.col("_tm_last"), F.col(f"_tm_nk{i}"))
+                    .otherwise(F.col(f"_tm_nx{i}")).alias(out))
+    if pos:
+        fin.append((F.col("_tm_lp") + F.col("_tm_off")).cast("bigint").alias(pos[0]))
+        if pos[1]:
+            fin.append(F.col(pos[1]).cast("bigint"))
+    return j.select(*fin)
+
+
 # ------------------------------------------------------------------ W1
 def pct_change(df: DataFrame, col: str, out: str = "daily_return", keys=("symbol",),
                order=("date",), bucket: Column | None = None) -> DataFrame:
@@ -95,24 +186,7 @@ def pct_change(df: DataFrame, col: str, out: str = "daily_return", keys=("symbol
     pandas ``pct_change`` pads: ``[10, null, 20] -> [null, 0, 1]``; a zero
     previous value gives NULL (D16), the first row of a key NULL.
     """
-    keys = _cols(keys)
-    if bucket is None:
-        w = Window.partitionBy(*keys).orderBy(*_order_cols(order))
-        t = df.withColumn("_tm_c", F.last(col, ignorenulls=True).over(w.rowsBetween(UNB, 0)))
-        t = t.withColumn(out, safe_div(F.col("_tm_c"), F.lag("_tm_c").over(w)) - F.lit(1.0))
-        return t.drop("_tm_c")
-    wb = Window.partitionBy(*keys, _B).orderBy(*_order_cols(order))
-    local = (df.withColumn(_B, bucket)
-               .withColumn("_tm_c", F.last(col, ignorenulls=True).over(wb.rowsBetween(UNB, 0)))
-               .withColumn("_tm_p", F.lag("_tm_c").over(wb)))
-    j = _carry(local, keys,
-               [F.max_by("_tm_c", _order_key(order)).alias("_tm_bl")],
-               lambda ws: [F.last("_tm_bl", ignorenulls=True).over(ws.rowsBetween(UNB, -1))
-                           .alias("_tm_carry")])
-    cur = F.coalesce(F.col("_tm_c"), F.col("_tm_carry"))
-    prev = F.coalesce(F.col("_tm_p"), F.col("_tm_carry"))
-    return (j.withColumn(out, safe_div(cur, prev) - F.lit(1.0))
-             .drop("_tm_c", "_tm_p", "_tm_carry", _B))
+    return fused_scan(df, keys, order, bucket, pct=[(col, out)])
 
 
 # ------------------------------------------------------------------ W2
@@ -122,28 +196,7 @@ def forward_fill(df: DataFrame, cols: Sequence[str], keys=("symbol",), order=("d
 
     Rows with a NULL key are dropped (pandas ``groupby`` drops them too).
     """
-    keys = _cols(keys)
-    cols = _cols(cols)
-    for k in keys:
-        df = df.where(F.col(k).isNotNull())
-    names = df.columns
-    if bucket is None:
-        w = Window.partitionBy(*keys).orderBy(*_order_cols(order)).rowsBetween(UNB, 0)
-        return df.select(*[F.last(c, ignorenulls=True).over(w).alias(c) if c in cols else F.col(c)
-                           for c in names])
-    wb = Window.partitionBy(*keys, _B).orderBy(*_order_cols(order)).rowsBetween(UNB, 0)
-    local = df.withColumn(_B, bucket).select(
-        *[F.last(c, ignorenulls=True).over(wb).alias(c) if c in cols else F.col(c)
-          for c in names], _B)
-    ok = _order_key(order)
-    j = _carry(local, keys,
-               [F.max_by(c, ok).alias(f"_tm_bl_{i}") for i, c in enumerate(cols)],
-               lambda ws: [F.last(f"_tm_bl_{i}", ignorenulls=True)
-                           .over(ws.rowsBetween(UNB, -1)).alias(f"_tm_cr_{i}")
-                           for i in range(len(cols))])
-    idx = {c: i for i, c in enumerate(cols)}
-    return j.select(*[F.coalesce(F.col(c), F.col(f"_tm_cr_{idx[c]}")).alias(c) if c in idx
-                      else F.col(c) for c in names])
+    return fused_scan(df, keys, order, bucket, ffill=cols)
 
 
 # ------------------------------------------------------------------ W3 / W4
@@ -151,45 +204,14 @@ def next_value(df: DataFrame, col: str, out: str = "target_price", keys=("symbol
                order=("date",), bucket: Column | None = None) -> DataFrame:
     """Value of ``col`` on the next row of the same key (W3 ``lead(open)``,
     W4 ``close.shift(-1)`` made per key, D9). NULL on a key's last row."""
-    keys = _cols(keys)
-    if bucket is None:
-        w = Window.partitionBy(*keys).orderBy(*_order_cols(order))
-        return df.withColumn(out, F.lead(col).over(w))
-    wb = Window.partitionBy(*keys, _B).orderBy(*_order_cols(order))
-    local = (df.withColumn(_B, bucket)
-               .withColumn("_tm_nx", F.lead(col).over(wb))
-               .withColumn("_tm_last", F.lead(F.lit(1)).over(wb).isNull()))
-    j = _carry(local, keys,
-               [F.min_by(col, _order_key(order)).alias("_tm_first")],
-               lambda ws: [F.lead("_tm_first").over(ws).alias("_tm_nf")])
-    return (j.withColumn(out, F.when(F.col("_tm_last"), F.col("_tm_nf"))
-                                .otherwise(F.col("_tm_nx")))
-             .drop("_tm_nx", "_tm_last", "_tm_first", "_tm_nf", _B))
+    return fused_scan(df, keys, order, bucket, nxt=[(col, out)])
 
 
 # ------------------------------------------------------------------ W5 (per key)
 def positions(df: DataFrame, keys=("symbol",), order=("date",), bucket: Column | None = None,
               pos: str = "rn", total: str | None = "n") -> DataFrame:
     """1-based row number per key (``pos``) and the key's row count (``total``)."""
-    keys = _cols(keys)
-    if bucket is None:
-        w = Window.partitionBy(*keys).orderBy(*_order_cols(order))
-        out = df.withColumn(pos, F.row_number().over(w).cast("bigint"))
-        if total:
-            out = out.withColumn(total, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-        return out
-    wb = Window.partitionBy(*keys, _B).orderBy(*_order_cols(order))
-    local = df.withColumn(_B, bucket).withColumn("_tm_lp", F.row_number().over(wb).cast("bigint"))
-
-    def carry(ws):
-        exprs = [F.coalesce(F.sum("_tm_bn").over(ws.rowsBetween(UNB, -1)), F.lit(0))
-                 .alias("_tm_off")]
-        if total:
-            exprs.append(F.sum("_tm_bn").over(Window.partitionBy(*keys)).alias(total))
-        return exprs
-    j = _carry(local, keys, [F.count(F.lit(1)).alias("_tm_bn")], carry)
-    return (j.withColumn(pos, (F.col("_tm_lp") + F.col("_tm_off")).cast("bigint"))
-             .drop("_tm_lp", "_tm_off", _B))
+    return fused_scan(df, keys, order, bucket, pos=(pos, total))
 
 
 def _chunked(df: DataFrame, keys: list[str], halo: int, chunk_rows: int,
@@ -216,24 +238,30 @@ def _chunked(df: DataFrame, keys: list[str], halo: int, chunk_rows: int,
 # ------------------------------------------------------------------ W11
 def rolling_mean(df: DataFrame, col: str, k: int, out: str | None = None, keys=("symbol",),
                  order=("date",), bucket: Column | None = None,
-                 chunk_rows: int = 100_000) -> DataFrame:
-    """Mean of ``col`` over the current and ``k - 1`` previous rows of the key."""
+                 chunk_rows: int = 100_000, pos: str | None = None) -> DataFrame:
+    """Mean of ``col`` over the current and ``k - 1`` previous rows of the key.
+
+    ``pos`` names an existing 1-based per-key position column (from
+    ``positions``) so it is not computed twice.
+    """
     keys = _cols(keys)
     out = out or f"{col}_mean_{k}"
-    if bucket is None:
+    if bucket is None and pos is None:
         w = Window.partitionBy(*keys).orderBy(*_order_cols(order)).rowsBetween(-(k - 1), 0)
         return df.withColumn(out, F.avg(col).over(w))
-    p = positions(df, keys, order, bucket, pos="_tm_pos", total=None)
-    c = _chunked(p, keys, k - 1, chunk_rows, pos="_tm_pos")
-    w = Window.partitionBy(*keys, "_tm_chunk").orderBy("_tm_pos").rowsBetween(-(k - 1), 0)
-    return (c.withColumn(out, F.avg(col).over(w)).where("_tm_own")
-             .drop("_tm_chunk", "_tm_own", "_tm_pos"))
+    p = df if pos else positions(df, keys, order, bucket, pos="_tm_pos", total=None)
+    pc = pos or "_tm_pos"
+    c = _chunked(p, keys, k - 1, chunk_rows, pos=pc)
+    w = Window.partitionBy(*keys, "_tm_chunk").orderBy(pc).rowsBetween(-(k - 1), 0)
+    r = c.withColumn(out, F.avg(col).over(w)).where("_tm_own").drop("_tm_chunk", "_tm_own")
+    return r if pos else r.drop("_tm_pos")
 
 
 # ------------------------------------------------------------------ W7 / W8
 def sequence_windows(df: DataFrame, length: int, features: Sequence[str], target: str,
                      keys=("symbol",), order=("date",), date: str = "date",
-                     bucket: Column | None = None, chunk_rows: int = 100_000) -> DataFrame:
+                     bucket: Column | None = None, chunk_rows: int = 100_000,
+                     pos: tuple[str, str] | None = None) -> DataFrame:
     """Sliding training sequences.
 
     For 0-based ``idx`` in ``0 .. N-L-1`` of each key: ``x`` = feature rows
@@ -244,7 +272,10 @@ def sequence_windows(df: DataFrame, length: int, features: Sequence[str], target
     Features are wrapped in a struct so NULLs survive ``collect_list``.
     """
     keys = _cols(keys)
-    p = positions(df, keys, order, bucket, pos="_tm_pos", total="_tm_n")
+    if pos:      # positions computed upstream (e.g. fused with the target scan)
+        p = df.withColumnRenamed(pos[0], "_tm_pos").withColumnRenamed(pos[1], "_tm_n")
+    else:
+        p = positions(df, keys, order, bucket, pos="_tm_pos", total="_tm_n")
     feats = F.struct(*[F.col(f) for f in features])
     if bucket is None:
         c = p.withColumn("_tm_chunk", F.lit(0)).withColumn("_tm_own", F.lit(True))
@@ -296,9 +327,7 @@ def cumulative_return(df: DataFrame, cols: Sequence[str], keys=("symbol",), orde
     """
     keys = _cols(keys)
     cols = _cols(cols)
-    t = df
-    for c in cols:
-        t = pct_change(t, c, f"ret_{c}", keys, order, bucket)
+    t = fused_scan(df, keys, order, bucket, pct=[(c, f"ret_{c}") for c in cols])
     for c in cols:
         t = t.where(F.col(f"ret_{c}").isNotNull())
     growth = {c: F.lit(1.0) + F.col(f"ret_{c}") for c in cols}

@@ -401,10 +401,11 @@ def q_row_id(spark, d):
 
 
 def _sequences(spark, d):
-    from tidemark.operators.series import next_value, sequence_windows
-    b = next_value(B.bars(spark, d), "open", "target_price", ["symbol"], ["date"], _month())
+    from tidemark.operators.series import fused_scan, sequence_windows
+    b = fused_scan(B.bars(spark, d), ["symbol"], ["date"], _month(),
+                   nxt=[("open", "target_price")], pos=("_rn", "_n"))
     return sequence_windows(b, K.SEQUENCE_LENGTH, BAR_FEATURES, "target_price",
-                            ["symbol"], ["date"], bucket=_month())
+                            ["symbol"], ["date"], bucket=_month(), pos=("_rn", "_n"))
 
 
 @query("sequence_windows")
@@ -490,11 +491,11 @@ def q_dead_letter(spark, d):
 def q_long_series_features(spark, d):
     """W1/W5/W11 on 50 long series from ``lineitem`` (several rows per date,
     tie-breaker (orderkey, linenumber)): return, position and 5-row mean."""
-    from tidemark.operators.series import pct_change, positions, rolling_mean
+    from tidemark.operators.series import fused_scan, rolling_mean
     order = ["date", "l_orderkey", "l_linenumber"]
     ls = B.long_series(spark, d).select("symbol", "date", "close", "l_orderkey", "l_linenumber")
-    t = pct_change(ls, "close", "ret", ["symbol"], order, _month())
-    t = positions(t, ["symbol"], order, _month(), pos="rn", total=None)
-    t = rolling_mean(t, "close", 5, "close_mean_5", ["symbol"], order, _month(), chunk_rows=4096)
+    t = fused_scan(ls, ["symbol"], order, _month(), pct=[("close", "ret")], pos=("rn", None))
+    t = rolling_mean(t, "close", 5, "close_mean_5", ["symbol"], order, _month(), chunk_rows=4096,
+                     pos="rn")
     return t.select("symbol", "date", "l_orderkey", "l_linenumber", "close", "ret", "rn",
                     "close_mean_5")

@@ -36,9 +36,10 @@ def prepare_training_data(env: DataFrame, dim: DataFrame, as_of: str = K.AS_OF,
     order = [c for c in PRICE_ORDER if c in prices.columns]
     merged = D.price_sentiment_join(prices, daily)
     bucket = month_bucket("date") if split_skew else None
-    merged = S.pct_change(merged, "close", "daily_return", ["symbol"], order, bucket)
-    merged = S.forward_fill(merged, [c for c in FILL_COLUMNS if c in merged.columns],
-                            ["symbol"], order, bucket)
+    # W1 and W2 in one scan: the return reads the unfilled close
+    merged = S.fused_scan(merged, ["symbol"], order, bucket,
+                          pct=[("close", "daily_return")],
+                          ffill=[c for c in FILL_COLUMNS if c in merged.columns])
     out = R.complete_schema(merged, keep_extra=with_extras)
     if with_extras:
         return out.drop(*[c for c in out.columns if c.startswith("kafka_") or c == "company"])
@@ -50,7 +51,7 @@ def prepare_from_bars(bars: DataFrame, daily_mapped: DataFrame, split_skew: bool
     """The same feature frame when prices already are daily bars."""
     merged = D.price_sentiment_join(bars, daily_mapped)
     bucket = month_bucket("date") if split_skew else None
-    merged = S.pct_change(merged, "close", "daily_return", ["symbol"], list(order), bucket)
-    merged = S.forward_fill(merged, [c for c in FILL_COLUMNS if c in merged.columns],
-                            ["symbol"], list(order), bucket)
+    merged = S.fused_scan(merged, ["symbol"], list(order), bucket,
+                          pct=[("close", "daily_return")],
+                          ffill=[c for c in FILL_COLUMNS if c in merged.columns])
     return R.complete_schema(merged, keep_extra=True)
