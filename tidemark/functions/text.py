@@ -15,10 +15,19 @@ def falsy_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+def hashed_label(key: Column) -> Column:
+    """A stable stand-in for the reference's random fallback label: one of
+    POSITIVE / NEGATIVE / NEUTRAL picked by ``pmod(xxhash64(key), 3)``."""
+    from tidemark.constants import LABELS
+    return F.element_at(F.array(*[F.lit(x) for x in LABELS]),
+                        (F.pmod(F.xxhash64(key), F.lit(3)) + 1).cast("int"))
+
+
 def keyword_label(text: Column, negative: Sequence[str] = NEGATIVE_WORDS,
                   positive: Sequence[str] = POSITIVE_WORDS,
-                  default: str | None = "NEUTRAL") -> Column:
-    """Lexicon label: negative words win over positive ones; otherwise ``default``.
+                  default: "str | Column | None" = "NEUTRAL") -> Column:
+    """Lexicon label: negative words win over positive ones; otherwise ``default``
+    (a label, or a column such as ``hashed_label(id)``).
 
     Substring tests on the lower-cased *whole* text. NULL text gives NULL.
     """
@@ -36,4 +45,5 @@ def keyword_label(text: Column, negative: Sequence[str] = NEGATIVE_WORDS,
         expr = expr.when(neg, F.lit("NEGATIVE"))
     if pos is not None:
         expr = expr.when(pos, F.lit("POSITIVE"))
-    return expr.otherwise(F.lit(default).cast("string"))
+    fallback = default if isinstance(default, Column) else F.lit(default).cast("string")
+    return expr.otherwise(fallback)

@@ -200,3 +200,53 @@ def recent_sentiment_join(bars: DataFrame, docs: DataFrame, dim: DataFrame, as_o
         (F.sum("_s") / F.nullif(F.sum("_ns"), F.lit(0))).alias("recent_sentiment"),
         F.sum("_n").alias("recent_count"))
     return latest.join(rs, "symbol", "left")
+
+
+# ---------------------------------------------------------------- options
+def dedupe_sentiment(docs: DataFrame, id_col: str = "id", score: str = "score",
+                     order=("timestamp",)) -> DataFrame:
+    """One document per id, preferring a copy that has a score (then the
+    latest). Rows without an id pass unchanged. A partial ``max_by`` per id,
+    so a repeated id costs one row per task."""
+    keyed = docs.where(F.col(id_col).isNotNull())
+    rank = F.struct(F.col(score).isNotNull(), *[F.col(c) for c in order])
+    best = (keyed.groupBy(id_col)
+                 .agg(F.max_by(F.struct(*[F.col(c) for c in docs.columns if c != id_col]), rank)
+                      .alias("_tm_doc"))
+                 .select(id_col, "_tm_doc.*"))
+    return best.select(*docs.columns).unionByName(docs.where(F.col(id_col).isNull()))
+
+
+def daily_sentiment_by_symbol(docs: DataFrame, dim: DataFrame, company: str = "company",
+                              ts: str = "timestamp", label: str = "label",
+                              score: str = "score") -> DataFrame:
+    """Daily sentiment merged per *ticker* before the price join, so two
+    companies mapped to one ticker do not fan the bars out. Exact: companies
+    are aggregated to mergeable partials (sum, counts) first, mapped, then
+    merged per (symbol, date)."""
+    day = event_day(F.col(ts))
+    pos = F.when(F.upper(F.col(label)) == "POSITIVE", F.lit(1)).otherwise(F.lit(0))
+    part = (docs.where(day.isNotNull())
+                .groupBy(F.col(company).alias("company"), day.alias("date"))
+                .agg(F.sum(score).alias("_s"), F.count(score).alias("_ns"),
+                     F.count(F.lit(1)).alias("_n"), F.sum(pos).alias("_np")))
+    mapped = company_to_symbol(part, dim)
+    return (mapped.groupBy("date", "symbol")
+                  .agg((F.sum("_s") / F.nullif(F.sum("_ns"), F.lit(0))).alias("avg_sentiment"),
+                       F.sum("_n").alias("sentiment_count"),
+                       (F.sum("_np") / F.sum("_n")).alias("positive_ratio")))
+
+
+def roll_up_bars(ticks: DataFrame, symbol: str = "symbol", date: str = "date",
+                 price: str = "close", volume: str = "volume", tie: str = "event_id",
+                 volume_digits: int | None = 2) -> DataFrame:
+    """Several bars per (symbol, date) -> one daily OHLCV bar: open / close
+    at the first / last tick by ``tie``, high / low, summed volume. Partial
+    aggregation, so a hot symbol-day costs one row per task."""
+    vol = F.sum(volume)
+    if volume_digits is not None:
+        vol = F.round(vol, volume_digits)
+    return (ticks.groupBy(F.col(symbol).alias("symbol"), F.col(date).alias("date"))
+                 .agg(F.min_by(price, tie).alias("open"), F.max(price).alias("high"),
+                      F.min(price).alias("low"), F.max_by(price, tie).alias("close"),
+                      vol.alias("volume")))

@@ -32,10 +32,15 @@ def label_polarity(label: Column) -> Column:
 
 def keyword_score(df: DataFrame, text: str = "text", out: str = "sentiment",
                   negative: Sequence[str] = NEGATIVE_WORDS,
-                  positive: Sequence[str] = POSITIVE_WORDS) -> DataFrame:
+                  positive: Sequence[str] = POSITIVE_WORDS,
+                  fallback_key: str | None = None) -> DataFrame:
     """The stream's keyword scorer (U1) as a native column: negative words are
-    tested first, then positive; no match -> NEUTRAL (D7); NULL text -> NULL."""
-    return df.withColumn(out, keyword_label(F.col(text), negative, positive))
+    tested first, then positive; no match -> NEUTRAL, or with ``fallback_key`` a
+    label picked by hash of that column (stable, unlike the reference's random
+    pick, D7); NULL text -> NULL."""
+    from tidemark.functions.text import hashed_label
+    default = hashed_label(F.col(fallback_key)) if fallback_key else "NEUTRAL"
+    return df.withColumn(out, keyword_label(F.col(text), negative, positive, default))
 
 
 class Scorer:

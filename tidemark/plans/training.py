@@ -24,14 +24,23 @@ FILL_COLUMNS = ("open", "high", "low", "close", "volume", "avg_sentiment",
 
 def prepare_training_data(env: DataFrame, dim: DataFrame, as_of: str = K.AS_OF,
                           lookback_days: int = 30, split_skew: bool = True,
-                          with_extras: bool = False, by_date: bool = False) -> DataFrame:
+                          with_extras: bool = False, by_date: bool = False,
+                          dedupe_ids: bool = False, merge_companies: bool = False) -> DataFrame:
     """Envelope documents -> 8-column training frame (date, symbol, OHLCV, avg_sentiment).
 
-    ``with_extras`` keeps ``daily_return``, ``sentiment_count`` and
-    ``positive_ratio`` (computed but dropped by the reference, D22).
+    Options (all off = the reference's behaviour): ``with_extras`` keeps
+    ``daily_return``, ``sentiment_count`` and ``positive_ratio`` (computed but
+    dropped by the reference, D22); ``by_date`` compares the lookback on parsed
+    times (D17); ``dedupe_ids`` keeps one document per id (D4);
+    ``merge_companies`` merges companies sharing a ticker before the join (D18).
     """
     docs = D.lookback_filter(D.sentiment_docs(env), as_of, lookback_days, by_date=by_date)
-    daily = D.company_to_symbol(D.daily_sentiment(docs), dim)
+    if dedupe_ids:
+        docs = D.dedupe_sentiment(docs)
+    if merge_companies:
+        daily = D.daily_sentiment_by_symbol(docs, dim)
+    else:
+        daily = D.company_to_symbol(D.daily_sentiment(docs), dim)
     prices = D.price_rows(env)
     order = [c for c in PRICE_ORDER if c in prices.columns]
     merged = D.price_sentiment_join(prices, daily)

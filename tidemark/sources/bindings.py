@@ -36,14 +36,13 @@ def tag(prefix: str, col: str = "user_id") -> Column:
 
 
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily OHLCV bars: open/close at the first/last event of the day."""
-    ev = table(spark, sf_dir, "events").where(F.col("event_type").isin("click", "view"))
-    return (ev.groupBy(tag("U").alias("symbol"), day_string("ts").alias("date"))
-              .agg(F.min_by("value", "event_id").alias("open"),
-                   F.max("value").alias("high"),
-                   F.min("value").alias("low"),
-                   F.max_by("value", "event_id").alias("close"),
-                   F.round(F.sum("value"), 2).alias("volume")))
+    """Daily OHLCV bars: the tick table rolled up (open/close at the first/last
+    event of the day, volume = rounded sum of values)."""
+    from tidemark.operators.daily import roll_up_bars
+    t = table(spark, sf_dir, "events").where(F.col("event_type").isin("click", "view"))
+    t = t.select(tag("U").alias("symbol"), day_string("ts").alias("date"),
+                 F.col("value"), F.col("event_id"))
+    return roll_up_bars(t, price="value", volume="value", tie="event_id")
 
 
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
