@@ -128,3 +128,35 @@ def test_pct_change_padding_example(spark):
     got = [r["r"] for r in S.pct_change(df, "close", "r").orderBy("date").collect()]
     assert got[0] is None and got[1] == 0.0 and got[2] == 1.0 and got[3] == -1.0
     assert got[4] is None                                   # previous is 0 -> NULL (D16)
+
+
+def test_range_buckets_equal_plain(spark):
+    rows = _frame(5, n_keys=3, n=150)           # key 0 holds most rows
+    df = _df(spark, rows).repartition(3)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        nb = S.range_buckets(df, ["symbol"], ["date", "tie"]).where("symbol = 'K0'") \
+            .select("_tm_bucket").distinct().count()
+        assert nb > 1                           # the hot key is cut into several buckets
+        _check_range(spark, df)
+        cum_p = {(r["symbol"], r["tie"]): r["cum_close"] for r in
+                 S.cumulative_return(df.where("close > 0"), ["close"], ["symbol"], ["date", "tie"]).collect()}
+        cum_r = {(r["symbol"], r["tie"]): r["cum_close"] for r in
+                 S.cumulative_return(df.where("close > 0"), ["close"], ["symbol"], ["date", "tie"],
+                                     "range").collect()}
+        assert cum_p.keys() == cum_r.keys() and all(_eq(cum_p[k], cum_r[k]) for k in cum_p)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def _check_range(spark, df):
+    kw = dict(keys=["symbol"], order=["date", "tie"], pct=[("close", "ret")], ffill=["sent"],
+              nxt=[("close", "nx")], pos=("rn", "n"))
+    plain = {(r["symbol"], r["tie"]): r for r in S.fused_scan(df, bucket=None, **kw).collect()}
+    ranged = {(r["symbol"], r["tie"]): r for r in
+              S.fused_scan(df.repartition(7), bucket="range", **kw).collect()}
+    assert plain.keys() == ranged.keys()
+    for k, a in plain.items():
+        b = ranged[k]
+        assert a["rn"] == b["rn"] and a["n"] == b["n"]
+        assert _eq(a["ret"], b["ret"]) and _eq(a["sent"], b["sent"]) and _eq(a["nx"], b["nx"])

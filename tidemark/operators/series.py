@@ -87,12 +87,27 @@ def _carry(local: DataFrame, keys: list[str], summary_aggs: list[Column],
     return local.join(summ, [*keys, _B], "left")
 
 
+# ------------------------------------------------------------------ range buckets
+def range_buckets(df: DataFrame, keys: Sequence[str], order) -> DataFrame:
+    """Buckets that stay balanced under any skew: the partitions of a range
+    partitioning on (key, order). Spark samples the bounds, so a key (or a
+    key-month) holding a third of all rows is cut into many contiguous
+    pieces; within a key, the partition id grows with the order, which is all
+    the two-pass scheme needs. Requires staging (the id must not be
+    recomputed), so it is only offered with ``MATERIALIZE == "checkpoint"``."""
+    if MATERIALIZE != "checkpoint":
+        raise ValueError('bucket="range" needs MATERIALIZE = "checkpoint"')
+    ranged = df.repartitionByRange(*[F.col(k) for k in keys], *_order_cols(order))
+    return ranged.withColumn(_B, F.spark_partition_id())
+
+
 # ------------------------------------------------------------------ fused scan
 def fused_scan(df: DataFrame, keys=("symbol",), order=("date",), bucket: Column | None = None,
                pct: Sequence[tuple[str, str]] = (), ffill: Sequence[str] = (),
                nxt: Sequence[tuple[str, str]] = (), pos: tuple[str, str | None] | None = None
                ) -> DataFrame:
-    """Several per-key scans in one pass over the data.
+    """Several per-key scans in one pass over the data (``bucket``: a column
+    monotone in the order, ``"range"`` for range-partition buckets, or None).
 
     * ``pct``: (column, output) padded percent changes (W1);
     * ``ffill``: columns forward-filled in place (W2);
@@ -110,7 +125,9 @@ def fused_scan(df: DataFrame, keys=("symbol",), order=("date",), bucket: Column
         df = df.where(F.col(k).isNotNull())
     names = df.columns
     part = [*keys, _B] if bucket is not None else keys
-    if bucket is not None:
+    if isinstance(bucket, str) and bucket == "range":
+        df = range_buckets(df, keys, order)
+    elif bucket is not None:
         df = df.withColumn(_B, bucket)
     w = Window.partitionBy(*part).orderBy(*_order_cols(order))
     run = w.rowsBetween(UNB, 0)
@@ -337,7 +354,8 @@ def cumulative_return(df: DataFrame, cols: Sequence[str], keys=("symbol",), orde
             t = t.withColumn(f"cum_{c}", F.product(growth[c]).over(w))
         return t
     wb = Window.partitionBy(*keys, _B).orderBy(*_order_cols(order)).rowsBetween(UNB, 0)
-    local = t.withColumn(_B, bucket)
+    local = (range_buckets(t, keys, order) if isinstance(bucket, str) and bucket == "range"
+             else t.withColumn(_B, bucket))
     for c in cols:
         local = local.withColumn(f"_tm_lc_{c}", F.product(growth[c]).over(wb))
     j = _carry(local, keys,

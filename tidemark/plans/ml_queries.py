@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark import constants as K
-from tidemark.plans.queries import BAR_FEATURES, _mapped_daily, _month, query
+from tidemark.plans.queries import BAR_FEATURES, _mapped_daily, _bucket, query
 from tidemark.session import scratch_dir
 from tidemark.sources import bindings as B
 
@@ -18,7 +18,7 @@ def _feature_frame(spark, d):
     from tidemark.plans.training import prepare_from_bars
     f = prepare_from_bars(B.bars(spark, d), _mapped_daily(spark, d))
     f = f.select("date", "symbol", *ML_FEATURES)
-    return add_split_features(f, "open", ("date", "symbol"), ("symbol",), _month())
+    return add_split_features(f, "open", ("date", "symbol"), ("symbol",), _bucket())
 
 
 _FITTED: dict = {}
@@ -79,10 +79,10 @@ def q_sequence_dataset(spark, d):
     from tidemark.operators.ml import sequence_dataset
     from tidemark.operators.series import next_value
     from tidemark.operators.splits import temporal_split
-    b = next_value(B.bars(spark, d), "open", "target_price", ["symbol"], ["date"], _month())
+    b = next_value(B.bars(spark, d), "open", "target_price", ["symbol"], ["date"], _bucket())
     b = temporal_split(b.where(F.col("target_price").isNotNull()), ["date", "symbol"])
     s = sequence_dataset(b, K.SEQUENCE_LENGTH, BAR_FEATURES, "target_price",
-                         scratch_dir(spark, "sequences"), bucket=_month())
+                         scratch_dir(spark, "sequences"), bucket=_bucket())
     return s.select("split", "symbol", "idx",
                     F.aggregate("x", F.lit(0.0), lambda a, e: a + e["close"]).alias("sum_close"),
                     F.col("x")[0]["volume"].alias("first_volume"), "y")

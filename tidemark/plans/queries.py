@@ -71,9 +71,10 @@ def _mapped_daily(spark, d):
     return D.company_to_symbol(D.daily_sentiment(B.scored(spark, d)), B.dim(spark, d))
 
 
-def _month():
-    from tidemark.functions.dates import month_bucket
-    return month_bucket("date")
+def _bucket():
+    """Buckets of the two-pass per-key scans: range-partition pieces of
+    (symbol, order), balanced whatever the skew (``series.range_buckets``)."""
+    return "range"
 
 
 # ---------------------------------------------------------------- 2.1 sources
@@ -250,7 +251,7 @@ def q_drop_incomplete(spark, d):
 def q_next_target(spark, d):
     """Next bar's open per symbol; last row of a symbol dropped."""
     from tidemark.operators.series import next_value
-    t = next_value(B.bars(spark, d), "open", "target_price", ["symbol"], ["date"], _month())
+    t = next_value(B.bars(spark, d), "open", "target_price", ["symbol"], ["date"], _bucket())
     return t.where(F.col("target_price").isNotNull())
 
 
@@ -258,7 +259,7 @@ def q_next_target(spark, d):
 def q_next_target_close(spark, d):
     """Next bar's close per symbol (D9: never across symbols)."""
     from tidemark.operators.series import next_value
-    t = next_value(B.bars(spark, d), "close", "target_price", ["symbol"], ["date"], _month())
+    t = next_value(B.bars(spark, d), "close", "target_price", ["symbol"], ["date"], _bucket())
     return t.where(F.col("target_price").isNotNull())
 
 
@@ -378,7 +379,7 @@ def q_daily_return(spark, d):
     """Padded percent change of close per symbol (two-pass, month buckets)."""
     from tidemark.operators.series import pct_change
     b = B.bars(spark, d)
-    return pct_change(b, "close", "daily_return", ["symbol"], ["date"], _month()).select(
+    return pct_change(b, "close", "daily_return", ["symbol"], ["date"], _bucket()).select(
         "symbol", "date", "close", "daily_return")
 
 
@@ -389,23 +390,23 @@ def q_forward_fill(spark, d):
     from tidemark.operators.series import forward_fill
     j = price_sentiment_join(B.bars(spark, d), _mapped_daily(spark, d)).drop("company")
     return forward_fill(j, ["avg_sentiment", "sentiment_count", "positive_ratio"],
-                        ["symbol"], ["date"], _month())
+                        ["symbol"], ["date"], _bucket())
 
 
 @query("row_id")
 def q_row_id(spark, d):
     """W5 per symbol: row number and row count (two-pass)."""
     from tidemark.operators.series import positions
-    return positions(B.bars(spark, d), ["symbol"], ["date"], _month()).select(
+    return positions(B.bars(spark, d), ["symbol"], ["date"], _bucket()).select(
         "symbol", "date", "rn", "n")
 
 
 def _sequences(spark, d):
     from tidemark.operators.series import fused_scan, sequence_windows
-    b = fused_scan(B.bars(spark, d), ["symbol"], ["date"], _month(),
+    b = fused_scan(B.bars(spark, d), ["symbol"], ["date"], _bucket(),
                    nxt=[("open", "target_price")], pos=("_rn", "_n"))
     return sequence_windows(b, K.SEQUENCE_LENGTH, BAR_FEATURES, "target_price",
-                            ["symbol"], ["date"], bucket=_month(), pos=("_rn", "_n"))
+                            ["symbol"], ["date"], bucket=_bucket(), pos=("_rn", "_n"))
 
 
 @query("sequence_windows")
@@ -437,7 +438,7 @@ def q_cumulative_return(spark, d):
     """cumprod(1 + return) of actual and predicted prices per symbol."""
     from tidemark.operators.series import cumulative_return
     return cumulative_return(B.predictions(spark, d), ["actual", "prediction"], ["symbol"],
-                             ["date"], _month())
+                             ["date"], _bucket())
 
 
 @query("rolling_sentiment")
@@ -446,7 +447,7 @@ def q_rolling_sentiment(spark, d):
     from tidemark.operators.daily import price_sentiment_join
     from tidemark.operators.series import rolling_mean
     j = price_sentiment_join(B.bars(spark, d), _mapped_daily(spark, d))
-    r = rolling_mean(j, "avg_sentiment", 3, "rolling_sentiment", ["symbol"], ["date"], _month())
+    r = rolling_mean(j, "avg_sentiment", 3, "rolling_sentiment", ["symbol"], ["date"], _bucket())
     return r.select("symbol", "date", "avg_sentiment", "rolling_sentiment")
 
 
@@ -494,8 +495,8 @@ def q_long_series_features(spark, d):
     from tidemark.operators.series import fused_scan, rolling_mean
     order = ["date", "l_orderkey", "l_linenumber"]
     ls = B.long_series(spark, d).select("symbol", "date", "close", "l_orderkey", "l_linenumber")
-    t = fused_scan(ls, ["symbol"], order, _month(), pct=[("close", "ret")], pos=("rn", None))
-    t = rolling_mean(t, "close", 5, "close_mean_5", ["symbol"], order, _month(), chunk_rows=4096,
+    t = fused_scan(ls, ["symbol"], order, _bucket(), pct=[("close", "ret")], pos=("rn", None))
+    t = rolling_mean(t, "close", 5, "close_mean_5", ["symbol"], order, _bucket(), chunk_rows=4096,
                      pos="rn")
     return t.select("symbol", "date", "l_orderkey", "l_linenumber", "close", "ret", "rn",
                     "close_mean_5")

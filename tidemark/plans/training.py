@@ -2,8 +2,8 @@
 
 F4 -> G1 -> J3 -> J1(A4, C14) -> W1 -> W2 -> C15 -> C16, as one lineage.
 Shuffles: the daily aggregate (partial, per company/day), the left join on
-(date, symbol) and the per-symbol scans (two-pass when ``bucket`` is on, so a
-hot symbol is split by month).
+(date, symbol) and the per-symbol scans (two-pass over range-partition buckets,
+so a hot symbol is split into balanced contiguous pieces).
 """
 
 from __future__ import annotations
@@ -22,8 +22,16 @@ FILL_COLUMNS = ("open", "high", "low", "close", "volume", "avg_sentiment",
                 "sentiment_count", "positive_ratio")
 
 
+def _bucket(split_skew):
+    """True / "month": month buckets; "range": range-partition buckets
+    (balanced under any skew, one more shuffle); False: plain windows."""
+    if split_skew == "range":
+        return "range"
+    return month_bucket("date") if split_skew else None
+
+
 def prepare_training_data(env: DataFrame, dim: DataFrame, as_of: str = K.AS_OF,
-                          lookback_days: int = 30, split_skew: bool = True,
+                          lookback_days: int = 30, split_skew: "bool | str" = "range",
                           with_extras: bool = False, by_date: bool = False,
                           dedupe_ids: bool = False, merge_companies: bool = False) -> DataFrame:
     """Envelope documents -> 8-column training frame (date, symbol, OHLCV, avg_sentiment).
@@ -44,7 +52,7 @@ def prepare_training_data(env: DataFrame, dim: DataFrame, as_of: str = K.AS_OF,
     prices = D.price_rows(env)
     order = [c for c in PRICE_ORDER if c in prices.columns]
     merged = D.price_sentiment_join(prices, daily)
-    bucket = month_bucket("date") if split_skew else None
+    bucket = _bucket(split_skew)
     # W1 and W2 in one scan: the return reads the unfilled close
     merged = S.fused_scan(merged, ["symbol"], order, bucket,
                           pct=[("close", "daily_return")],
@@ -55,11 +63,11 @@ def prepare_training_data(env: DataFrame, dim: DataFrame, as_of: str = K.AS_OF,
     return out
 
 
-def prepare_from_bars(bars: DataFrame, daily_mapped: DataFrame, split_skew: bool = True,
+def prepare_from_bars(bars: DataFrame, daily_mapped: DataFrame, split_skew: "bool | str" = "range",
                       order=("date",)) -> DataFrame:
     """The same feature frame when prices already are daily bars."""
     merged = D.price_sentiment_join(bars, daily_mapped)
-    bucket = month_bucket("date") if split_skew else None
+    bucket = _bucket(split_skew)
     merged = S.fused_scan(merged, ["symbol"], list(order), bucket,
                           pct=[("close", "daily_return")],
                           ffill=[c for c in FILL_COLUMNS if c in merged.columns])
