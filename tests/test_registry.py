@@ -44,3 +44,21 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(df.columns) == sorted(ocols)
     assert len(rows) == len(orows)
     assert digest(rows, df.columns)[0] == digest(orows, ocols)[0]
+
+
+def test_flagship_options_on_driver_data(spark):
+    from tidemark import constants as K
+    from tidemark.plans.training import prepare_training_data
+    from tidemark.sources import bindings as B
+    env, dim = B.envelope(spark, SF), B.dim(spark, SF)
+    base = prepare_training_data(env, dim, K.AS_OF, K.LOOKBACK_DAYS)
+    n = base.count()
+    for kw in ({"split_skew": False}, {"split_skew": True}, {"dedupe_ids": True},
+               {"merge_companies": True}, {"by_date": True}):
+        out = prepare_training_data(env, dim, K.AS_OF, K.LOOKBACK_DAYS, **kw)
+        assert out.columns == base.columns and out.count() == n, kw
+    plain = {tuple(r) for r in prepare_training_data(env, dim, K.AS_OF, K.LOOKBACK_DAYS,
+                                                     split_skew=False).collect()}
+    assert plain == {tuple(r) for r in base.collect()}       # skew-safe path == plain windows
+    extras = prepare_training_data(env, dim, K.AS_OF, K.LOOKBACK_DAYS, with_extras=True)
+    assert {"daily_return", "sentiment_count", "positive_ratio"} <= set(extras.columns)
