@@ -113,8 +113,9 @@ def envelope_ctes(as_of: str = K.AS_OF) -> str:
 
 
 def nudge_rounding(sql: str, digits: int = 6) -> str:
-    """Rewrite every ``round(expr, 6)`` into ``round((expr) * (1 + 1e-12), 6)``,
-    the same tie-proof rounding the Spark side applies at its report edge."""
+    """Rewrite every ``round(expr, 6)`` into ``round((expr) * (1 + 1e-12), 6) + 0.0``,
+    the same tie-proof rounding the Spark side applies at its report edge
+    (the ``+ 0.0`` normalises DuckDB's -0.0, which Spark's rounding never emits)."""
     out, i, key = [], 0, "round("
     while True:
         j = sql.find(key, i)
@@ -134,9 +135,10 @@ def nudge_rounding(sql: str, digits: int = 6) -> str:
         inner, arg = sql[j + len(key):comma], sql[comma + 1:k - 1].strip()
         out.append(sql[i:j])
         if arg == str(digits):
-            out.append(f"round(({nudge_rounding(inner, digits)}) * (1 + 1e-12), {digits})")
+            # "+ 0.0" turns -0.0 into 0.0 (Spark's round never yields -0.0)
+            out.append(f"(round(({nudge_rounding(inner, digits)}) * (1 + 1e-12), {digits}) + 0.0::DOUBLE)")
         else:
-            out.append(f"round({nudge_rounding(inner, digits)}, {arg})")
+            out.append(f"(round({nudge_rounding(inner, digits)}, {arg}) + 0.0::DOUBLE)")
         i = k
 
 
@@ -526,7 +528,7 @@ WITH ls AS (
          l_extendedprice AS close, l_orderkey, l_linenumber FROM lineitem),
 p AS (SELECT *, last_value(close IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY date, l_orderkey, l_linenumber
              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c FROM ls)
-SELECT symbol, date, l_orderkey, l_linenumber, round(close, 6) AS close,
+SELECT symbol, date, l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, round(close, 6) AS close,
   round(c / nullif(lag(c) OVER w, 0) - 1, 6) AS ret, row_number() OVER w AS rn,
   round(avg(close) OVER (PARTITION BY symbol ORDER BY date, l_orderkey, l_linenumber
         ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 6) AS close_mean_5
