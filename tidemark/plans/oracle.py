@@ -526,13 +526,13 @@ def long_series_sql() -> str:
 WITH ls AS (
   SELECT 'P' || CAST(l_partkey % 50 AS VARCHAR) AS symbol, strftime(l_shipdate, '%Y-%m-%d') AS date,
          l_extendedprice AS close, l_orderkey, l_linenumber FROM lineitem),
-p AS (SELECT *, last_value(close IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY date, l_orderkey, l_linenumber
+p AS (SELECT *, last_value(close IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY date, l_orderkey, l_linenumber, close
              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c FROM ls)
 SELECT symbol, date, l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, round(close, 6) AS close,
   round(c / nullif(lag(c) OVER w, 0) - 1, 6) AS ret, row_number() OVER w AS rn,
-  round(avg(close) OVER (PARTITION BY symbol ORDER BY date, l_orderkey, l_linenumber
+  round(avg(close) OVER (PARTITION BY symbol ORDER BY date, l_orderkey, l_linenumber, close
         ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 6) AS close_mean_5
-FROM p WINDOW w AS (PARTITION BY symbol ORDER BY date, l_orderkey, l_linenumber)"""
+FROM p WINDOW w AS (PARTITION BY symbol ORDER BY date, l_orderkey, l_linenumber, close)"""
 
 
 def json_value_sql() -> str:

@@ -490,10 +490,12 @@ def q_dead_letter(spark, d):
 
 @query("long_series_features")
 def q_long_series_features(spark, d):
-    """W1/W5/W11 on 50 long series from ``lineitem`` (several rows per date,
-    tie-breaker (orderkey, linenumber)): return, position and 5-row mean."""
+    """W1/W5/W11 on 50 long series from ``lineitem`` (several rows per date):
+    return, position and 5-row mean. (orderkey, linenumber) repeats in the
+    driver's lineitem, so the total order adds the price: (date, orderkey,
+    linenumber, extendedprice) is unique."""
     from tidemark.operators.series import fused_scan, rolling_mean
-    order = ["date", "l_orderkey", "l_linenumber"]
+    order = ["date", "l_orderkey", "l_linenumber", "close"]
     ls = B.long_series(spark, d).select("symbol", "date", "close", "l_orderkey", "l_linenumber")
     t = fused_scan(ls, ["symbol"], order, _bucket(), pct=[("close", "ret")], pos=("rn", None))
     t = rolling_mean(t, "close", 5, "close_mean_5", ["symbol"], order, _bucket(), chunk_rows=4096,

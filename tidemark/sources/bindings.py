@@ -232,7 +232,8 @@ def dead_letter_docs(spark: SparkSession, sf_dir: str, ingest_ts: str = K.AS_OF)
 
 
 def long_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem as 50 long daily series; several rows per date, tie (orderkey, linenumber)."""
+    """lineitem as 50 long daily series; several rows per date. A total order
+    needs (date, orderkey, linenumber, extendedprice): the first three repeat."""
     li = table(spark, sf_dir, "lineitem")
     p = F.col("l_extendedprice") / F.col("l_quantity")
     return li.select(F.concat(F.lit("P"), (F.col("l_partkey") % 50).cast("string")).alias("symbol"),
