@@ -60,3 +60,10 @@ def test_guards(spark):
     assert [r["symbol"] for r in R.eligible_symbols(df, 2).collect()] == ["A"]
     comp = R.complete_schema(spark.createDataFrame([("2024-01-01", "A", 1)], "date string, symbol string, open int"))
     assert comp.columns[-1] == "avg_sentiment" and comp.schema["open"].dataType.typeName() == "double"
+
+
+def test_oracle_rounding_rewrite():
+    from tidemark.plans.oracle import nudge_rounding
+    out = nudge_rounding("SELECT round(avg(x), 6) AS a, round(f(y, 2), 2) AS b")
+    assert out == ("SELECT (round((avg(x)) * (1 + 1e-12), 6) + 0.0::DOUBLE) AS a, "
+                   "(round(f(y, 2), 2) + 0.0::DOUBLE) AS b")
