@@ -5,20 +5,22 @@ All operators take the key columns (usually ``symbol``), a *total* order
 
 Skew. A plain ``Window.partitionBy(symbol)`` sends one symbol's whole series
 to one task; if one symbol holds a third of all rows that task is the job.
-Every scan here therefore accepts ``bucket``: a column that is monotone in
-the order (e.g. the month of the date, ``month_bucket``). The scan then runs
-in two passes:
-
-1. a window over ``(key, bucket)`` computes the in-bucket result plus a
-   one-row-per-bucket summary (last value, product, count, first value);
-2. a window over the *summary* (``#keys x #buckets`` rows, far smaller than
-   the data) carries the state across buckets, and a join on
-   ``(key, bucket)`` applies it.
+Every scan here therefore accepts ``bucket``: ``"range"`` (the partitions of a
+sampled range partitioning on (key, order), balanced under any skew), or a
+column that is monotone in the order (e.g. ``month_bucket``). The scan then
+runs in two passes, for all requested scans at once (``fused_scan``):
+
+1. a window over ``(key, bucket)`` computes the in-bucket results, which are
+   staged with ``checkpoint()`` in the shared checkpoint folder;
+2. a one-row-per-bucket summary of the staged data (last value, count, first
+   value, product) is carried across buckets by a window over the summaries
+   (far smaller than the data) and joined back, by broadcast when its
+   measured size is under ``BROADCAST_MAX_BYTES``, else by sort-merge join.
 
 Bounded frames (sliding sequences, rolling means) use per-key positions from
-the same two-pass scheme and run over fixed-size row chunks with an
-``L - 1``-row halo copied from the previous chunk, so no task ever holds more
-than ``chunk_rows + L - 1`` rows of one key.
+the same scheme and run over fixed-size row chunks with an ``L - 1``-row halo
+copied from the previous chunk, so no task ever holds more than
+``chunk_rows + L`` rows of one key.
 """
 
 from __future__ import annotations
@@ -36,10 +38,10 @@ _B = "_tm_bucket"
 
 # How the in-bucket pass of a two-pass scan is staged before its two readers
 # (the per-bucket summary and the join back): "checkpoint" writes it once to
-# the shared checkpoint folder (reliable, cuts lineage, keeps its hash
-# partitioning on (key, bucket) so neither reader shuffles the big side again,
-# and chained scans on the same key/bucket need no new shuffle at all);
-# "none" lets each reader recompute it (cheaper only for tiny inputs).
+# the shared checkpoint folder (reliable, cuts lineage: the input is computed
+# once, chained scans do not multiply their lineage, and a lost executor
+# recomputes nothing upstream); "none" lets each reader recompute it (only
+# sensible for tiny inputs; range buckets require "checkpoint").
 MATERIALIZE = "checkpoint"
 
 
