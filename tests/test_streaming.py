@@ -84,3 +84,24 @@ def test_dead_letter_split(spark):
                                  TOPIC_RECORD)
     good, bad = P.dead_letter_split(recs)
     assert good.count() == 1 and bad.count() == 2
+
+
+def test_observed_counts_listener(spark):
+    import time
+    base = tempfile.mkdtemp()
+    src, out, ck = base + "/src", base + "/out", base + "/ck"
+    _write(spark, src, [_msg(i) for i in range(4)])
+    _write(spark, src, [_msg(i) for i in range(4, 7)])
+    obs = P.ObservedCounts()
+    spark.streams.addListener(obs.listener)
+    try:
+        s = P.scored_stream(file_stream(spark, src, max_files_per_trigger=1))
+        P.run(s.writeStream.format("parquet").option("path", out), ck)
+        for _ in range(50):                       # progress events arrive asynchronously
+            if obs.totals.get("records") == 7:
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(obs.listener)
+    assert obs.totals.get("twitter_raw") == 7 and obs.totals.get("records") == 7
+    assert len(obs.batches) >= 2

@@ -121,6 +121,41 @@ def kafka_sink_options(servers: str, topic: str) -> dict:
     return {"kafka.bootstrap.servers": servers, "topic": topic}
 
 
+class ObservedCounts:
+    """Per-batch counts published by ``observe("per_topic", ...)`` and
+    summed per query on the driver, from query progress events. Nothing
+    re-reads the source (the reference started an extra counting query per
+    topic). Register with ``spark.streams.addListener(obs.listener)``."""
+
+    def __init__(self, name: str = "per_topic"):
+        from pyspark.sql.streaming import StreamingQueryListener
+        self.name = name
+        self.batches: list[dict] = []
+        self.totals: dict[str, int] = {}
+        outer = self
+
+        class _L(StreamingQueryListener):
+            def onQueryStarted(self, event):
+                pass
+
+            def onQueryProgress(self, event):
+                row = event.progress.observedMetrics.get(outer.name)
+                if row is None:
+                    return
+                d = row.asDict()
+                outer.batches.append({"batch_id": event.progress.batchId, **d})
+                for k, v in d.items():
+                    outer.totals[k] = outer.totals.get(k, 0) + int(v or 0)
+
+            def onQueryIdle(self, event):
+                pass
+
+            def onQueryTerminated(self, event):
+                pass
+
+        self.listener = _L()
+
+
 # ---------------------------------------------------------------- G4 / T2
 def topic_counts_stream(records: DataFrame) -> DataFrame:
     """Running message count per topic, kept in the checkpointed state
