@@ -122,9 +122,11 @@ def batch_score(df: DataFrame, text: str = "text", scorer: Scorer | None = None,
 
 def unscored_antijoin(items: DataFrame, scored: DataFrame, key: str) -> DataFrame:
     """Items with no row in the scored table (J5). Only the key column of the
-    scored side is read; duplicates there need no ``distinct`` (an anti join
-    never multiplies rows). Sort-merge, or broadcast when AQE measures it small."""
-    return items.join(scored.select(key), key, "left_anti")
+    scored side is read and de-duplicated first: the ``distinct`` is a partial
+    aggregate, so a key with a huge group of copies ships at most one row per
+    map task instead of landing whole in one join task. Sort-merge, or
+    broadcast when AQE measures the key set small."""
+    return items.join(scored.select(key).distinct(), key, "left_anti")
 
 
 DOC_KEY = ("source_topic", "kafka_partition", "kafka_offset")
