@@ -160,3 +160,24 @@ def _check_range(spark, df):
         b = ranged[k]
         assert a["rn"] == b["rn"] and a["n"] == b["n"]
         assert _eq(a["ret"], b["ret"]) and _eq(a["sent"], b["sent"]) and _eq(a["nx"], b["nx"])
+
+
+def test_chunked_windows_with_range_buckets(spark):
+    rows = [r for r in _frame(6, n_keys=3, n=80) if r[3] is not None]
+    df = _df(spark, rows)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        plain = {(r["symbol"], r["tie"]): r["m"] for r in
+                 S.rolling_mean(df, "sent", 4, "m", ["symbol"], ["date", "tie"]).collect()}
+        ranged = {(r["symbol"], r["tie"]): r["m"] for r in
+                  S.rolling_mean(df, "sent", 4, "m", ["symbol"], ["date", "tie"], "range",
+                                 chunk_rows=9).collect()}
+        assert plain.keys() == ranged.keys() and all(_eq(plain[k], ranged[k]) for k in plain)
+        norm = lambda rs: sorted((r["symbol"], r["idx"], r["first_date"], r["last_date"],
+                                  r["label_date"], str(r["x"]), r["y"]) for r in rs)
+        a = S.sequence_windows(df, 3, ["close"], "close", ["symbol"], ["date", "tie"]).collect()
+        c = S.sequence_windows(df, 3, ["close"], "close", ["symbol"], ["date", "tie"],
+                               bucket="range", chunk_rows=6).collect()
+        assert norm(a) == norm(c)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
