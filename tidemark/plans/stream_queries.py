@@ -41,9 +41,8 @@ def q_stream_scored(spark, d):
     """Text topic -> parse -> keyword score -> JSON value sink; the sink
     is read back and decoded."""
     out = scratch_dir(spark, "stream_scored")
-    scored = P.scored_stream(file_stream(spark, _log_path(spark, d), max_files_per_trigger=4))
-    sink = P.fan_out(P.json_value_writer(out + "/data"), P.topic_count_writer(out + "/counts"))
-    P.run(scored.writeStream.foreachBatch(sink), out + "/_checkpoint")
+    P.start_scoring_job(file_stream(spark, _log_path(spark, d), max_files_per_trigger=4),
+                        out + "/data", out + "/_checkpoint", counts=out + "/counts")
     sink_schema = schemas.extend(schemas.TEXT, ("sentiment", T.StringType()))
     back = spark.read.schema("key string, value string").json(out + "/data")
     return back.select(F.from_json("value", sink_schema).alias("m")).select("m.*")
@@ -83,9 +82,8 @@ def q_envelope_sink(spark, d):
     partitioned by document type, de-duplicated on (topic, partition, offset)."""
     from tidemark.operators.envelope import flatten_envelope
     out = scratch_dir(spark, "envelope_sink")
-    env = P.envelope_stream(file_stream(spark, _log_path(spark, d), max_files_per_trigger=4))
-    w = env.writeStream.foreachBatch(P.batch_dir_writer(out + "/data", ["doc_type"]))
-    P.run(w, out + "/_checkpoint")
+    P.start_envelope_job(file_stream(spark, _log_path(spark, d), max_files_per_trigger=4),
+                         out + "/data", out + "/_checkpoint")
     t = spark.read.parquet(out + "/data").where(F.col("doc_type") != "dead_letter")
     return flatten_envelope(t.drop("batch_id"))
 
@@ -97,8 +95,7 @@ def q_index_sink(spark, d):
     out = scratch_dir(spark, "index_sink")
     recs = file_stream(spark, _log_path(spark, d)).where(F.col("topic") == K.TOPIC_SCORED)
     docs = P.parsed_stream(recs, schemas.SCORED).drop("topic", "partition", "timestamp_ms")
-    w = docs.writeStream.foreachBatch(P.index_writer(out + "/index", out + "/dead"))
-    P.run(w, out + "/_checkpoint")
+    P.start_index_job(docs, out + "/index", out + "/dead", out + "/_checkpoint")
     return spark.read.parquet(out + "/index").drop("batch_id", "sentiment")
 
 
@@ -110,8 +107,7 @@ def q_incremental_scoring(spark, d):
     schema = schemas.ENVELOPE_STORED
     env = (spark.readStream.schema(schema).option("basePath", _env_path(spark, d))
                 .parquet(_env_path(spark, d)).where(F.col("doc_type") != "dead_letter"))
-    s = P.incremental_scores(env, K.AS_OF)
-    P.run(s.writeStream.format("parquet").option("path", out + "/data"), out + "/_checkpoint")
+    P.start_incremental_scoring(env, out + "/data", out + "/_checkpoint", K.AS_OF)
     return spark.read.parquet(out + "/data")
 
 

@@ -243,3 +243,50 @@ def daily_sentiment_stream(env_stream: DataFrame, lateness: str = "2 days") -> D
                      .alias("positive_ratio")))
     return agg.select("company", F.date_format("window.start", "yyyy-MM-dd").alias("date"),
                       "avg_sentiment", "sentiment_count", "positive_ratio")
+
+
+# ---------------------------------------------------------------- job starters
+def start_scoring_job(records: DataFrame, out: str, checkpoint: str, counts: str | None = None,
+                      console: bool = False, available_now: bool = True,
+                      processing_time: str | None = None, scorer: Scorer | None = None,
+                      max_files_per_trigger: int | None = None):
+    """Text topics -> score -> JSON values at ``out`` (per-batch,
+    idempotent), optional per-batch topic counts and console echo, all from one
+    read of the source."""
+    scored = scored_stream(records, scorer=scorer)
+    writers = [json_value_writer(out)]
+    if counts:
+        writers.append(topic_count_writer(counts))
+    if console:
+        writers.append(lambda df, bid: df.show(20, truncate=False))
+    return run(scored.writeStream.foreachBatch(fan_out(*writers)), checkpoint, available_now,
+               processing_time)
+
+
+def start_envelope_job(records: DataFrame, table: str, checkpoint: str, ingest_ts: str = K.AS_OF,
+                       available_now: bool = True, processing_time: str | None = None,
+                       dedupe_delay: str = "1 hour"):
+    """Topic records -> envelope documents appended per batch to
+    ``table`` (partitioned by document type, dead letters included), redelivered
+    records dropped on (topic, partition, offset)."""
+    env = envelope_stream(records, ingest_ts, dedupe_delay)
+    w = env.writeStream.foreachBatch(batch_dir_writer(table, ["doc_type"]))
+    return run(w, checkpoint, available_now, processing_time)
+
+
+def start_index_job(docs: DataFrame, index: str, dead: str, checkpoint: str,
+                    available_now: bool = True, processing_time: str | None = None):
+    """Documents shipped to an index writer; rejected ones to ``dead``."""
+    w = docs.writeStream.foreachBatch(index_writer(index, dead))
+    return run(w, checkpoint, available_now, processing_time)
+
+
+def start_incremental_scoring(env_stream: DataFrame, out: str, checkpoint: str,
+                              processed_at: str, scorer: Scorer | None = None,
+                              available_now: bool = True,
+                              processing_time: str | None = "60 seconds"):
+    """Score what arrives unscored, every ``processing_time`` (the
+    reference's 60 s loop) or once with ``availableNow``."""
+    s = incremental_scores(env_stream, processed_at, scorer)
+    return run(s.writeStream.format("parquet").option("path", out), checkpoint, available_now,
+               processing_time)
