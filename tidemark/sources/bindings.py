@@ -186,6 +186,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _STORED: dict[tuple, str] = {}
+_READ: dict[tuple, DataFrame] = {}
 
 
 def _stored(spark: SparkSession, key: tuple, build, partition_by: list[str] | None = None) -> DataFrame:
@@ -203,7 +204,10 @@ def _stored(spark: SparkSession, key: tuple, build, partition_by: list[str] | No
             w = w.partitionBy(*partition_by)
         w.parquet(path)
         _STORED[full] = path
-    return spark.read.parquet(path)
+    df = _READ.get(full)
+    if df is None:          # list the files once per session, not once per query
+        df = _READ[full] = spark.read.parquet(path)
+    return df
 
 
 def topic_log(spark: SparkSession, sf_dir: str) -> DataFrame:
