@@ -73,8 +73,14 @@ def lookback_filter(docs: DataFrame, as_of: str, days: int, ts: str = "timestamp
     """
     cutoff = lookback_cutoff(as_of, days)
     if by_date:
-        return docs.where(event_instant(F.col(ts)) >= F.lit(cutoff).cast("timestamp"))
-    return docs.where(F.col(ts) >= F.lit(cutoff))
+        out = docs.where(event_instant(F.col(ts)) >= F.lit(cutoff).cast("timestamp"))
+    else:
+        out = docs.where(F.col(ts) >= F.lit(cutoff))
+    if "event_date" in docs.columns and not by_date:
+        # implied by the string comparison (a >= b => a[:10] >= b[:10]); on the
+        # stored envelope it prunes whole event-day partitions
+        out = out.where(F.col("event_date") >= F.lit(cutoff[:10]))
+    return out
 
 
 def sentiment_docs(env: DataFrame) -> DataFrame:

@@ -96,7 +96,7 @@ def to_envelope(records: DataFrame, ingest_ts: str = K.AS_OF,
 def flatten_envelope(env: DataFrame) -> DataFrame:
     """Envelope -> flat columns (report / oracle shape)."""
     d = [f.name for f in env.schema["data"].dataType.fields]
-    top = [c for c in env.columns if c not in ("data", "doc_type")]
+    top = [c for c in env.columns if c not in ("data", "doc_type", "event_date")]
     return env.select(*top, *[F.col(f"data.{c}").alias(c if c != "type" else "doc_type") for c in d])
 
 

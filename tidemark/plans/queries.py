@@ -131,7 +131,7 @@ def q_bars_load(spark, d):
 def q_sample_by_type(spark, d):
     """The first document of each type."""
     from tidemark.operators.daily import sample_by_type
-    s = sample_by_type(B.envelope(spark, d).drop("doc_type"))
+    s = sample_by_type(B.envelope(spark, d).drop("doc_type", "event_date"))
     return s.select("doc_type", "source_topic", "kafka_offset", "symbol", "timestamp")
 
 
@@ -310,7 +310,7 @@ def q_apply_scores(spark, d):
     """Scores for unscored raw documents applied by document key."""
     from tidemark.operators.envelope import flatten_envelope
     from tidemark.operators.scoring import apply_scores, score_updates
-    env = B.envelope(spark, d).drop("doc_type")
+    env = B.envelope(spark, d).drop("doc_type", "event_date")
     upd = score_updates(env, K.AS_OF)
     return flatten_envelope(apply_scores(env, upd))
 

@@ -42,7 +42,8 @@ def prepare_training_data(env: DataFrame, dim: DataFrame, as_of: str = K.AS_OF,
     times (D17); ``dedupe_ids`` keeps one document per id (D4);
     ``merge_companies`` merges companies sharing a ticker before the join (D18).
     """
-    docs = D.lookback_filter(D.sentiment_docs(env), as_of, lookback_days, by_date=by_date)
+    # lookback on the envelope itself, so it can prune event-day partitions
+    docs = D.sentiment_docs(D.lookback_filter(env, as_of, lookback_days, by_date=by_date))
     if dedupe_ids:
         docs = D.dedupe_sentiment(docs)
     if merge_companies:

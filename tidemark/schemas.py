@@ -71,4 +71,5 @@ def extend(schema: T.StructType, *fields: tuple[str, T.DataType]) -> T.StructTyp
 
 # The envelope store as written: envelope + record key + the type partition column.
 ENVELOPE_STORED = extend(ENVELOPE, ("kafka_partition", T.IntegerType()),
-                         ("kafka_offset", T.LongType()), ("doc_type", T.StringType()))
+                         ("kafka_offset", T.LongType()), ("doc_type", T.StringType()),
+                         ("event_date", T.StringType()))

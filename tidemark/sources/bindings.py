@@ -189,7 +189,8 @@ _STORED: dict[tuple, str] = {}
 _READ: dict[tuple, DataFrame] = {}
 
 
-def _stored(spark: SparkSession, key: tuple, build, partition_by: list[str] | None = None) -> DataFrame:
+def _stored(spark: SparkSession, key: tuple, build, partition_by: list[str] | None = None,
+            schema=None) -> DataFrame:
     """Write ``build()`` once per session under the shared checkpoint folder and
     read it back. Stands in for data that exists as a table or log in a real
     deployment (topic log, envelope store); cuts the lineage for every reader."""
@@ -206,7 +207,8 @@ def _stored(spark: SparkSession, key: tuple, build, partition_by: list[str] | No
         _STORED[full] = path
     df = _READ.get(full)
     if df is None:          # list the files once per session, not once per query
-        df = _READ[full] = spark.read.parquet(path)
+        r = spark.read.schema(schema) if schema is not None else spark.read
+        df = _READ[full] = r.parquet(path)
     return df
 
 
@@ -217,22 +219,28 @@ def topic_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def envelope(spark: SparkSession, sf_dir: str, ingest_ts: str = K.AS_OF) -> DataFrame:
     """The envelope store: the topic log routed by ``to_envelope`` and written
-    partitioned by document type (``doc_type``); dead letters are their own
-    partition and are not returned here (see ``dead_letter_docs``)."""
+    partitioned by document type and event day (``doc_type``, ``event_date`` =
+    the first 10 characters of the event time); dead letters are their own
+    partition and are not returned here (see ``dead_letter_docs``). The schema
+    is given on read, so partition values are not type-inferred."""
     from pyspark.sql import functions as F2
     from tidemark.operators.envelope import to_envelope
+    from tidemark.schemas import ENVELOPE_STORED
     t = _stored(spark, ("envelope", sf_dir, ingest_ts),
                 lambda: to_envelope(topic_log(spark, sf_dir), ingest_ts=ingest_ts,
                                     keep_dead_letters=True)
-                .withColumn("doc_type", F2.col("data.type")),
-                partition_by=["doc_type"])
+                .withColumn("doc_type", F2.col("data.type"))
+                .withColumn("event_date", F2.substring("timestamp", 1, 10)),
+                partition_by=["doc_type", "event_date"], schema=ENVELOPE_STORED)
     return t.where(F2.col("doc_type") != "dead_letter")
 
 
 def dead_letter_docs(spark: SparkSession, sf_dir: str, ingest_ts: str = K.AS_OF) -> DataFrame:
+    from tidemark.schemas import ENVELOPE_STORED
     envelope(spark, sf_dir, ingest_ts)
     full = (spark.sparkContext.applicationId, "envelope", sf_dir, ingest_ts)
-    return spark.read.parquet(_STORED[full]).where(F.col("doc_type") == "dead_letter")
+    return (spark.read.schema(ENVELOPE_STORED).parquet(_STORED[full])
+                 .where(F.col("doc_type") == "dead_letter"))
 
 
 def long_series(spark: SparkSession, sf_dir: str) -> DataFrame:
