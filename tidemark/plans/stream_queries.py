@@ -118,7 +118,7 @@ def q_stream_daily_sentiment(spark, d):
     out = scratch_dir(spark, "stream_daily_sentiment")
     schema = schemas.ENVELOPE_STORED
     env = (spark.readStream.schema(schema).option("basePath", _env_path(spark, d))
-                .option("maxFilesPerTrigger", "2")
+                .option("maxFilesPerTrigger", "64")
                 .parquet(_env_path(spark, d)).where(F.col("doc_type") == "sentiment"))
     agg = P.daily_sentiment_stream(env)
     w = agg.writeStream.outputMode("update").foreachBatch(P.batch_dir_writer(out + "/data"))
