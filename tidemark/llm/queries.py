@@ -41,3 +41,23 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.createDataFrame(EXTRA_TURNS, "conv_id long, turn long, role string, text string")
     return read_back(format_conversations(turns.unionByName(extra)))
+
+
+@_query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every text of ``documents`` by positive-unlabelled learning from two folds of ``labels``."""
+    from tidemark.llm.toxicity import fit_toxicity, held_out, learnable_label, score_toxicity
+    docs = _table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, _table(spark, sf_dir, "labels"), learnable_label())
+    out = score_toxicity(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", "predicted")
+
+
+@_query
+def op10_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text of ``documents``, learned from four folds of five."""
+    from tidemark.llm.lang_id import fit_language_model, held_out, identify_language
+    docs = _table(spark, sf_dir, "documents")
+    model = fit_language_model(docs.where(~held_out("doc_id", 5, 0)))
+    out = identify_language(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "lang_pred", "score")
