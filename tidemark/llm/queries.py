@@ -61,3 +61,15 @@ def op10_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_language_model(docs.where(~held_out("doc_id", 5, 0)))
     out = identify_language(docs.select("doc_id", "text"), model)
     return out.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "lang_pred", "score")
+
+
+#: Model file of the query of operator 4.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@_query
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode every text of ``documents`` by the transducer and decode it again."""
+    from tidemark.llm.piece_codec import encode_pieces
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encode_pieces(docs, PIECE_MODEL).select("doc_id", "n_pieces", "decodes", "ids")
