@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,3 +58,41 @@ def in_blocks(df: DataFrame, keys: list[str], block: int, order: str) -> DataFra
     out = out.withColumn("_x", F.explode(F.expr("sequence(0, _s - 1)")))
     return (out.withColumn("_bi", F.least("_b", "_x")).withColumn("_bj", F.greatest("_b", "_x"))
             .drop("_x", "_n", "_s"))
+
+
+def each_group(batches, keys: list[str]):
+    """From sorted pandas batches, a dict of numpy arrays for each run of equal ``keys``.
+
+    A group may go over several batches; only its own rows are held.
+    """
+    held: list[dict] = []
+    last = None
+    for batch in batches:
+        cols = {c: batch[c].to_numpy() for c in batch.columns}
+        n = len(batch)
+        if not n:
+            continue
+        change = np.zeros(n, dtype=bool)
+        for k in keys:
+            change[1:] |= cols[k][1:] != cols[k][:-1]
+        first = tuple(cols[k][0] for k in keys)
+        cuts = np.flatnonzero(change).tolist() + [n]
+        start = 0
+        if held and first != last:
+            yield _joined(held)
+            held = []
+        for cut in cuts:
+            part = {c: v[start:cut] for c, v in cols.items()}
+            if cut < n:
+                yield _joined(held + [part]) if held else part
+                held = []
+            else:
+                held.append(part)
+            start = cut
+        last = tuple(cols[k][n - 1] for k in keys)
+    if held:
+        yield _joined(held)
+
+
+def _joined(parts: list[dict]) -> dict:
+    return parts[0] if len(parts) == 1 else {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}

@@ -73,3 +73,10 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.llm.piece_codec import encode_pieces
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return encode_pieces(docs, PIECE_MODEL).select("doc_id", "n_pieces", "decodes", "ids")
+
+
+@_query
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates of ``documents``: 5-word shingles, similarity 0.75 and more."""
+    from tidemark.llm.near_dedup import near_duplicates
+    return near_duplicates(_table(spark, sf_dir, "documents"))
