@@ -80,3 +80,17 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates of ``documents``: 5-word shingles, similarity 0.75 and more."""
     from tidemark.llm.near_dedup import near_duplicates
     return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of ``benchmark``, with the item and the score of the overlap."""
+    from tidemark.llm.decontaminate import find_contamination
+    return find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op6_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of ``embeddings`` at a cosine of 0.98 and more."""
+    from tidemark.llm.vector_dedup import link_vectors
+    return link_vectors(_table(spark, sf_dir, "embeddings"))
