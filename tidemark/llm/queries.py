@@ -94,3 +94,21 @@ def op6_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of ``embeddings`` at a cosine of 0.98 and more."""
     from tidemark.llm.vector_dedup import link_vectors
     return link_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` without lines that repeat an earlier one, exactly or nearly; the kept text by its digest."""
+    from pyspark.sql import functions as F
+
+    from tidemark.llm.line_dedup import dedup_lines
+    out = dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed", F.length("text").alias("kept_chars"),
+                      F.sha2("text", 256).alias("kept_sha256"))
+
+
+@_query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Take 100-byte strings that also start earlier out of every text of ``documents``."""
+    from tidemark.llm.suffix_dedup import remove_repeats
+    return remove_repeats(_table(spark, sf_dir, "documents"), with_bytes=False)
