@@ -4,10 +4,11 @@ Documents of equal shingle sets are one node. Signatures of many universal
 hash minima are cut into bands; nodes that share a band may be linked. First
 every node is held against the smallest node of each of its bands: candidates
 pass the signatures, then the full shingle sets. Links found so far give
-components (large-star, small-star), and within a band only nodes of different
-components are then held against each other, in blocks inside a task, so that a
-large group of copies makes a star of links and not all its pairs, and no link
-between components is lost.
+components (large-star, small-star). Then, within a band, nodes of different
+components are held against each other in blocks inside a task, by signature and
+by full set, and only links that join two components are written: a large group
+of copies makes a star and not all its pairs, and no link between components is
+lost.
 """
 
 from __future__ import annotations
@@ -26,12 +27,12 @@ from tidemark.llm.shingles import mix, shingle_sets
 
 #: Bands and minima in a band: a pair at similarity 0.75 shares no band once in four million.
 BANDS, ROWS = 40, 4
-#: Signatures that agree in a smaller share are no candidates: five standard errors below 0.75.
-SIGNATURE_LEAST = 0.58
+#: Signatures that agree in a smaller share are no candidates: over four standard errors below 0.75.
+SIGNATURE_LEAST = 0.6
 #: Ids of candidates up to which they are broadcast (8 MB); beyond, their texts are found by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Rows of a block within a band.
-BLOCK = 2000
+BLOCK = 1000
 
 
 def minhash(s: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -95,13 +96,8 @@ def _agreement(x: pd.Series, y: pd.Series) -> pd.Series:
     return pd.Series((a == b).mean(axis=1))
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
+def _confirm(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (a, b) whose full sets have den * intersection >= num * union."""
-    ids = stage(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id")))
-                .distinct(), "near-ids")
-    few = ids.count() <= BROADCAST_IDS
-    texts = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
-    sets = stage(_sets(texts, size).dropDuplicates(["doc_id"]), "near-sets")
     both = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), "a")
             .join(sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb")), "b"))
     common = F.size(F.array_intersect("sa", "sb"))
@@ -109,6 +105,90 @@ def _confirm(pairs: DataFrame, docs: DataFrame, size: int, num: int, den: int) -
     return both.withColumn("i", common).where(den * F.col("i") >= num * union).select("a", "b")
 
 
+_GROUP = ["key", "_bi", "_bj"]
+
+
+def _sides(g: dict) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Rows of a pair of blocks that are held against each other, and whether they are one block."""
+    return (np.flatnonzero(g["_b"] == g["_bi"][0]), np.flatnonzero(g["_b"] == g["_bj"][0]),
+            g["_bi"][0] == g["_bj"][0])
+
+
+def _across(member: DataFrame, found: DataFrame, byte: DataFrame, sets: DataFrame, num: int, den: int,
+            block: int) -> DataFrame:
+    """Links (a, b) that join different components: pairs of nodes that share a band.
+
+    Two passes over each pair of blocks of a band. The first holds signatures
+    against each other and passes on the nodes (not the pairs) that have a
+    candidate of another component; the second gets their full sets, tests
+    every pair of different components and gives one link for each two that it
+    joins.
+    """
+    now = member.select("key", "k", F.col("b").alias("id")).join(
+        found.select(F.col("node").alias("id"), "component"), "id", "left"
+    ).select("key", "k", "id", F.coalesce("component", "id").alias("c"))
+    open_ = now.groupBy("key").agg(F.min("c").alias("_l"), F.max("c").alias("_h")).where("_l <> _h").select("key")
+    open_ = stage(now.join(open_, "key").join(byte, "id"), "near-open")
+    dealt = in_blocks(open_, ["key"], block, "id").repartition(*_GROUP).sortWithinPartitions(*_GROUP, "id")
+
+    def candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out, size = [], 0
+        for g in each_group(batches, _GROUP):
+            left, right, one = _sides(g)
+            sig = np.frombuffer(b"".join(g["sig"]), dtype=np.uint8).reshape(len(g["id"]), -1)
+            bands = np.stack(g["bands"])
+            c, n, band = g["c"], g["n"], g["k"][0]
+            hit = np.zeros(len(c), dtype=bool)
+            for i in left:
+                r = right[right > i] if one else right
+                r = r[(c[r] != c[i]) & (den * np.minimum(n[r], n[i]) >= num * np.maximum(n[r], n[i]))]
+                r = r[(sig[r] == sig[i]).mean(axis=1) >= SIGNATURE_LEAST] if len(r) else r
+                if len(r):      # a pair is tested in the first band that it shares
+                    r = r[(bands[r] == bands[i]).argmax(axis=1) == band]
+                if len(r):
+                    hit[i] = True
+                    hit[r] = True
+            at = np.flatnonzero(hit)
+            if len(at):
+                out.append(pd.DataFrame({k: g[k][at] for k in (*_GROUP, "_b", "id", "c", "n")}))
+                size += len(at)
+            if size > 50_000:
+                yield pd.concat(out)
+                out, size = [], 0
+        if out:
+            yield pd.concat(out)
+
+    rows = stage(dealt.mapInPandas(candidates, "key long, _bi int, _bj int, _b int, id long, c long, n long"), "near-rows")
+    full = (rows.join(sets.select(F.col("doc_id").alias("id"), "s"), "id").repartition(*_GROUP)
+            .sortWithinPartitions(*_GROUP, "id"))
+
+    def test(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        a, b = [], []
+        for g in each_group(batches, _GROUP):
+            left, right, one = _sides(g)
+            ids, n = g["id"], g["n"]
+            label = np.unique(g["c"], return_inverse=True)[1]
+            flat = np.unique(np.concatenate(g["s"]), return_inverse=True)[1]
+            begins = np.cumsum(np.concatenate([[0], n[:-1]]))
+            mark = np.zeros(flat.max() + 1, dtype=np.int32)
+            for i in left:
+                if (label[right] == label[i]).all():
+                    continue
+                own = flat[begins[i]:begins[i] + n[i]]
+                mark[own] = 1
+                common = np.add.reduceat(mark[flat], begins)
+                mark[own] = 0
+                r = right[(den * common[right] >= num * (n[right] + n[i] - common[right])) & (label[right] != label[i])]
+                for x in r:
+                    if label[x] != label[i]:
+                        a.append(min(ids[x], ids[i]))
+                        b.append(max(ids[x], ids[i]))
+                        label[label == label[x]] = label[i]
+        yield pd.DataFrame({"a": np.array(a, dtype=np.int64), "b": np.array(b, dtype=np.int64)})
+
+    return full.mapInPandas(test, "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, num: int = 75, den: int = 100, bands: int = BANDS,
                     rows: int = ROWS, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of ``docs`` (doc_id, text).
@@ -126,56 +206,26 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 75, den: int = 10
     same = (sig.where("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2", "n_shingles")
             .agg(F.min_by(F.struct("doc_id", "sig", "bands"), "doc_id").alias("x")))
     nodes = stage(same.select("d1", "d2", "n_shingles", "x.*"), "near-nodes")
-    keyed = nodes.select(F.explode("bands").alias("key"), F.col("doc_id").alias("b"), "n_shingles")
+    keyed = nodes.select(F.posexplode("bands").alias("k", "key"), F.col("doc_id").alias("b"))
     shared = keyed.groupBy("key").agg(F.min("b").alias("a"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
     member = stage(keyed.join(shared, "key"), "near-bands")
     star = member.where("a <> b").select("a", "b").distinct()
-    byte = nodes.select(F.col("doc_id").alias("id"), "sig", F.col("n_shingles").alias("n"))
+    byte = nodes.select(F.col("doc_id").alias("id"), "sig", F.col("n_shingles").alias("n"), "bands")
     star = (star.join(byte.select(F.col("id").alias("a"), F.col("sig").alias("x"), F.col("n").alias("m")), "a")
             .join(byte.select(F.col("id").alias("b"), F.col("sig").alias("y"), "n"), "b")
             .where(den * F.least("m", "n") >= num * F.greatest("m", "n"))
             .where(_agreement("x", "y") >= SIGNATURE_LEAST).select("a", "b"))
     star = stage(star, "near-star")
-    linked = stage(_confirm(star, docs, size, num, den), "near-links")
-    found = connected_components(linked)
+    ids = stage(member.select(F.col("b").alias("doc_id")).distinct(), "near-ids")
+    few = ids.count() <= BROADCAST_IDS
+    texts = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+    sets = stage(_sets(texts, size).dropDuplicates(["doc_id"]), "near-sets")
+    found = connected_components(stage(_confirm(star, sets, num, den), "near-links"))
 
-    # bands whose nodes are not all of one component yet
-    now = member.select("key", F.col("b").alias("id")).join(
-        found.select(F.col("node").alias("id"), "component"), "id", "left"
-    ).select("key", "id", F.coalesce("component", "id").alias("c"))
-    open_ = now.groupBy("key").agg(F.min("c").alias("_l"), F.max("c").alias("_h")).where("_l <> _h").select("key")
-    open_ = stage(now.join(open_, "key").join(byte, "id"), "near-open")
-    dealt = (in_blocks(open_, ["key"], block, "id").repartition("key", "_bi", "_bj")
-             .sortWithinPartitions("key", "_bi", "_bj", "id"))
-
-    def across(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        a, b, total = [], [], 0
-        for g in each_group(batches, ["key", "_bi", "_bj"]):
-            side, other = g["_b"] == g["_bi"][0], g["_b"] == g["_bj"][0]
-            one = g["_bi"][0] == g["_bj"][0]
-            sig = np.frombuffer(b"".join(g["sig"]), dtype=np.uint8).reshape(len(side), -1)
-            ids, c, n = g["id"], g["c"], g["n"]
-            left, right = np.flatnonzero(side), np.flatnonzero(other)
-            for i in left:
-                r = right[right > i] if one else right
-                r = r[(c[r] != c[i]) & (den * np.minimum(n[r], n[i]) >= num * np.maximum(n[r], n[i]))]
-                if len(r):
-                    r = r[(sig[r] == sig[i]).mean(axis=1) >= SIGNATURE_LEAST]
-                    a.append(np.minimum(ids[r], ids[i]))
-                    b.append(np.maximum(ids[r], ids[i]))
-                    total += len(r)
-            if total > 100_000:
-                yield pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
-                a, b, total = [], [], 0
-        if total:
-            yield pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)})
-
-    more = dealt.mapInPandas(across, "a long, b long").distinct().join(star, ["a", "b"], "left_anti")
-    more = stage(more, "near-more")
-    links = linked
+    # what the stars have left apart
+    more = stage(_across(member, found, byte, sets, num, den, block), "near-more")
     if more.limit(1).count():
-        links = linked.unionByName(_confirm(more, docs, size, num, den))
-        found = connected_components(links)
+        found = connected_components(found.where("node <> component").select("node", "component").union(more))
 
     node = nodes.select("d1", "d2", "n_shingles", F.col("doc_id").alias("node")).join(found, "node", "left").select(
         "d1", "d2", "n_shingles", F.coalesce("component", "node").alias("_c"))
