@@ -56,6 +56,55 @@ def test_pluggable_scorer_loaded_once_per_worker(spark):
     assert lex == {"A": "POSITIVE", "B": "NEGATIVE", "C": None}
 
 
+class CountingScorer(Scorer):
+    """Notes each load with its worker."""
+
+    def __init__(self, folder):
+        self.folder = folder
+
+    def load(self):
+        import os
+        import uuid
+        with open(f"{self.folder}/{os.getpid()}-{uuid.uuid4().hex}", "w"):
+            pass
+
+    def score(self, texts):
+        return texts.map(lambda t: "NEUTRAL"), texts.map(lambda t: 0.0)
+
+
+def test_model_loads_once_a_worker(spark, tmp_path):
+    import os
+    df = spark.range(1200).selectExpr("cast(id as string) as text").repartition(12)
+    batch_score(df, "text", CountingScorer(str(tmp_path))).write.format("noop").mode("overwrite").save()
+    loads = [f.split("-")[0] for f in os.listdir(tmp_path)]
+    assert loads and len(loads) == len(set(loads))
+
+
+def test_repeated_updates_do_not_multiply_documents(spark):
+    from tidemark.operators.envelope import to_envelope
+    from tidemark.operators.scoring import apply_scores, score_updates
+    recs = spark.createDataFrame([("twitter_raw", 0, i, 1, '{"id": "%d", "company": "c", "text": "great"}' % i)
+                                  for i in range(5)],
+                                 "topic string, partition int, offset long, timestamp_ms long, value string")
+    env = to_envelope(recs, "2024-01-01T00:00:00")
+    once = score_updates(env, "2024-01-02")
+    both = once.unionByName(score_updates(env, "2024-01-03"))
+    got = apply_scores(env, both)
+    assert got.count() == 5
+    assert {r[0] for r in got.select("data.processed_at").collect()} == {"2024-01-03"}
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    import pytest
+
+    from tidemark.session import _local_folder
+
+    class Context:
+        master = "spark://somewhere:7077"
+    with pytest.raises(ValueError):
+        _local_folder(Context())
+
+
 def test_gbt_estimator_small(spark):
     df = spark.createDataFrame([(float(i), float(i % 3), float(2 * i)) for i in range(30)],
                                "open double, avg_sentiment double, target_price double")

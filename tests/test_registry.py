@@ -2,6 +2,7 @@
 gate uses sf0.01; tools/compare.py runs that locally)."""
 
 import os
+import re
 
 import duckdb
 import pytest
@@ -31,7 +32,7 @@ def test_entry(spark):
 def test_every_query_has_an_oracle_or_is_model_output():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) <= SLOW
+    assert {k for k in set(q) - set(o) if not re.match(r"op\d+_|pipeline$", k)} <= SLOW
 
 
 @pytest.mark.parametrize("name", sorted(set(E.oracle_sql())))

@@ -30,7 +30,7 @@ def price_scan(env: DataFrame) -> DataFrame:
                        F.col("data.opening_price").alias("opening_price"),
                        F.col("data.high").alias("high"), F.col("data.low").alias("low"),
                        F.col("data.volume").alias("volume"),
-                       *[c for c in ("kafka_timestamp_ms", "kafka_offset") if c in env.columns]))
+                       *[c for c in ("kafka_timestamp_ms", "kafka_partition", "kafka_offset") if c in env.columns]))
 
 
 def price_rows(env: DataFrame) -> DataFrame:
@@ -39,7 +39,7 @@ def price_rows(env: DataFrame) -> DataFrame:
     return p.select(date_part(F.col("timestamp").cast("string")).alias("date"), "symbol",
                     F.col("closing_price").alias("close"), F.col("opening_price").alias("open"),
                     "high", "low", "volume",
-                    *[c for c in ("kafka_timestamp_ms", "kafka_offset") if c in p.columns])
+                    *[c for c in ("kafka_timestamp_ms", "kafka_partition", "kafka_offset") if c in p.columns])
 
 
 def unscored_texts(env: DataFrame, types=None) -> DataFrame:

@@ -31,21 +31,23 @@ def dead_letters(records: DataFrame, value: str = "value") -> DataFrame:
     return records.where(F.try_parse_json(F.col(value)).isNull())
 
 
-def to_envelope(records: DataFrame, ingest_ts: str = K.AS_OF,
+def to_envelope(records: DataFrame, ingest_ts: str | None = None,
                 topic: str = "topic", value: str = "value", timestamp_ms: str = "timestamp_ms",
                 keep_dead_letters: bool = False,
                 prices_topic: str = K.TOPIC_PRICES, scored_topic: str = K.TOPIC_SCORED,
-                raw_topics=K.RAW_TEXT_TYPES) -> DataFrame:
+                raw_topics=K.RAW_TEXT_TYPES, epoch_times: bool = False) -> DataFrame:
     """Route topic records into the envelope of SURVEY §1.2.
 
-    ``ingest_ts`` replaces the reference's wall clock for default timestamps
-    (deterministic). Records whose value is not JSON are dropped unless
+    ``ingest_ts`` is the time of messages that carry none; by default the time
+    of the (micro-)batch, a fixed one makes results repeatable. With
+    ``epoch_times`` a headline's epoch seconds (``ts``) are its time. Records whose value is not JSON are dropped unless
     ``keep_dead_letters`` (then they carry ``type = 'dead_letter'``).
     """
     df = parse_value(records, value)
     v, obj = F.col("_v"), F.col("_is_object")
     t = F.col(topic)
-    now = F.lit(ingest_ts)
+    now = F.lit(ingest_ts) if ingest_ts is not None else F.date_format(
+        F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     is_price = obj & (t == prices_topic)
     is_scored = obj & (t == scored_topic)
     is_social = obj & t.isin(*raw_topics)
@@ -57,9 +59,10 @@ def to_envelope(records: DataFrame, ingest_ts: str = K.AS_OF,
                .when(is_scored | is_social, _get(v, "company"))
                .when(is_other, F.coalesce(falsy_to_null(_get(v, "symbol")), _get(v, "company")))
                .otherwise(null_s))
+    epoch = epoch_string(_get(v, "ts", "double")) if epoch_times else F.lit(None).cast("string")
     ts = (F.when(~obj, now)
            .when(is_price | is_scored, _get(v, "timestamp"))
-           .otherwise(F.coalesce(falsy_to_null(_get(v, "timestamp")), now)))
+           .otherwise(F.coalesce(falsy_to_null(_get(v, "timestamp")), epoch, now)))
     ts = F.coalesce(ts, now)   # C6: still missing -> ingest time
     kind = (F.when(v.isNull(), F.lit("dead_letter")).when(~obj, F.lit("unknown"))
              .when(is_price, F.lit("price")).when(is_scored, F.lit("sentiment"))
@@ -93,6 +96,11 @@ def to_envelope(records: DataFrame, ingest_ts: str = K.AS_OF,
     return out
 
 
+def epoch_string(seconds: Column) -> Column:
+    """Epoch seconds as the documents' time strings are written (UTC)."""
+    return F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+
+
 def flatten_envelope(env: DataFrame) -> DataFrame:
     """Envelope -> flat columns (report / oracle shape)."""
     d = [f.name for f in env.schema["data"].dataType.fields]

@@ -50,6 +50,11 @@ class Scorer:
     def load(self) -> None:  # pragma: no cover - trivial default
         pass
 
+    def key(self) -> str:
+        """What makes two scorers the same model: the class and its settings
+        (as they are before ``load``). Override it where settings are large."""
+        return f"{type(self).__module__}.{type(self).__qualname__}:{sorted(vars(self).items())!r}"
+
     def score(self, texts: pd.Series) -> tuple[pd.Series, pd.Series]:
         raise NotImplementedError
 
@@ -82,7 +87,21 @@ class LexiconScorer(Scorer):
         return label, score
 
 
-_LOADED: dict[int, Scorer] = {}
+#: Loaded models of this Python worker by the scorer's key.
+_LOADED: dict[str, Scorer] = {}
+
+
+def loaded(scorer: Scorer) -> Scorer:
+    """The worker's loaded copy of ``scorer``: tasks that follow in the same worker find it.
+
+    Lives in this importable module, so it is one per worker and not one per
+    task; the key names class and settings, as a task's scorer is a new object.
+    """
+    key = scorer.key()
+    if key not in _LOADED:
+        scorer.load()
+        _LOADED[key] = scorer
+    return _LOADED[key]
 
 
 def scorer_column(scorer: Scorer, text: Column) -> Column:
@@ -90,11 +109,8 @@ def scorer_column(scorer: Scorer, text: Column) -> Column:
 
     @F.pandas_udf(SCORE_TYPE)
     def _score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        key = id(scorer)
-        model = _LOADED.get(key)
-        if model is None:
-            scorer.load()
-            model = _LOADED[key] = scorer
+        from tidemark.operators.scoring import loaded as worker_copy
+        model = worker_copy(scorer)
         for texts in batches:
             label, score = model.score(texts)
             yield pd.DataFrame({"label": label.values, "score": score.values})
@@ -132,20 +148,31 @@ def unscored_antijoin(items: DataFrame, scored: DataFrame, key: str) -> DataFram
 DOC_KEY = ("source_topic", "kafka_partition", "kafka_offset")
 
 
-def score_updates(env: DataFrame, processed_at: str, scorer: Scorer | None = None,
+def score_updates(env: DataFrame, processed_at: str | None = None, scorer: Scorer | None = None,
                   types=None) -> DataFrame:
     """Scores for the unscored raw documents: key + new label/score (B5 input)."""
     from tidemark.operators.daily import unscored_texts
     todo = unscored_texts(env, types).select(*DOC_KEY, F.col("data.text").alias("text"))
     s = batch_score(todo, "text", scorer).where(F.col("sentiment_label").isNotNull())
     return s.select(*DOC_KEY, "text", "sentiment_label", "sentiment_score",
-                    F.lit(processed_at).alias("processed_at"))
+                    processing_time(processed_at).alias("processed_at"))
+
+
+def processing_time(at: str | None = None) -> Column:
+    """``at``, or the time of the batch, as the documents' time strings are written."""
+    return F.lit(at) if at is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
 
 
 def apply_scores(env: DataFrame, updates: DataFrame, key: Sequence[str] = DOC_KEY) -> DataFrame:
     """Key-matched update (B5/J4): matched documents become ``sentiment`` with
     the new label and score, the original text and the processing time; all
-    other documents pass unchanged. A left join on the document key."""
+    other documents pass unchanged. A left join on the document key; repeated
+    updates of a key count once, so no document is multiplied."""
+    # a replay or a second scorer run repeats keys: the latest processing time counts
+    newest = updates.groupBy(*key).agg(F.max_by(
+        F.struct("sentiment_label", "sentiment_score", "text", "processed_at"), F.struct("processed_at", "sentiment_label",
+                                                                                         "sentiment_score", "text")).alias("_tm_u"))
+    updates = newest.select(*key, "_tm_u.*")
     u = updates.select(*key, F.lit(True).alias("_tm_hit"),
                        F.col("sentiment_label").alias("_tm_label"),
                        F.col("sentiment_score").alias("_tm_score"),
@@ -177,3 +204,45 @@ def score_in_place(env: DataFrame, processed_at: str, scorer: Scorer | None = No
              .withField("original_text", F.when(hit, d["text"]).otherwise(d["original_text"]))
              .withField("processed_at", F.when(hit, F.lit(processed_at)).otherwise(d["processed_at"])))
     return t.withColumn("data", data).select(*env.columns)
+
+
+def update_store(spark, store: str, updates: DataFrame, key: Sequence[str] = DOC_KEY) -> int:
+    """Write ``updates`` into the stored envelope table (B5/T7): the next poll skips what is scored.
+
+    ``store`` is partitioned by ``doc_type`` and ``event_date``. Only the event
+    days that hold a document to update are read and rewritten: their rows with
+    the scores applied are staged beside the table, then each touched partition
+    is swapped for its staged one (a document moves from its raw type's
+    partition to ``sentiment``). Returns the number of partitions swapped.
+    """
+    from tidemark.schemas import ENVELOPE_STORED
+    from tidemark.session import scratch_dir
+    env = spark.read.schema(ENVELOPE_STORED).parquet(store)
+    keys = updates.select(*key).distinct()
+    days = [r[0] for r in env.join(keys, list(key), "left_semi").select("event_date").distinct().collect()]  # one a day
+    if not days:
+        return 0
+    touched = env.where(F.col("event_date").isin([x for x in days if x is not None])
+                        | (F.col("event_date").isNull() if None in days else F.lit(False)))
+    new = apply_scores(touched, updates, key).withColumn("doc_type", F.col("data.type"))
+    staged = scratch_dir(spark, "update-store") + "/staged"
+    new.write.partitionBy("doc_type", "event_date").parquet(staged)
+    old = {tuple(r) for r in touched.select("doc_type", "event_date").distinct().collect()}
+    fresh = {tuple(r) for r in spark.read.schema(ENVELOPE_STORED).parquet(staged)
+             .select("doc_type", "event_date").distinct().collect()}
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(store).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def folder(root: str, kind, day) -> str:
+        null = "__HIVE_DEFAULT_PARTITION__"
+        return f"{root}/doc_type={kind if kind is not None else null}/event_date={day if day is not None else null}"
+    for kind, day in sorted(old | fresh, key=str):
+        target = path(folder(store, kind, day))
+        if (kind, day) in old:
+            fs.delete(target, True)
+        if (kind, day) in fresh:
+            fs.mkdirs(target.getParent())
+            fs.rename(path(folder(staged, kind, day)), target)
+    spark.catalog.refreshByPath(store)
+    return len(old | fresh)

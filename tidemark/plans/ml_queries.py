@@ -12,13 +12,17 @@ from tidemark.sources import bindings as B
 ML_FEATURES = list(K.FEATURES)
 
 
-def _feature_frame(spark, d):
-    """Bars with forward-filled daily sentiment (P1 over bars), split."""
-    from tidemark.operators.ml import add_split_features
+def _features(spark, d):
+    """Bars with forward-filled daily sentiment (P1 over bars), the newest row of a symbol included."""
     from tidemark.plans.training import prepare_from_bars
     f = prepare_from_bars(B.bars(spark, d), _mapped_daily(spark, d))
-    f = f.select("date", "symbol", *ML_FEATURES)
-    return add_split_features(f, "open", ("date", "symbol"), ("symbol",), _bucket())
+    return f.select("date", "symbol", *ML_FEATURES)
+
+
+def _feature_frame(spark, d):
+    """The features with the next row's target, split."""
+    from tidemark.operators.ml import add_split_features
+    return add_split_features(_features(spark, d), "open", ("date", "symbol"), ("symbol",), _bucket())
 
 
 _FITTED: dict = {}
@@ -53,11 +57,35 @@ def q_eval_by_split(spark, d):
 
 @query("predict_next_day")
 def q_predict_next_day(spark, d):
-    """M6: next-day prediction from the newest row of every symbol."""
+    """M6: next-day prediction from the newest complete row of every symbol."""
     from tidemark.operators.ml import predict_latest
-    frame, model, _ = _fitted(spark, d)
-    return predict_latest(model, frame.drop("row_id", "n_rows", "split", "target_price")).select(
-        "symbol", "date", "prediction")
+    _, model, _ = _fitted(spark, d)
+    newest = _features(spark, d).na.drop(subset=ML_FEATURES)      # no target is needed to predict
+    return predict_latest(model, newest).select("symbol", "date", "prediction")
+
+
+@query("predict_next_day_keys")
+def q_predict_next_day_keys(spark, d):
+    """M6: the symbols and the newest days that are predicted from."""
+    return q_predict_next_day(spark, d).select("symbol", "date")
+
+
+@query("ml_split_rows")
+def q_ml_split_rows(spark, d):
+    """The rows that training sees, with target and split."""
+    return _feature_frame(spark, d).select("symbol", "date", "open", "target_price", "split")
+
+
+@query("gbt_test_keys")
+def q_gbt_test_keys(spark, d):
+    """The rows that the test predictions are for, each predicted."""
+    return q_gbt_predict(spark, d).select("symbol", "date", F.col("prediction").isNotNull().alias("predicted"))
+
+
+@query("model_roundtrip_same")
+def q_model_roundtrip_same(spark, d):
+    """How many test rows a saved and loaded model predicts as before."""
+    return q_model_roundtrip(spark, d).groupBy("same").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("model_roundtrip")

@@ -16,8 +16,8 @@ SCORED_TOPICS = "('sentiment_scored','twitter_raw','reddit_raw','news_raw')"
 
 EV = """
 ev0 AS (
-  SELECT *, 'U'||lpad(CAST(user_id AS VARCHAR),4,'0') AS sym,
-            'u'||lpad(CAST(user_id AS VARCHAR),4,'0') AS comp,
+  SELECT *, 'U'||lpad(CAST(user_id AS VARCHAR),greatest(4,length(CAST(user_id AS VARCHAR)))::INT,'0') AS sym,
+            'u'||lpad(CAST(user_id AS VARCHAR),greatest(4,length(CAST(user_id AS VARCHAR)))::INT,'0') AS comp,
             strftime(ts,'%Y-%m-%d') AS day,
             strftime(ts,'%Y-%m-%dT%H:%M:%S.%f') AS iso,
             CASE event_type WHEN 'error' THEN 'NEGATIVE' WHEN 'purchase' THEN 'POSITIVE'
@@ -257,6 +257,27 @@ o AS (SELECT * FROM m WHERE j IS NOT NULL AND json_type(j) = 'OBJECT')""") + """
 SELECT topic, "offset" AS offset, timestamp_ms, j->>'$.id' AS id, j->>'$.company' AS company,
   j->>'$.timestamp' AS timestamp, j->>'$.text' AS text, j->>'$.sentiment_label' AS sentiment_label,
   round(TRY_CAST(json_extract(j, '$.sentiment_score') AS DOUBLE), 6) AS sentiment_score FROM o"""
+    q["headline_union"] = with_(EV) + """
+SELECT CASE WHEN event_id % 2 = 0 THEN 'reddit_raw' ELSE 'news_raw' END AS topic, event_id AS "offset",
+  CAST(event_id AS VARCHAR) AS id, txt AS text, floor(epoch(ts))::DOUBLE AS ts,
+  strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S.%f') AS event_time
+FROM ev WHERE event_type = 'purchase'"""
+    q["headline_envelope"] = with_(EV) + """
+SELECT CASE WHEN event_id % 2 = 0 THEN 'reddit_raw' ELSE 'news_raw' END AS source_topic, event_id AS kafka_offset,
+  CAST(NULL AS VARCHAR) AS symbol, strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S.%f') AS timestamp,
+  txt AS text, CAST(event_id AS VARCHAR) AS id
+FROM ev WHERE event_type = 'purchase'"""
+    target = """
+tgt AS (SELECT * FROM (SELECT *, lead(open) OVER (PARTITION BY symbol ORDER BY date) AS target_price FROM bars)
+        WHERE target_price IS NOT NULL)"""
+    ml_split = SPLIT.format(val_end=VAL_END).replace("FROM bars", "FROM tgt")
+    q["ml_split_rows"] = with_(EV, BARS, target, ml_split) + """
+SELECT symbol, date, round(open, 6) AS open, round(target_price, 6) AS target_price, split FROM split"""
+    q["gbt_test_keys"] = with_(EV, BARS, target, ml_split) + """
+SELECT symbol, date, true AS predicted FROM split WHERE split = 'test'"""
+    q["model_roundtrip_same"] = with_(EV, BARS, target, ml_split) + """
+SELECT true AS same, count(*) AS n FROM split WHERE split = 'test'"""
+    q["predict_next_day_keys"] = with_(EV, BARS) + "\nSELECT symbol, max(date) AS date FROM bars GROUP BY symbol"
     q["price_scan"] = env_query(
         "SELECT symbol, timestamp, round(closing_price, 6) AS closing_price, "
         "round(opening_price, 6) AS opening_price, round(high, 6) AS high, round(low, 6) AS low, "
@@ -358,6 +379,7 @@ SELECT source_topic, kafka_timestamp_ms, kafka_partition, kafka_offset, symbol,
   CASE WHEN {upd} THEN text ELSE original_text END AS original_text,
   CASE WHEN {upd} THEN '{K.AS_OF}' ELSE processed_at END AS processed_at, payload
 FROM env""")
+    q["score_store"] = q["apply_scores"]
     q["daily_sentiment"] = env_query("""
 SELECT company, date, round(avg_sentiment, 6) AS avg_sentiment, sentiment_count,
   round(positive_ratio, 6) AS positive_ratio FROM daily""", extra="""

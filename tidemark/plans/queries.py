@@ -99,6 +99,23 @@ def q_multi_topic_union(spark, d):
                     "sentiment_label", "sentiment_score")
 
 
+@query("headline_union")
+def q_headline_union(spark, d):
+    """Forum and news headlines, decoded with the union schema; their epoch seconds as event time."""
+    from tidemark import schemas
+    from tidemark.operators.envelope import epoch_string, read_topics
+    t = read_topics(B.headlines(spark, d), [K.TOPIC_REDDIT, K.TOPIC_NEWS], schemas.ANY_MESSAGE, keep=("topic", "offset"))
+    return t.select("topic", "offset", "id", "text", "ts", epoch_string(F.col("ts")).alias("event_time"))
+
+
+@query("headline_envelope")
+def q_headline_envelope(spark, d):
+    """Headlines in the envelope, timed by their epoch seconds."""
+    from tidemark.operators.envelope import flatten_envelope, to_envelope
+    env = flatten_envelope(to_envelope(B.headlines(spark, d), ingest_ts=K.AS_OF, epoch_times=True))
+    return env.select("source_topic", "kafka_offset", "symbol", "timestamp", "text", "id")
+
+
 @query("price_scan")
 def q_price_scan(spark, d):
     """A4/F1: price documents, 7 projected fields."""
@@ -315,6 +332,23 @@ def q_apply_scores(spark, d):
     return flatten_envelope(apply_scores(env, upd))
 
 
+@query("score_store")
+def q_score_store(spark, d):
+    """The store's unscored documents scored, and the scores written into
+    the store: touched partitions staged, then swapped."""
+    from tidemark.operators.envelope import flatten_envelope
+    from tidemark.operators.scoring import score_updates, update_store
+    from tidemark.schemas import ENVELOPE_STORED
+    from tidemark.session import scratch_dir
+    store = scratch_dir(spark, "score_store") + "/store"
+    B.envelope(spark, d).write.partitionBy("doc_type", "event_date").parquet(store)
+
+    def read():
+        return spark.read.schema(ENVELOPE_STORED).parquet(store)
+    update_store(spark, store, score_updates(read(), K.AS_OF))
+    return flatten_envelope(read())
+
+
 # ---------------------------------------------------------------- 2.6 aggregations
 @query("daily_sentiment")
 def q_daily_sentiment(spark, d):

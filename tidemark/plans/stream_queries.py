@@ -83,9 +83,9 @@ def q_envelope_sink(spark, d):
     from tidemark.operators.envelope import flatten_envelope
     out = scratch_dir(spark, "envelope_sink")
     P.start_envelope_job(file_stream(spark, _log_path(spark, d), max_files_per_trigger=4),
-                         out + "/data", out + "/_checkpoint")
+                         out + "/data", out + "/_checkpoint", K.AS_OF)
     t = spark.read.parquet(out + "/data").where(F.col("doc_type") != "dead_letter")
-    return flatten_envelope(t.drop("batch_id"))
+    return flatten_envelope(t.drop(*P.BATCH_COLUMNS))
 
 
 @query("index_sink")
@@ -96,7 +96,7 @@ def q_index_sink(spark, d):
     recs = file_stream(spark, _log_path(spark, d)).where(F.col("topic") == K.TOPIC_SCORED)
     docs = P.parsed_stream(recs, schemas.SCORED).drop("topic", "partition", "timestamp_ms")
     P.start_index_job(docs, out + "/index", out + "/dead", out + "/_checkpoint")
-    return spark.read.parquet(out + "/index").drop("batch_id", "sentiment")
+    return spark.read.parquet(out + "/index").drop(*P.BATCH_COLUMNS, "sentiment")
 
 
 @query("incremental_scoring")
@@ -113,14 +113,12 @@ def q_incremental_scoring(spark, d):
 
 @query("stream_daily_sentiment")
 def q_stream_daily_sentiment(spark, d):
-    """G1 as a stream: 1-day windows per company with a watermark (update mode,
-    newest version per key read back)."""
+    """G1 as a stream: each batch stores its partial sums per company and day,
+    added up on read."""
     out = scratch_dir(spark, "stream_daily_sentiment")
     schema = schemas.ENVELOPE_STORED
     env = (spark.readStream.schema(schema).option("basePath", _env_path(spark, d))
-                .option("maxFilesPerTrigger", "64")
+                .option("maxFilesPerTrigger", "8")
                 .parquet(_env_path(spark, d)).where(F.col("doc_type") == "sentiment"))
-    agg = P.daily_sentiment_stream(env)
-    w = agg.writeStream.outputMode("update").foreachBatch(P.batch_dir_writer(out + "/data"))
-    P.run(w, out + "/_checkpoint")
-    return P.latest_per_key(out + "/data", spark, ["company", "date"])
+    P.start_daily_sentiment(env, out + "/data", out + "/_checkpoint")
+    return P.merge_sentiment_partials(spark.read.parquet(out + "/data"))

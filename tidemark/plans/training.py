@@ -17,7 +17,7 @@ from tidemark.operators import daily as D
 from tidemark.operators import relational as R
 from tidemark.operators import series as S
 
-PRICE_ORDER = ("date", "kafka_timestamp_ms", "kafka_offset")
+PRICE_ORDER = ("date", "kafka_timestamp_ms", "kafka_partition", "kafka_offset")
 FILL_COLUMNS = ("open", "high", "low", "close", "volume", "avg_sentiment",
                 "sentiment_count", "positive_ratio")
 

@@ -34,7 +34,8 @@ ANY_MESSAGE = (T.StructType()
                .add("high", T.DoubleType()).add("low", T.DoubleType())
                .add("volume", T.DoubleType())
                .add("sentiment_label", T.StringType()).add("sentiment_score", T.DoubleType())
-               .add("sentiment", T.StringType()))
+               .add("sentiment", T.StringType())
+               .add("ts", T.DoubleType()))
 
 ENVELOPE_DATA = (T.StructType()
                  .add("type", T.StringType())

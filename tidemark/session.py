@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -62,27 +61,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     cur = sc.getCheckpointDir()
     if cur:
         return cur
-    base = sc.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-")
+    base = sc.getConf().get("spark.checkpoint.dir", None) or _local_folder(sc)
     sc.setCheckpointDir(base)
     return sc.getCheckpointDir() or base
 
 
+def _local_folder(sc) -> str:
+    """A folder of this machine, for a local master only."""
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="tidemark-")
+
+
 def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh directory under the cluster's shared checkpoint folder.
 
     The folder is the session's ``spark.checkpoint.dir`` (or the context's
-    checkpoint dir). Only when neither is set (local runs, tests) a local
-    directory is created and registered as the checkpoint dir.
+    checkpoint dir). Only when neither is set and the master is local a local
+    directory is created and registered as the checkpoint dir; on a cluster
+    that is an error. Writers create the directory.
     """
     sc = spark.sparkContext
     base = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="tidemark-")
+        base = _local_folder(sc)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
         base = sc.getCheckpointDir() or base
     sub = f"{name or 'run'}-{uuid.uuid4().hex[:10]}"
-    path = base.rstrip("/") + "/" + sub
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1) if path.startswith("file:") else path, exist_ok=True)
-    return path
+    return base.rstrip("/") + "/" + sub

@@ -32,7 +32,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def tag(prefix: str, col: str = "user_id") -> Column:
-    return F.concat(F.lit(prefix), F.lpad(F.col(col).cast("string"), 4, "0"))
+    """``prefix`` and the id in at least four digits (longer ids stay whole)."""
+    s = F.col(col).cast("string")
+    return F.concat(F.lit(prefix), F.lpad(s, F.greatest(F.lit(4), F.length(s)), F.lit("0")))
 
 
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,6 +187,17 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
                        message_value().alias("value"))
 
 
+def headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every purchase as a forum or news headline: topic records whose value has
+    an id, a text and epoch seconds, and no company."""
+    ev = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp")).cast("double")
+    value = F.to_json(F.struct(F.col("event_id").cast("string").alias("id"), _text_col().alias("text"), seconds.alias("ts")))
+    return ev.select(F.when(F.col("event_id") % 2 == 0, K.TOPIC_REDDIT).otherwise(K.TOPIC_NEWS).alias("topic"),
+                     (F.col("user_id") % 4).cast("int").alias("partition"), F.col("event_id").alias("offset"),
+                     F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp_ms"), value.alias("value"))
+
+
 _STORED: dict[tuple, str] = {}
 _READ: dict[tuple, DataFrame] = {}
 

@@ -3,8 +3,9 @@
 Every job is one streaming query with a stable checkpoint directory (the
 reference made a new random one per run, so each restart re-read the whole
 topic: D20). Sinks are idempotent per micro-batch: a batch writes its own
-``batch_id=N`` directory with overwrite, so a replay after a failure replaces
-rather than duplicates its output.
+``query_id=Q/batch_id=N`` directory with overwrite, so a replay after a failure
+replaces rather than duplicates its output, and a query started on a new
+checkpoint (whose batch ids begin at 0 again) never overwrites an older one's.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import constants as K
 from tidemark import schemas
@@ -33,14 +35,24 @@ def run(writer, checkpoint: str, available_now: bool = True, processing_time: st
     return q
 
 
+def batch_path(path: str, df: DataFrame, batch_id: int) -> str:
+    """Where batch N of the running query writes: the query id is part of it."""
+    query = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+    return f"{path}/query_id={query}/batch_id={batch_id}"
+
+
+#: Partition columns of a table of batch directories.
+BATCH_COLUMNS = ("query_id", "batch_id")
+
+
 def batch_dir_writer(path: str, partition_by: list[str] | None = None,
                      fmt: str = "parquet") -> Callable[[DataFrame, int], None]:
-    """foreachBatch writer: batch N -> ``path/batch_id=N`` (overwrite = idempotent)."""
+    """foreachBatch writer: batch N -> its own directory (overwrite = idempotent)."""
     def write(df: DataFrame, batch_id: int) -> None:
         w = df.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.format(fmt).save(f"{path}/batch_id={batch_id}")
+        w.format(fmt).save(batch_path(path, df, batch_id))
     return write
 
 
@@ -68,8 +80,7 @@ def topic_count_writer(path: str) -> Callable[[DataFrame, int], None]:
     """Per-batch record count by topic, one small row set per batch."""
     def write(df: DataFrame, batch_id: int) -> None:
         (df.groupBy("topic").agg(F.count(F.lit(1)).alias("n_rows"))
-           .withColumn("batch_id", F.lit(batch_id))
-           .write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}"))
+           .write.mode("overwrite").parquet(batch_path(path, df, batch_id)))
     return write
 
 
@@ -77,7 +88,16 @@ def json_value_writer(path: str, key: str | None = "id") -> Callable[[DataFrame,
     """B1 as a batch writer: rows -> JSON values (a topic sink stand-in)."""
     def write(df: DataFrame, batch_id: int) -> None:
         json_value_stream(df.drop("topic", "partition", "offset"), key).write.mode(
-            "overwrite").json(f"{path}/batch_id={batch_id}")
+            "overwrite").json(batch_path(path, df, batch_id))
+    return write
+
+
+def topic_writer(options: dict, fmt: str = "kafka", key: str | None = "id") -> Callable[[DataFrame, int], None]:
+    """B1: rows as JSON values to a topic (``options``: see ``kafka_sink_options``)
+    or any other batch sink ``fmt``; at-least-once, as a broker sink is."""
+    def write(df: DataFrame, batch_id: int) -> None:
+        json_value_stream(df.drop("topic", "partition", "offset"), key).write.format(
+            fmt).options(**options).mode("append").save()
     return write
 
 
@@ -125,12 +145,15 @@ class ObservedCounts:
     """Per-batch counts published by ``observe("per_topic", ...)`` and
     summed per query on the driver, from query progress events. Nothing
     re-reads the source (the reference started an extra counting query per
-    topic). Register with ``spark.streams.addListener(obs.listener)``."""
+    topic). Register with ``spark.streams.addListener(obs.listener)``. The
+    totals cover all batches; of single batches the last ``keep`` are held."""
+
+    def __init__(self, name: str = "per_topic", keep: int = 100):
+        from collections import deque
 
-    def __init__(self, name: str = "per_topic"):
         from pyspark.sql.streaming import StreamingQueryListener
         self.name = name
-        self.batches: list[dict] = []
+        self.batches: deque[dict] = deque(maxlen=keep)
         self.totals: dict[str, int] = {}
         outer = self
 
@@ -164,9 +187,12 @@ def topic_counts_stream(records: DataFrame) -> DataFrame:
 
 
 def latest_per_key(path: str, spark: SparkSession, keys: list[str]) -> DataFrame:
-    """Read an update-mode batch-dir table: the newest version of every key."""
+    """Read an update-mode batch-dir table: the newest version of every key.
+    Versions are ordered by batch, so the table must be one query's."""
     t = spark.read.parquet(path)
-    others = [c for c in t.columns if c not in keys and c != "batch_id"]
+    if t.select("query_id").distinct().limit(2).count() > 1:
+        raise ValueError(f"{path} holds batches of several queries; read one query_id")
+    others = [c for c in t.columns if c not in keys and c not in BATCH_COLUMNS]
     return (t.groupBy(*keys)
              .agg(F.max_by(F.struct(*others), F.col("batch_id")).alias("_v"))
              .select(*keys, "_v.*"))
@@ -176,40 +202,102 @@ def latest_per_key(path: str, spark: SparkSession, keys: list[str]) -> DataFrame
 ENVELOPE_KEY = ["source_topic", "kafka_partition", "kafka_offset"]
 
 
-def envelope_stream(records: DataFrame, ingest_ts: str = K.AS_OF,
-                    dedupe_delay: str = "1 hour") -> DataFrame:
-    """T5: topic records -> envelope documents, de-duplicated on the record key.
+def envelope_stream(records: DataFrame, ingest_ts: str | None = None) -> DataFrame:
+    """T5: topic records -> envelope documents with their type and event day.
 
-    Redelivered records (at-least-once sources, restarts) are dropped by
-    ``dropDuplicatesWithinWatermark`` on (topic, partition, offset); the
-    watermark on the broker timestamp bounds the de-dup state.
+    Stateless: order and lateness of records do not matter. Redelivered records
+    are taken out by the sink (``envelope_writer``), which knows what is stored.
     """
     env = to_envelope(records, ingest_ts=ingest_ts, keep_dead_letters=True)
-    env = env.withColumn("_tm_event", F.timestamp_millis("kafka_timestamp_ms"))
-    env = env.withWatermark("_tm_event", dedupe_delay).dropDuplicatesWithinWatermark(ENVELOPE_KEY)
-    return env.drop("_tm_event").withColumn("doc_type", F.col("data.type"))
+    return env.withColumns({"doc_type": F.col("data.type"), "event_date": F.substring("timestamp", 1, 10)})
+
+
+def envelope_writer(table: str) -> Callable[[DataFrame, int], None]:
+    """foreachBatch writer of the envelope table, partitioned by type and event day.
+
+    A record is stored once: a batch keeps one row per (topic, partition,
+    offset) and drops those that earlier batches hold. A redelivered record has
+    the same type and broker time, so only the stored rows within the batch's
+    types and broker times are looked at (pruned partitions and row groups),
+    whatever order records arrive in and however late.
+    """
+    from pyspark.errors import AnalysisException
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        fresh = df.dropDuplicates(ENVELOPE_KEY).persist()
+        try:
+            span = fresh.agg(F.min("kafka_timestamp_ms").alias("lo"), F.max("kafka_timestamp_ms").alias("hi"),
+                             F.collect_set("doc_type").alias("types")).first()   # one row; types are a handful
+            out = fresh
+            try:
+                stored = spark.read.schema(schemas.extend(
+                    schemas.ENVELOPE_STORED, ("query_id", T.StringType()), ("batch_id", T.LongType()))).parquet(table)
+            except AnalysisException:      # nothing stored yet
+                stored = None
+            if stored is not None and span["types"]:
+                query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+                mine = (F.col("query_id") == query) & (F.col("batch_id") >= batch_id)    # a replay replaces itself
+                when = F.col("kafka_timestamp_ms").between(span["lo"], span["hi"]) | F.col("kafka_timestamp_ms").isNull()
+                held = stored.where(~mine & F.col("doc_type").isin(span["types"])).where(
+                    when if span["lo"] is not None else F.lit(True)).select(*ENVELOPE_KEY)
+                same = [fresh[k].eqNullSafe(held[k]) for k in ENVELOPE_KEY]
+                out = fresh.join(held, same, "left_anti")
+            out.write.mode("overwrite").partitionBy("doc_type", "event_date").parquet(batch_path(table, df, batch_id))
+        finally:
+            fresh.unpersist()
+    return write
 
 
 # ---------------------------------------------------------------- B4 / T6 / T8
 def index_writer(index_path: str, dead_path: str, id_col: str = "id"):
-    """foreachBatch writer for a search index stand-in.
+    """foreachBatch writer of a table that stands for a search index.
 
     Documents without an id (which an index would reject) go to the dead-letter
     table instead of failing the batch (T8); the rest are written keyed by id.
+    ``client_index_writer`` ships documents to a client instead.
     """
     def write(df: DataFrame, batch_id: int) -> None:
         flagged = df.withColumn("_tm_ok", F.col(id_col).isNotNull()).persist()
         try:   # the batch is read once for both outputs
             flagged.where("_tm_ok").drop("_tm_ok").write.mode("overwrite").parquet(
-                f"{index_path}/batch_id={batch_id}")
+                batch_path(index_path, df, batch_id))
             flagged.where(~F.col("_tm_ok")).drop("_tm_ok").withColumn(
                 "error", F.lit("missing document id")).write.mode("overwrite").parquet(
-                f"{dead_path}/batch_id={batch_id}")
+                batch_path(dead_path, df, batch_id))
         finally:
             flagged.unpersist()
     return write
 
 
+def client_index_writer(send: Callable[[list[dict]], list[str | None]], dead_path: str, bulk: int = 500):
+    """Documents shipped from the executors in bulks through ``send``.
+
+    ``send`` takes documents and returns, in their order, an error or None for
+    each; if it raises, the whole bulk carries the error. Rejected documents and
+    their errors become the batch's dead-letter rows; the others are done. One
+    pass: the errors are what the batch writes.
+    """
+    def write(df: DataFrame, batch_id: int) -> None:
+        names = list(df.columns)
+        schema = T.StructType([*df.schema.fields, T.StructField("error", T.StringType())])
+
+        def ship(batches):
+            import pandas as pd
+            for pdf in batches:
+                for k in range(0, len(pdf), bulk):
+                    part = pdf.iloc[k:k + bulk]
+                    try:
+                        errors = send(part.to_dict("records"))
+                    except Exception as e:  # the bulk's error is kept per document
+                        errors = [f"{type(e).__name__}: {e}"] * len(part)
+                    bad = [i for i, x in enumerate(errors) if x is not None]
+                    out = {c: part[c].to_numpy(dtype=object)[bad] for c in names}
+                    yield pd.DataFrame({**out, "error": [errors[i] for i in bad]}, dtype=object)
+        df.mapInPandas(ship, schema).write.mode("overwrite").parquet(batch_path(dead_path, df, batch_id))
+    return write
+
+
 def dead_letter_split(records: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
     """(good, bad) records; bad = value that is not JSON. Null-safe, no exceptions."""
     ok = F.try_parse_json(F.col(value)).isNotNull()
@@ -217,7 +305,7 @@ def dead_letter_split(records: DataFrame, value: str = "value") -> tuple[DataFra
 
 
 # ---------------------------------------------------------------- T7
-def incremental_scores(env_stream: DataFrame, processed_at: str,
+def incremental_scores(env_stream: DataFrame, processed_at: str | None = None,
                        scorer: Scorer | None = None) -> DataFrame:
     """Unscored raw documents arriving on the envelope stream -> score rows."""
     from tidemark.operators.scoring import score_updates
@@ -225,9 +313,45 @@ def incremental_scores(env_stream: DataFrame, processed_at: str,
 
 
 # ---------------------------------------------------------------- G1 as a stream
-def daily_sentiment_stream(env_stream: DataFrame, lateness: str = "2 days") -> DataFrame:
-    """G1 on a stream: 1-day event-time windows per company with a watermark,
-    so finished days leave the state store."""
+def sentiment_partials(env: DataFrame) -> DataFrame:
+    """G1, one batch: company, date, and the sums that daily sentiment is made of."""
+    from tidemark.functions.dates import event_instant
+    at = event_instant(F.col("timestamp"))
+    docs = (env.where(F.col("data.type") == "sentiment")
+               .select(F.col("symbol").alias("company"), F.date_format(at, "yyyy-MM-dd").alias("date"),
+                       F.upper(F.col("data.sentiment_label")).alias("label"),
+                       F.col("data.sentiment_score").alias("score"))
+               .where(F.col("date").isNotNull()))
+    return docs.groupBy("company", "date").agg(
+        F.sum("score").alias("score_sum"), F.count("score").alias("score_n"), F.count(F.lit(1)).alias("n"),
+        F.sum(F.when(F.col("label") == "POSITIVE", 1).otherwise(0)).alias("positive_n"))
+
+
+def merge_sentiment_partials(partials: DataFrame) -> DataFrame:
+    """Daily sentiment from the partial sums of all batches (any order, any number per day)."""
+    t = partials.groupBy("company", "date").agg(*[F.sum(c).alias(c) for c in ("score_sum", "score_n", "n", "positive_n")])
+    return t.select("company", "date", F.when(F.col("score_n") > 0, F.col("score_sum") / F.col("score_n")).alias("avg_sentiment"),
+                    F.col("n").alias("sentiment_count"), (F.col("positive_n") / F.col("n")).alias("positive_ratio"))
+
+
+def start_daily_sentiment(env_stream: DataFrame, table: str, checkpoint: str, available_now: bool = True,
+                          processing_time: str | None = None):
+    """G1 as a stream without state: each batch stores its partial sums, a reader
+    adds them up (``merge_sentiment_partials``). No document is too late and
+    the result does not depend on how files fall into batches."""
+    write = batch_dir_writer(table)
+    w = env_stream.writeStream.foreachBatch(lambda df, n: write(sentiment_partials(df), n))
+    return run(w, checkpoint, available_now, processing_time)
+
+
+def daily_sentiment_stream(env_stream: DataFrame, lateness: str) -> DataFrame:
+    """G1 on a live stream: 1-day event-time windows per company with a watermark,
+    so finished days leave the state store.
+
+    ``lateness`` is the bound that the caller vouches for: Spark drops documents
+    that are later than it behind the newest one seen. For a backlog (files in
+    any order) or without such a bound use ``start_daily_sentiment``.
+    """
     from tidemark.functions.dates import event_instant
     docs = (env_stream.where(F.col("data.type") == "sentiment")
                       .select(F.col("symbol").alias("company"),
@@ -247,42 +371,42 @@ def daily_sentiment_stream(env_stream: DataFrame, lateness: str = "2 days") -> D
 
 # ---------------------------------------------------------------- job starters
 def start_scoring_job(records: DataFrame, out: str, checkpoint: str, counts: str | None = None,
-                      console: bool = False, available_now: bool = True,
+                      console: bool = False, console_rows: int = 20, available_now: bool = True,
                       processing_time: str | None = None, scorer: Scorer | None = None,
-                      max_files_per_trigger: int | None = None):
+                      sink: Callable[[DataFrame, int], None] | None = None):
     """Text topics -> score -> JSON values at ``out`` (per-batch,
-    idempotent), optional per-batch topic counts and console echo, all from one
-    read of the source."""
+    idempotent) or through ``sink`` (such as ``topic_writer``), optional per-batch
+    topic counts and an echo of ``console_rows`` rows, all from one read of the source."""
     scored = scored_stream(records, scorer=scorer)
-    writers = [json_value_writer(out)]
+    writers = [sink or json_value_writer(out)]
     if counts:
         writers.append(topic_count_writer(counts))
     if console:
-        writers.append(lambda df, bid: df.show(20, truncate=False))
+        writers.append(lambda df, bid: df.show(console_rows, truncate=False))
     return run(scored.writeStream.foreachBatch(fan_out(*writers)), checkpoint, available_now,
                processing_time)
 
 
-def start_envelope_job(records: DataFrame, table: str, checkpoint: str, ingest_ts: str = K.AS_OF,
-                       available_now: bool = True, processing_time: str | None = None,
-                       dedupe_delay: str = "1 hour"):
+def start_envelope_job(records: DataFrame, table: str, checkpoint: str, ingest_ts: str | None = None,
+                       available_now: bool = True, processing_time: str | None = None):
     """Topic records -> envelope documents appended per batch to
-    ``table`` (partitioned by document type, dead letters included), redelivered
-    records dropped on (topic, partition, offset)."""
-    env = envelope_stream(records, ingest_ts, dedupe_delay)
-    w = env.writeStream.foreachBatch(batch_dir_writer(table, ["doc_type"]))
-    return run(w, checkpoint, available_now, processing_time)
+    ``table`` (partitioned by document type and event day, dead letters
+    included), redelivered records dropped on (topic, partition, offset)."""
+    env = envelope_stream(records, ingest_ts)
+    return run(env.writeStream.foreachBatch(envelope_writer(table)), checkpoint, available_now, processing_time)
 
 
 def start_index_job(docs: DataFrame, index: str, dead: str, checkpoint: str,
-                    available_now: bool = True, processing_time: str | None = None):
-    """Documents shipped to an index writer; rejected ones to ``dead``."""
-    w = docs.writeStream.foreachBatch(index_writer(index, dead))
+                    available_now: bool = True, processing_time: str | None = None,
+                    writer: Callable[[DataFrame, int], None] | None = None):
+    """Documents shipped to an index writer (``writer`` if given, such as
+    ``client_index_writer``); rejected ones to ``dead``."""
+    w = docs.writeStream.foreachBatch(writer or index_writer(index, dead))
     return run(w, checkpoint, available_now, processing_time)
 
 
 def start_incremental_scoring(env_stream: DataFrame, out: str, checkpoint: str,
-                              processed_at: str, scorer: Scorer | None = None,
+                              processed_at: str | None = None, scorer: Scorer | None = None,
                               available_now: bool = True,
                               processing_time: str | None = "60 seconds"):
     """Score what arrives unscored, every ``processing_time`` (the
