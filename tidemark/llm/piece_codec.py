@@ -10,8 +10,9 @@ probability. For a merge (BPE) model the arcs also carry the piece before:
 two pieces may follow each other only if merging their joined text gives back
 just these two; by that rule one path remains, and it is what the merges yield.
 
-No piece goes on over a blank mark that follows another character; a text is
-cut there, the parts are independent, and frequent parts are looked up.
+No piece goes on over a blank mark that follows another character (nor, in the
+models in question, over the edge of a run of letters); a text is cut there, the
+parts are independent, and frequent parts are looked up.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ MARK = "\u2581"
 #: Weight of a byte arc: above any path of pieces.
 _BYTE_WEIGHT = 1e6
 #: Most parts of a text that a worker remembers, and the longest it does.
-_MEMORY, _LONGEST = 300_000, 48
+_MEMORY, _LONGEST = 600_000, 48
 
 
 class PieceTransducer:
@@ -80,7 +81,12 @@ class PieceTransducer:
         #: The longest piece that a piece begins with.
         self.shorter = {i: next((self.pieces[p[:k]] for k in range(len(p) - 1, 0, -1) if p[:k] in self.pieces), None)
                         for p, i in self.pieces.items()}
-        self._split = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+        # nor, in most models, from a letter to another character or back: then a text is cut there too
+        letters = re.escape("".join(sorted({c for p in self.pieces for c in p if c.isalpha()})))
+        letters, other = letters or "a", f"[^{letters or 'a'}{MARK}]"
+        mixed = re.compile(f"[{letters}]{other}|{other}[{letters}]")
+        self._split = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+" if any(map(mixed.search, self.pieces)) else
+                                 f"{MARK}*[{letters}]+|{MARK}*{other}+|{MARK}+")
 
     def merged(self, text: str) -> list[str]:
         """Merge the best-scored neighbours (the leftmost of equals) until none forms a piece."""
