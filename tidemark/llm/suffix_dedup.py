@@ -72,8 +72,9 @@ def suffix_array(t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(slots):
             break
         s = sa[slots]
-        after = np.where(s + h < n, rank[np.minimum(s + h, n - 1)] + 1, 0)
-        both = rank[s] * np.int64(n + 1) + after
+        # what has ended comes first, the shorter before the longer
+        after = np.where(s + h < n, rank[np.minimum(s + h, n - 1)] + 1, np.maximum(n - s - h, -n))
+        both = rank[s] * np.int64(2 * n + 2) + after + n
         order = np.argsort(both, kind="stable")
         s, both = s[order], both[order]
         sa[slots] = s
@@ -368,7 +369,7 @@ def _together(frames: Iterator[pd.DataFrame], rows: int = 20_000) -> Iterator[pd
 
 
 def repeated_ranges(docs: DataFrame, length: int = 100) -> DataFrame:
-    """doc, start, end: maximal ranges of bytes of ``docs`` (doc, text; ids unique but for equal rows) to remove."""
+    """doc, start, end: maximal ranges of bytes of ``docs`` (doc, text; one row a doc) to remove."""
     spark = docs.sparkSession
     python_batches(spark)
     found = stage(_contexts(docs, length), "contexts")
@@ -384,8 +385,7 @@ def repeated_ranges(docs: DataFrame, length: int = 100) -> DataFrame:
         F.collect_list(F.struct("fp", "low", "span")).alias("at")), "places")
     python_batches(spark, 500)
     few = places.count() <= BROADCAST_ROWS
-    held = docs.dropDuplicates(["doc"]) if not few else docs
-    held = held.join(F.broadcast(places) if few else places.hint("shuffle_hash"), "doc").select("doc", "text", "at")
+    held = docs.join(F.broadcast(places) if few else places.hint("shuffle_hash"), "doc").select("doc", "text", "at")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -430,13 +430,14 @@ def remove_repeats(docs: DataFrame, length: int = 100, with_bytes: bool = True)
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ids = docs.select("doc_id", F.col("doc_id").isNull().alias("bad"))
-    unique = ids.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("u")).first()
+    unique = docs.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("u")).first()
     if unique["n"] == unique["u"]:
         docs = docs.withColumn("doc", F.col("doc_id"))
+        single = docs
     else:
         docs = _numbered(docs)
-    ranges = repeated_ranges(docs.select("doc", "text"), length)
+        single = docs.dropDuplicates(["doc"])
+    ranges = repeated_ranges(single.select("doc", "text"), length)
     lists = stage(ranges.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cut")), "cuts")
     few = lists.count() <= BROADCAST_ROWS
     both = docs.join(F.broadcast(lists) if few else lists.hint("shuffle_hash"), "doc", "left").select("doc_id", "text", "cut")
