@@ -20,6 +20,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from tidemark.llm.common import each_group, in_blocks, python_batches, stage
 from tidemark.llm.components import connected_components
@@ -87,7 +88,7 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(sets, "doc_id long, s array<long>")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _agreement(x: pd.Series, y: pd.Series) -> pd.Series:
     if not len(x):
         return pd.Series([], dtype="float64")
