@@ -88,9 +88,10 @@ LONG = " ".join(f"word{i}" for i in range(40))
 
 def test_lines(spark):
     very_long = " ".join(f"w{i % 90}x{i}" for i in range(700))
+    huge = " ".join(f"w{i % 9}x{i}" for i in range(70_000))
     rows = [(1, f"{LONG}\nunique line of document one here\n\nshort"), (2, f"  {LONG.upper()}!\nanother unique line in document two\nshort"),
             (3, LONG.replace("word7 ", "wordy ")), (4, None), (5, ""), (6, f"{very_long}\n{very_long}."),
-            (7, "something that has no copy at all in here\n" * 2), (1, "a second text of the same document id, unique")]
+            (8, f"{huge}\n{huge} "), (7, "something that has no copy at all in here\n" * 2), (1, "a second text of the same document id, unique")]
     df = spark.createDataFrame([(*r, "k") for r in rows], "doc_id long, text string, N_removed string").withColumn("extra", F.lit(1))
     out = dedup_lines(df).collect()
     got = {(r["doc_id"], r["n_lines"], r["n_removed"], r["text"]) for r in out}
@@ -99,11 +100,19 @@ def test_lines(spark):
     assert (2, 3, 1, "another unique line in document two\nshort") in got
     assert (3, 1, 1, "") in got                        # one word of forty is another
     assert (4, 0, 0, None) in got and (5, 1, 0, "") in got
-    assert (6, 2, 1, very_long) in got
+    assert (6, 2, 1, very_long) in got and (8, 2, 1, huge) in got
     assert (7, 3, 1, "something that has no copy at all in here\n") in got
     assert dedup_lines(df.limit(0)).collect() == []
     table = line_table(df, 20).where("doc_id = 6").collect()
     assert len({r["simhash"] for r in table}) == 1     # counted in chunks
+    words = [w for r in rows for line in (r[1] or "").split("\n") for w in line.lower().replace("!", "").replace(".", "").split()]
+    known = spark.createDataFrame([(w,) for w in set(words)], "w string").selectExpr("w", "xxhash64(7, w) AS h")
+    code = {r["w"]: r["h"] & (2 ** 64 - 1) for r in known.collect()}
+    for d, text in ((1, LONG), (6, very_long), (8, huge)):
+        hs = np.array([code[w] for w in text.split()], dtype=np.uint64)
+        want = sum(1 << b for b in range(64) if int(((hs >> np.uint64(b)) & np.uint64(1)).sum()) * 2 > len(hs))
+        got = line_table(df.where(f"doc_id = {d}"), 20).where("line = 0").collect()
+        assert want in {r["simhash"] & (2 ** 64 - 1) for r in got}, d
 
 
 def test_a_line_in_a_third_of_all_documents_stays_once(spark):
