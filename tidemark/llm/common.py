@@ -26,7 +26,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark, f"llm-{name}") + "/data"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def discard(staged: DataFrame) -> None:
+    """Delete a staged table that nothing reads any more (all that was made from it is staged itself)."""
+    spark = staged.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(staged._staged_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh(name: str, taken: list[str]) -> str:
