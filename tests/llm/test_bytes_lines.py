@@ -103,7 +103,7 @@ def test_lines(spark):
     assert (6, 2, 1, very_long) in got and (8, 2, 1, huge) in got
     assert (7, 3, 1, "something that has no copy at all in here\n") in got
     assert dedup_lines(df.limit(0)).collect() == []
-    table = line_table(df, 20).where("doc_id = 6").collect()
+    table = line_table(df, 20)[1].where("doc_id = 6").collect()
     assert len({r["simhash"] for r in table}) == 1     # counted in chunks
     words = [w for r in rows for line in (r[1] or "").split("\n") for w in line.lower().replace("!", "").replace(".", "").split()]
     known = spark.createDataFrame([(w,) for w in set(words)], "w string").selectExpr("w", "xxhash64(7, w) AS h")
@@ -111,7 +111,7 @@ def test_lines(spark):
     for d, text in ((1, LONG), (6, very_long), (8, huge)):
         hs = np.array([code[w] for w in text.split()], dtype=np.uint64)
         want = sum(1 << b for b in range(64) if int(((hs >> np.uint64(b)) & np.uint64(1)).sum()) * 2 > len(hs))
-        got = line_table(df.where(f"doc_id = {d}"), 20).where("line = 0").collect()
+        got = line_table(df.where(f"doc_id = {d}"), 20)[1].where("line = 0").collect()
         assert want in {r["simhash"] & (2 ** 64 - 1) for r in got}, d
 
 
