@@ -99,7 +99,8 @@ def range_buckets(df: DataFrame, keys: Sequence[str], order) -> DataFrame:
     recomputed), so it is only offered with ``MATERIALIZE == "checkpoint"``."""
     if MATERIALIZE != "checkpoint":
         raise ValueError('bucket="range" needs MATERIALIZE = "checkpoint"')
-    ranged = df.repartitionByRange(*[F.col(k) for k in keys], *_order_cols(order))
+    from tidemark.session import range_partitions
+    ranged = df.repartitionByRange(range_partitions(df.sparkSession), *[F.col(k) for k in keys], *_order_cols(order))
     return ranged.withColumn(_B, F.spark_partition_id())
 
 

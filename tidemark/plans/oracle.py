@@ -259,7 +259,7 @@ SELECT topic, "offset" AS offset, timestamp_ms, j->>'$.id' AS id, j->>'$.company
   round(TRY_CAST(json_extract(j, '$.sentiment_score') AS DOUBLE), 6) AS sentiment_score FROM o"""
     q["headline_union"] = with_(EV) + """
 SELECT CASE WHEN event_id % 2 = 0 THEN 'reddit_raw' ELSE 'news_raw' END AS topic, event_id AS "offset",
-  CAST(event_id AS VARCHAR) AS id, txt AS text, floor(epoch(ts))::DOUBLE AS ts,
+  CAST(event_id AS VARCHAR) AS id, txt AS text, floor(epoch(ts))::BIGINT AS ts,
   strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S.%f') AS event_time
 FROM ev WHERE event_type = 'purchase'"""
     q["headline_envelope"] = with_(EV) + """
@@ -267,17 +267,6 @@ SELECT CASE WHEN event_id % 2 = 0 THEN 'reddit_raw' ELSE 'news_raw' END AS sourc
   CAST(NULL AS VARCHAR) AS symbol, strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S.%f') AS timestamp,
   txt AS text, CAST(event_id AS VARCHAR) AS id
 FROM ev WHERE event_type = 'purchase'"""
-    target = """
-tgt AS (SELECT * FROM (SELECT *, lead(open) OVER (PARTITION BY symbol ORDER BY date) AS target_price FROM bars)
-        WHERE target_price IS NOT NULL)"""
-    ml_split = SPLIT.format(val_end=VAL_END).replace("FROM bars", "FROM tgt")
-    q["ml_split_rows"] = with_(EV, BARS, target, ml_split) + """
-SELECT symbol, date, round(open, 6) AS open, round(target_price, 6) AS target_price, split FROM split"""
-    q["gbt_test_keys"] = with_(EV, BARS, target, ml_split) + """
-SELECT symbol, date, true AS predicted FROM split WHERE split = 'test'"""
-    q["model_roundtrip_same"] = with_(EV, BARS, target, ml_split) + """
-SELECT true AS same, count(*) AS n FROM split WHERE split = 'test'"""
-    q["predict_next_day_keys"] = with_(EV, BARS) + "\nSELECT symbol, max(date) AS date FROM bars GROUP BY symbol"
     q["price_scan"] = env_query(
         "SELECT symbol, timestamp, round(closing_price, 6) AS closing_price, "
         "round(opening_price, 6) AS opening_price, round(high, 6) AS high, round(low, 6) AS low, "
@@ -346,6 +335,23 @@ SELECT b.date, b.symbol, round(b.open, 6) AS open, round(b.high, 6) AS high, rou
   round(m.avg_sentiment, 6) AS avg_sentiment, m.sentiment_count,
   round(m.positive_ratio, 6) AS positive_ratio
 FROM bars b LEFT JOIN mapped m ON b.date = m.date AND b.symbol = m.symbol"""
+    # the features' sentiment is filled forward; rows before the first value are left out
+    feat = [*base, DAILY_OF.format(name="daily", src="scored"), MAPPED, """
+feat AS (SELECT b.symbol, b.date, b.open, last_value(m.avg_sentiment IGNORE NULLS) OVER (
+           PARTITION BY b.symbol ORDER BY b.date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS filled
+         FROM bars b LEFT JOIN mapped m ON b.date = m.date AND b.symbol = m.symbol)"""]
+    target = """
+tgt AS (SELECT * FROM (SELECT *, lead(open) OVER (PARTITION BY symbol ORDER BY date) AS target_price FROM feat)
+        WHERE target_price IS NOT NULL AND filled IS NOT NULL)"""
+    ml_split = SPLIT.format(val_end=VAL_END).replace("FROM bars", "FROM tgt")
+    q["ml_split_rows"] = with_(*feat, target, ml_split) + """
+SELECT symbol, date, round(open, 6) AS open, round(target_price, 6) AS target_price, split FROM split"""
+    q["gbt_test_keys"] = with_(*feat, target, ml_split) + """
+SELECT symbol, date, true AS predicted FROM split WHERE split = 'test'"""
+    q["model_roundtrip_same"] = with_(*feat, target, ml_split) + """
+SELECT true AS same, count(*) AS n FROM split WHERE split = 'test'"""
+    q["predict_next_day_keys"] = with_(*feat) + """
+SELECT symbol, max(date) AS date FROM feat WHERE filled IS NOT NULL GROUP BY symbol"""
     q["tweet_price_join"] = with_(*base, f"""
 tw AS (SELECT id, company, date, text, {kw_label('text')} AS sentiment_label FROM scored),
 tw2 AS (SELECT tw.*, {polarity('sentiment_label')} AS sentiment_score, dim.symbol AS ticker

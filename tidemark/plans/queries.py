@@ -105,7 +105,7 @@ def q_headline_union(spark, d):
     from tidemark import schemas
     from tidemark.operators.envelope import epoch_string, read_topics
     t = read_topics(B.headlines(spark, d), [K.TOPIC_REDDIT, K.TOPIC_NEWS], schemas.ANY_MESSAGE, keep=("topic", "offset"))
-    return t.select("topic", "offset", "id", "text", "ts", epoch_string(F.col("ts")).alias("event_time"))
+    return t.select("topic", "offset", "id", "text", F.col("ts").cast("long").alias("ts"), epoch_string(F.col("ts")).alias("event_time"))
 
 
 @query("headline_envelope")
@@ -410,7 +410,7 @@ def q_eligible_symbols(spark, d):
 # ---------------------------------------------------------------- 2.7 windows
 @query("daily_return")
 def q_daily_return(spark, d):
-    """Padded percent change of close per symbol (two-pass, month buckets)."""
+    """Padded percent change of close per symbol (two-pass, range buckets)."""
     from tidemark.operators.series import pct_change
     b = B.bars(spark, d)
     return pct_change(b, "close", "daily_return", ["symbol"], ["date"], _bucket()).select(

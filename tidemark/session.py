@@ -54,6 +54,14 @@ def apply_runtime_conf(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
+def range_partitions(spark: SparkSession) -> int:
+    """Pieces that a range partitioning is cut into: ``spark.tidemark.range.partitions``,
+    else the shuffle partitions. AQE merges small pieces but adds none, so set it
+    to about one per 256 MB of the largest table that is scanned per key."""
+    return int(spark.conf.get("spark.tidemark.range.partitions",
+                              spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The context's checkpoint dir; set from ``spark.checkpoint.dir`` or, only
     when the cluster names none (local runs, tests), a local temp folder."""
