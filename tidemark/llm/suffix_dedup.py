@@ -34,9 +34,9 @@ from tidemark.llm.shingles import _BASE, _BYTE, _powers, mix
 #: Bytes of an anchor's gram.
 GRAM = 32
 #: Bytes of text in a shard, and of texts taken together while anchors are found.
-SHARD, PIECE = 2 << 20, 1 << 20
-#: Documents up to which lists of places or ranges are broadcast; beyond, texts are shuffled.
-BROADCAST_ROWS = 200_000
+SHARD, PIECE = 1 << 20, 1 << 19
+#: Documents, and places or ranges with them, up to which lists are broadcast (under 100 MB); beyond, texts are shuffled.
+BROADCAST_ROWS, BROADCAST_PLACES = 200_000, 2_000_000
 _U = np.uint64
 
 
@@ -368,6 +368,11 @@ def _together(frames: Iterator[pd.DataFrame], rows: int = 20_000) -> Iterator[pd
         yield pd.concat(held)
 
 
+def _few(lists: DataFrame, column: str) -> bool:
+    size = lists.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size(column)).alias("items")).first()
+    return size["n"] <= BROADCAST_ROWS and (size["items"] or 0) <= BROADCAST_PLACES
+
+
 def repeated_ranges(docs: DataFrame, length: int = 100) -> DataFrame:
     """doc, start, end: maximal ranges of bytes of ``docs`` (doc, text; one row a doc) to remove."""
     spark = docs.sparkSession
@@ -384,7 +389,7 @@ def repeated_ranges(docs: DataFrame, length: int = 100) -> DataFrame:
     places = stage(judged.where("kind = 1").groupBy("doc").agg(
         F.collect_list(F.struct("fp", "low", "span")).alias("at")), "places")
     python_batches(spark, 500)
-    few = places.count() <= BROADCAST_ROWS
+    few = _few(places, "at")
     held = docs.join(F.broadcast(places) if few else places.hint("shuffle_hash"), "doc").select("doc", "text", "at")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -439,7 +444,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, with_bytes: bool = True)
         single = docs.dropDuplicates(["doc"])
     ranges = repeated_ranges(single.select("doc", "text"), length)
     lists = stage(ranges.groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("cut")), "cuts")
-    few = lists.count() <= BROADCAST_ROWS
+    few = _few(lists, "cut")
     both = docs.join(F.broadcast(lists) if few else lists.hint("shuffle_hash"), "doc", "left").select("doc_id", "text", "cut")
     python_batches(spark, 500)
 
