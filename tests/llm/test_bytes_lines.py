@@ -88,7 +88,7 @@ LONG = " ".join(f"word{i}" for i in range(40))
 
 def test_lines(spark):
     very_long = " ".join(f"w{i % 90}x{i}" for i in range(700))
-    huge = " ".join(f"w{i % 9}x{i}" for i in range(70_000))
+    huge = " ".join(f"w{i % 9}x{i}" for i in range(32_000))
     rows = [(1, f"{LONG}\nunique line of document one here\n\nshort"), (2, f"  {LONG.upper()}!\nanother unique line in document two\nshort"),
             (3, LONG.replace("word7 ", "wordy ")), (4, None), (5, ""), (6, f"{very_long}\n{very_long}."),
             (8, f"{huge}\n{huge} "), (7, "something that has no copy at all in here\n" * 2), (1, "a second text of the same document id, unique")]
