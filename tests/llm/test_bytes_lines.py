@@ -123,6 +123,29 @@ def test_a_line_in_a_third_of_all_documents_stays_once(spark):
     assert out.where("n_removed = 1").count() == 99 and out.where("doc_id = 0").first()["n_removed"] == 0
 
 
+def test_near_lines_are_found(spark):
+    rng = random.Random(4)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    rows = []
+    for k in range(200):
+        # one word of ten or twenty changes, or a character at two places, at a similarity of 0.9 and more
+        w = [word(rng.randint(5, 8)) for _ in range((10, 20)[k % 2])]
+        v, at = list(w), rng.randrange(len(w))
+        if k % 4 < 2:
+            v[at] = word(len(w[at]))[:5] + w[at][5:]
+        else:
+            for i in (at, at - 3):
+                v[i] = v[i][:2] + "z" + v[i][3:]
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(v))]
+    han = lambda n: "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(n))
+    for k in range(200, 250):           # a line without blanks
+        t = han(40)
+        rows += [(2 * k, t), (2 * k + 1, t[:20] + han(2) + t[22:])]
+    out = {r["doc_id"]: r["n_removed"] for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert not any(out[d] for d in out if d % 2 == 0)
+    assert sum(out.values()) >= 245
+
+
 ITEM = "the quick brown fox jumps over the lazy dog while seven wizards brew potent quaffs tonight"
 
 
