@@ -73,6 +73,28 @@ def test_repeats_against_brute_force(spark, monkeypatch, shard):
         assert (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"], bytes(r["kept"])) == want[r["doc_id"]], r["doc_id"]
 
 
+def test_an_anchor_of_more_than_a_shard_goes_by_windows(spark, monkeypatch):
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("abcdefghijkl") for _ in range(n))
+    menu = word(80)
+    long_menu = menu + word(60)         # holds windows that are equal in different surroundings
+    rows = [(d, word(120) + (long_menu if d % 5 == 0 else menu) + word(120)) for d in range(150)]
+    staged = {}
+
+    def stage(df, name, real=S.stage):
+        staged[name] = real(df, name)
+        return staged[name]
+    monkeypatch.setattr(S, "stage", stage)
+    monkeypatch.setattr(S, "SHARD", 3000)
+    want = _removed(rows, 100)
+    for r in S.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        assert (r["n_removed"], r["n_spans"], r["kept_sha256"]) == want[r["doc_id"]][1:4], r["doc_id"]
+    assert staged["heavy-anchors"].count() and staged["windows"].count()
+    # what is left for the suffix arrays: no anchor has more than a shard
+    left = staged["places"].select(F.explode("at").alias("x")).groupBy("x.fp").agg(F.sum(F.col("x.span") + 100).alias("n"))
+    assert left.where("n > 3000").count() == 0
+
+
 def test_repeats_edges(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert S.remove_repeats(empty).collect() == []

@@ -12,8 +12,10 @@ Whole texts never meet in one place:
 2. What is left, the different contexts of one anchor, forms the text of a
    shard: its suffix array (Larsson-Sadakane refinement), the common prefixes
    (Kasai) and the runs of common prefixes of ``length`` and more give the equal
-   windows. Contexts of one anchor that go over several shards are merged by
-   binary search of one shard's windows in the other's suffix array.
+   windows. Contexts of one anchor that go over two shards are merged by
+   binary search of one shard's windows in the other's suffix array. An anchor
+   with more text than a shard does not get there: its windows are dealt by
+   their own hashes, as windows that differ have nothing to do with each other.
 3. The removed ranges are joined to their documents.
 """
 
@@ -373,6 +375,20 @@ def _few(lists: DataFrame, column: str) -> bool:
     return size["n"] <= BROADCAST_ROWS and (size["items"] or 0) <= BROADCAST_PLACES
 
 
+def _window_repeats(texts: DataFrame, length: int) -> DataFrame:
+    """doc, low, span (0) of the windows of contexts (fp, doc, low, context) that also start earlier.
+
+    A window goes by its hashes (128 bits beside the anchor's), so no task holds an anchor.
+    """
+    windows = texts.withColumn("i", F.explode(F.sequence(F.lit(0), F.length("context") - F.lit(length))))
+    windows = windows.withColumn("w", F.expr(f"substring(context, i + 1, {length})")).select(
+        "fp", "doc", (F.col("low") + F.col("i")).alias("low"), F.xxhash64("w").alias("a"), F.xxhash64(F.lit(1), "w").alias("b"))
+    windows = stage(windows, "windows")
+    firsts = windows.groupBy("fp", "a", "b").agg(F.min(F.struct("doc", "low")).alias("first"), F.count(F.lit(1)).alias("n"))
+    again = windows.join(firsts.where("n > 1"), ["fp", "a", "b"]).where("doc != first.doc or low != first.low")
+    return again.select("doc", "low", F.lit(0).alias("span"))
+
+
 def repeated_ranges(docs: DataFrame, length: int = 100) -> DataFrame:
     """doc, start, end: maximal ranges of bytes of ``docs`` (doc, text; one row a doc) to remove."""
     spark = docs.sparkSession
@@ -386,11 +402,11 @@ def repeated_ranges(docs: DataFrame, length: int = 100) -> DataFrame:
     at_once = found.where("again").select("doc", "low", "span").unionByName(
         judged.where("kind = 0").select("doc", "low", "span"))
 
-    places = stage(judged.where("kind = 1").groupBy("doc").agg(
-        F.collect_list(F.struct("fp", "low", "span")).alias("at")), "places")
-    python_batches(spark, 500)
-    few = _few(places, "at")
-    held = docs.join(F.broadcast(places) if few else places.hint("shuffle_hash"), "doc").select("doc", "text", "at")
+    # anchors whose contexts are more than a shard holds: at most one for each shard of text
+    several = judged.where("kind = 1").select("fp", "doc", "low", "span")
+    heavy = stage(several.groupBy("fp").agg(F.sum(F.col("span") + F.lit(length)).alias("size"))
+                  .where(F.col("size") > SHARD).select("fp"), "heavy-anchors")
+    n_heavy = heavy.count()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -405,8 +421,18 @@ def repeated_ranges(docs: DataFrame, length: int = 100) -> DataFrame:
                 [pa.array(fp, pa.int64()), pa.array(doc, pa.int64()), pa.array(low, pa.int64()),
                  pa.array(context, pa.binary())], ["fp", "doc", "low", "context"])
 
-    texts = held.mapInArrow(cut, "fp long, doc long, low long, context binary")
-    texts = texts.repartition("fp").sortWithinPartitions("fp", "doc", "low")
+    def contexts(rows: DataFrame) -> DataFrame:
+        places = stage(rows.groupBy("doc").agg(F.collect_list(F.struct("fp", "low", "span")).alias("at")), "places")
+        python_batches(spark, 500)
+        few = _few(places, "at")
+        held = docs.join(F.broadcast(places) if few else places.hint("shuffle_hash"), "doc").select("doc", "text", "at")
+        return held.mapInArrow(cut, "fp long, doc long, low long, context binary")
+
+    if n_heavy:
+        listed = F.broadcast(heavy) if n_heavy <= BROADCAST_ROWS else heavy
+        at_once = at_once.unionByName(_window_repeats(contexts(several.join(listed, "fp", "left_semi")), length))
+        several = several.join(listed, "fp", "left_anti")
+    texts = contexts(several).repartition("fp").sortWithinPartitions("fp", "doc", "low")
 
     def shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield from _together(_shard_ranges(batches, length))
