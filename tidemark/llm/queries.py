@@ -112,3 +112,20 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Take 100-byte strings that also start earlier out of every text of ``documents``."""
     from tidemark.llm.suffix_dedup import remove_repeats
     return remove_repeats(_table(spark, sf_dir, "documents"), with_bytes=False)
+
+
+#: Tokenizer file of the queries of operators 12 and 13, and the id that ends a document.
+BYTE_TOKENIZER, END_ID = "/opt/tokenizers/byte_bpe_50k.json", 2
+
+
+@_query
+def op12_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode every text of ``documents`` into token files of planes and read the files back."""
+    from pyspark.sql import functions as F
+
+    from tidemark.llm.plane_files import read_tokens, write_tokens
+    from tidemark.session import scratch_dir
+    folder = scratch_dir(spark, "llm-token-planes")
+    write_tokens(_table(spark, sf_dir, "documents"), folder, BYTE_TOKENIZER, END_ID)
+    return read_tokens(spark, folder).select(F.col("key").alias("doc_id"), "start", "n_tokens",
+                                             F.crc32("ids").alias("ids_crc32"))
