@@ -129,3 +129,10 @@ def op12_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_tokens(_table(spark, sf_dir, "documents"), folder, BYTE_TOKENIZER, END_ID)
     return read_tokens(spark, folder).select(F.col("key").alias("doc_id"), "start", "n_tokens",
                                              F.crc32("ids").alias("ids_crc32"))
+
+
+@_query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Align two tokenizers over every text of ``documents`` and weigh the links by the corpus' counts."""
+    from tidemark.llm.token_align import align_tokens
+    return align_tokens(_table(spark, sf_dir, "documents"), BYTE_TOKENIZER, PIECE_MODEL, with_groups=False)

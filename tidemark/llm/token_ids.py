@@ -68,6 +68,8 @@ class Memory(dict):
             self.clear()
             self.odd.clear()
         self.update((p, m) for p, m in made.items() if len(p) <= LONGEST)
+        # a text may begin with white space; within a text no part does
+        self.odd.update(p for p in made if p[:1].isspace() and len(p) <= LONGEST)
         return out
 
 
