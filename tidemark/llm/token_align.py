@@ -28,13 +28,13 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import python_batches, stage
 from tidemark.llm.perfect_hash import PerfectHash, mixed
-from tidemark.llm.token_ids import IdEncoder, Memory
+from tidemark.llm.token_ids import IdEncoder, Memory, slices
 
 #: Segments of the distinct pairs. A pair is two ids, so a segment holds at most |A| x |B| / 256 pairs
 #: (6.3 million for vocabularies of 50,257 and 32,000).
 SEGMENTS = 256
-#: Distinct pairs that a task holds before it puts them out, and characters that it aligns at once.
-HELD_PAIRS, AT_ONCE = 4_000_000, 2_000_000
+#: Distinct pairs that a task holds before it puts them out.
+HELD_PAIRS = 4_000_000
 #: Vectors that are added up in one task of the tree.
 FAN_IN = 16
 #: Bytes of pairs and counts up to which the second pass has them in its tasks; beyond, it joins them.
@@ -93,13 +93,16 @@ class Aligner:
         self.n_b = len(self.bytes_b)
         self.size_a, self.size_b = [len(x) for x in self.bytes_a], [len(x) for x in self.bytes_b]
 
-    def parts(self, memory: Memory, text: str) -> list[str]:
-        return memory.parts(text) if self.by_parts else [text]
+    def cuts(self, memory: Memory, texts: list[str]) -> list[list[str]]:
+        """The parts of each text; of an empty one none."""
+        if not self.by_parts:
+            return [[t] if t else [] for t in texts]
+        return [c if t else [] for c, t in zip(memory.cuts(texts), texts, strict=True)]
 
     def aligned(self, parts: list[str]) -> list[tuple | None]:
         """Of each part (a blank stands before it): groups as text, tokens of A, of B, groups, links, and its
         distinct pairs (A id x size of B + B id) with how often each is linked; None if bytes differ."""
-        all_a = self.a._whole([" " + p for p in parts])
+        all_a = self.a.of_parts(parts)
         all_b = self.b.encode(parts, num_threads=1)
         return [self._one(p, np.frombuffer(a, dtype="<u4").tolist(), b) for p, a, b in zip(parts, all_a, all_b, strict=True)]
 
@@ -142,18 +145,6 @@ def aligner(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
 
 
-def _slices(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    """Spans of texts of about ``AT_ONCE`` characters."""
-    begin = held = 0
-    for k, t in enumerate(texts):
-        held += len(t or "")
-        if held >= AT_ONCE:
-            yield begin, k + 1
-            begin, held = k + 1, 0
-    if begin < len(texts):
-        yield begin, len(texts)
-
-
 # ---------------------------------------------------------------- first pass: documents of each pair
 def _pairs_of_task(path_a: str, path_b: str):
     def pairs_only(one: Aligner):
@@ -179,15 +170,16 @@ def _pairs_of_task(path_a: str, path_b: str):
         memory = _memory(("pairs", path_a, path_b), pairs_only(one))
         held, loose, distinct = [], 0, 0
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for a, b in _slices(texts):
-                cut = [one.parts(memory, t) for t in texts[a:b] if t]
-                found = dict(zip(every := list(set().union(*cut)), memory.of(every), strict=True))
+            texts = [t or "" for t in batch.column(0).to_pylist()]
+            for a, b in slices(texts):
+                cut = one.cuts(memory, texts[a:b])
+                found = memory.learn(set().union(*cut))
                 of_docs = []
                 for parts in cut:
                     pairs = [found[p] for p in set(parts)]
-                    if None not in pairs:
+                    if pairs and None not in pairs:
                         of_docs.append(np.unique(np.frombuffer(b"".join(pairs), dtype="<u8")))
+                memory.forget()
                 if of_docs:
                     held.append(np.unique(np.concatenate(of_docs), return_counts=True))
                     loose += len(held[-1][0])
@@ -398,10 +390,10 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id",
         memory = _memory((run, path_a, path_b), _scored(one, shared.value) if small else _linked(one))
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in _slices(texts):
-                cut = [one.parts(memory, t) if t else [] for t in texts[a:b]]
-                found = dict(zip(every := list(set().union(*cut)), memory.of(every), strict=True))
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            for a, b in slices(texts):
+                cut = one.cuts(memory, texts[a:b])
+                found = memory.learn(set().union(*cut))
                 out = {f.name: [] for f in schema.fields[1:]}
                 for parts in cut:
                     got = [found[p] for p in parts]
@@ -423,6 +415,7 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id",
                         out["pairs"].append(keys.astype(np.int64))
                         out["times"].append(np.bincount(at, weights=times, minlength=len(keys)).astype(np.int64))
                         row += 1
+                memory.forget()
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a)] + [pa.array(out[f.name], _ARROW[f.dataType.simpleString()]) for f in schema.fields[1:]],
                     [f.name for f in schema.fields])

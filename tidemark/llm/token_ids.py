@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +16,12 @@ from pyspark.sql import DataFrame
 
 from tidemark.llm.common import python_batches
 
-#: Cuts that a worker remembers, and the characters up to which one is worth it.
-REMEMBERED, LONGEST = 400_000, 64
+#: Parts that a generation of a worker's memory holds, characters up to which a part is worth it,
+#: and characters of texts that are cut and encoded at once.
+REMEMBERED, LONGEST, AT_ONCE = 150_000, 64, 2_000_000
+
+#: Marks that are a pre-token of their own between a letter and a blank.
+MARKS = ".,;:!?"
 
 
 def cut_at_blanks(text: str) -> list[str]:
@@ -36,41 +41,56 @@ def cut_at_blanks(text: str) -> list[str]:
     return out
 
 
-class Memory(dict):
-    """Parts of texts and what was made of them; at most ``REMEMBERED`` short ones stay."""
+class Memory:
+    """Parts of texts and what was made of them: two generations, the older one goes when the newer is full.
+
+    ``cuts`` cuts texts, ``learn`` makes what is not known yet, ``new`` then holds all
+    of it until ``forget``.
+    """
 
     def __init__(self, make):
-        super().__init__()
         self.make = make        # of a list of parts: a list of results
-        self.odd: set[str] = set()
-
-    def parts(self, text: str) -> list[str]:
-        """``cut_at_blanks``, without its loop where no part is empty or begins with white space."""
-        parts = text.split(" ")
-        if "" in parts or not self.odd.isdisjoint(parts):
-            return cut_at_blanks(text)
-        new = [p for p in parts[1:] if p not in self and p[0].isspace()]
-        if new:
-            self.odd.update(p for p in new if len(p) <= LONGEST)
-            return cut_at_blanks(text)
-        return parts
-
-    def of(self, parts: list[str]) -> list:
-        """The results of ``parts``, in order."""
-        try:
-            return [self[p] for p in parts]
-        except KeyError:
-            pass
-        missing = list({p for p in parts if p not in self})
-        made = dict(zip(missing, self.make(missing), strict=True))
-        out = [made[p] if p in made else self[p] for p in parts]
-        if len(self) > REMEMBERED:
-            self.clear()
-            self.odd.clear()
-        self.update((p, m) for p, m in made.items() if len(p) <= LONGEST)
-        # a text may begin with white space; within a text no part does
-        self.odd.update(p for p in made if p[:1].isspace() and len(p) <= LONGEST)
-        return out
+        self.new: dict = {}
+        self.old: dict = {}
+        self.passing: list[str] = []
+
+    def cuts(self, texts: list[str]) -> list[list[str]]:
+        """``cut_at_blanks`` of every text, without its loop where no part is empty or begins with white space."""
+        cut = [t.split(" ") for t in texts]
+        # no part after the first is odd once it was made
+        odd = {p for p in set().union(*[c[1:] for c in cut]) - self.new.keys() if not p or p[0].isspace()}
+        return [c if odd.isdisjoint(c) else cut_at_blanks(t) for c, t in zip(cut, texts, strict=True)] if odd else cut
+
+    def learn(self, parts: set[str]) -> dict:
+        """``new``, with a result for each of ``parts``."""
+        missing = parts - self.new.keys()
+        again = missing & self.old.keys()
+        self.new.update((p, self.old[p]) for p in again)
+        missing = list(missing - again)
+        if missing:
+            self.new.update(zip(missing, self.make(missing), strict=True))
+            self.passing = [p for p in missing if len(p) > LONGEST or p[:1].isspace()]
+        return self.new
+
+    def forget(self) -> None:
+        """Drop long parts and parts that only begin a text, and the older generation when the newer is full."""
+        for p in self.passing:
+            del self.new[p]
+        self.passing = []
+        if len(self.new) > REMEMBERED:
+            self.old, self.new = self.new, {}
+
+
+def slices(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Spans of texts of about ``AT_ONCE`` characters."""
+    begin = held = 0
+    for k, t in enumerate(texts):
+        held += len(t)
+        if held >= AT_ONCE:
+            yield begin, k + 1
+            begin, held = k + 1, 0
+    if begin < len(texts):
+        yield begin, len(texts)
 
 
 class IdEncoder:
@@ -88,17 +108,68 @@ class IdEncoder:
                          and before.get("type") == "ByteLevel" and before.get("use_regex", True)
                          and not before.get("add_prefix_space", True))
         self.apart = [] if special_as_text else [t["content"] for t in spec.get("added_tokens", [])]
-        self.first, self.later = Memory(self._whole), Memory(lambda parts: self._whole([" " + p for p in parts]))
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
+        vocab = self.tokenizer.get_vocab()
+        # a byte-level entry has a character for each byte
+        self.n_bytes = np.zeros(max(vocab.values(), default=0) + 1, dtype=np.int64)
+        self.n_bytes[list(vocab.values())] = [len(t) for t in vocab]
+        self.memory = Memory(self._by_words)
+        self.marks = dict(zip(MARKS, self.whole(list(MARKS)), strict=True))
+
+    def whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def encode(self, text: str) -> bytes:
-        if not self.by_parts or any(s in text for s in self.apart):
-            return self._whole([text])[0]
-        parts = self.later.parts(text)
-        return self.first.of(parts[:1])[0] + b"".join(self.later.of(parts[1:]))
+    def of_parts(self, parts: list[str]) -> list[bytes]:
+        """The ids of each part behind a blank: all are one text to the library, and token lengths say where a part ends."""
+        apart = [k for k, p in enumerate(parts) if p[:1].isspace() or not p or p[-1] == " "]
+        joined = [p for p in parts if p and not p[0].isspace() and p[-1] != " "]
+        if not self.by_parts:
+            return self.whole([" " + p for p in parts])
+        ids = np.frombuffer(self.whole([" " + " ".join(joined)])[0] if joined else b"", dtype="<u4")
+        ends = np.cumsum(self.n_bytes[ids])
+        stops = np.cumsum([len(p.encode()) + 1 for p in joined]) if joined else np.zeros(0, dtype=np.int64)
+        cuts = np.searchsorted(ends, stops) + 1
+        if len(cuts) and not (cuts[-1] == len(ids) and np.array_equal(ends[cuts - 1], stops)):
+            return self.whole([" " + p for p in parts])
+        data, cuts = ids.tobytes(), (4 * cuts).tolist()
+        out = [data[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
+        for k, x in zip(apart, self.whole([" " + parts[k] for k in apart]) if apart else [], strict=True):
+            out.insert(k, x)
+        return out
+
+    def _by_words(self, parts: list[str]) -> list[bytes]:
+        """``of_parts``; a word (ending in a Latin letter) with a mark behind it is the word's ids and the mark's."""
+        word = [p[:-1] if len(p) > 1 and p[-1] in self.marks and p[-2] < "\u0250" and p[-2].isalpha() else None for p in parts]
+        words = {w for w in word if w}
+        fresh = list(words - self.memory.new.keys() - self.memory.old.keys())
+        known = dict(zip(fresh, self.of_parts(fresh), strict=True)) if fresh else {}
+        for w in words - known.keys():
+            known[w] = self.memory.new[w] if w in self.memory.new else self.memory.old[w]
+        alone = iter(self.of_parts([p for p, w in zip(parts, word, strict=True) if w is None]))
+        return [known[w] + self.marks[p[-1]] if w else next(alone) for p, w in zip(parts, word, strict=True)]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        out: list = [None] * len(texts)
+        plain = [k for k, t in enumerate(texts) if self.by_parts and not any(s in t for s in self.apart)]
+        for a, b in slices([texts[k] for k in plain]):
+            of = plain[a:b]
+            cut = self.memory.cuts([texts[k] for k in of])
+            first = self.whole([c[0] for c in cut])
+            rest = [c[1:] for c in cut]
+            result = self.memory.learn(set().union(*rest)).__getitem__
+            for k, f, r in zip(of, first, rest, strict=True):
+                out[k] = f + b"".join(map(result, r))
+            self.memory.forget()
+        left = [k for k, x in enumerate(out) if x is None]
+        for k, x in zip(left, self.whole([texts[k] for k in left]) if left else [], strict=True):
+            out[k] = x
+        return out
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str, special_as_text: bool = False) -> IdEncoder:
+    """The worker's own: it outlives a task."""
+    return IdEncoder(path, special_as_text)
 
 
 def encode_ids(docs: DataFrame, tokenizer: str, end_id: int | None = None, text: str = "text",
@@ -108,14 +179,14 @@ def encode_ids(docs: DataFrame, tokenizer: str, end_id: int | None = None, text:
     Rows stay where and in the order they are. A null text counts as empty;
     ``end_id`` is appended to every document. An older column ``ids`` is replaced.
     """
-    python_batches(docs.sparkSession)
+    python_batches(docs.sparkSession, 500)
     keep = [c for c in docs.columns if c.lower() not in (text.lower(), ids.lower())]
     schema = docs.select(*keep).schema.add(ids, "binary")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = IdEncoder(tokenizer)
+        of = encoder(tokenizer)
         end = b"" if end_id is None else np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            out = [encoder.encode(t or "") + end for t in batch.column(text).to_pylist()]
+            out = [x + end for x in of.encode([t or "" for t in batch.column(text).to_pylist()])]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [pa.array(out, pa.binary())], keep + [ids])
     return docs.select(*keep, docs[text]).mapInArrow(work, schema)
