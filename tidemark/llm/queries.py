@@ -136,3 +136,10 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Align two tokenizers over every text of ``documents`` and weigh the links by the corpus' counts."""
     from tidemark.llm.token_align import align_tokens
     return align_tokens(_table(spark, sf_dir, "documents"), BYTE_TOKENIZER, PIECE_MODEL, with_groups=False)
+
+
+@_query
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best ``documents`` for every ``benchmark`` item, by K2-treaps over all documents."""
+    from tidemark.llm.ranked_search import build_index, search
+    return search(build_index(_table(spark, sf_dir, "documents")), _table(spark, sf_dir, "benchmark"))
