@@ -72,3 +72,19 @@ def test_normalize_and_json(spark):
     assert r["timestamp"] == "2024-01-02" and r["volume"] == 7.12
     v = to_json_value(spark.createDataFrame([("a", None)], "x string, y string")).collect()[0][0]
     assert v == '{"x":"a"}'                              # NULL fields omitted (C11)
+
+
+def test_blanks_in_front_of_an_object(spark):
+    """All of JSON's blanks may stand before an object; other white space makes no JSON."""
+    from tidemark.operators.envelope import decode_json, to_envelope
+    from tidemark.schemas import PRICE, TOPIC_RECORD
+    body = '{"symbol": "S", "closing_price": 1.5, "timestamp": "2024-01-01"}'
+    fronts = ["", " ", "\n", "\t", "\r\n", " \n\t\r "]
+    rows = [("prices_raw", 0, i, 1, f + body) for i, f in enumerate(fronts)]
+    rows += [("prices_raw", 0, 90, 1, "\n[1]"), ("prices_raw", 0, 91, 1, '\t"{"'), ("prices_raw", 0, 92, 1, "\n"), ("prices_raw", 0, 93, 1, None)]
+    recs = spark.createDataFrame(rows, TOPIC_RECORD)
+    kinds = {r["kafka_offset"]: r["type"] for r in to_envelope(recs, "t", keep_dead_letters=True).select("kafka_offset", "data.type").collect()}
+    assert kinds == {**dict.fromkeys(range(len(fronts)), "price"), 90: "unknown", 91: "unknown", 92: "dead_letter", 93: "dead_letter"}
+    got = decode_json(recs, PRICE).collect()
+    assert sorted(r["offset"] for r in got) == list(range(len(fronts)))
+    assert all(r["closing_price"] == 1.5 and r["symbol"] == "S" for r in got)

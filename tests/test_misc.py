@@ -56,24 +56,23 @@ def test_pluggable_scorer_loaded_once_per_worker(spark):
     assert lex == {"A": "POSITIVE", "B": "NEGATIVE", "C": None}
 
 
-class CountingScorer(Scorer):
-    """Notes each load with its worker."""
-
-    def __init__(self, folder):
-        self.folder = folder
+def test_model_loads_once_a_worker(spark, tmp_path):
+    import os
 
-    def load(self):
-        import os
-        import uuid
-        with open(f"{self.folder}/{os.getpid()}-{uuid.uuid4().hex}", "w"):
-            pass
+    class CountingScorer(Scorer):       # of the function, so it travels by value
+        """Notes each load with its worker."""
 
-    def score(self, texts):
-        return texts.map(lambda t: "NEUTRAL"), texts.map(lambda t: 0.0)
+        def __init__(self, folder):
+            self.folder = folder
 
+        def load(self):
+            import os
+            import uuid
+            with open(f"{self.folder}/{os.getpid()}-{uuid.uuid4().hex}", "w"):
+                pass
 
-def test_model_loads_once_a_worker(spark, tmp_path):
-    import os
+        def score(self, texts):
+            return texts.map(lambda t: "NEUTRAL"), texts.map(lambda t: 0.0)
     df = spark.range(1200).selectExpr("cast(id as string) as text").repartition(12)
     batch_score(df, "text", CountingScorer(str(tmp_path))).write.format("noop").mode("overwrite").save()
     loads = [f.split("-")[0] for f in os.listdir(tmp_path)]

@@ -19,10 +19,15 @@ def _get(v: Column, field: str, typ: str = "string") -> Column:
     return F.try_variant_get(v, f"$.{field}", typ)
 
 
+def is_object(v: Column, value: Column) -> Column:
+    """Whether ``value``, which parsed to ``v``, is a JSON object (behind any of JSON's blanks)."""
+    return v.isNotNull() & F.ltrim(value, F.lit(" \t\r\n")).startswith("{")
+
+
 def parse_value(df: DataFrame, value: str = "value") -> DataFrame:
     """Add ``_v`` (VARIANT or NULL when not JSON) and ``_is_object``."""
     v = F.try_parse_json(F.col(value))
-    is_obj = v.isNotNull() & F.ltrim(F.col(value)).startswith("{")
+    is_obj = is_object(v, F.col(value))
     return df.withColumn("_v", v).withColumn("_is_object", is_obj)
 
 
@@ -160,8 +165,7 @@ def decode_json(records: DataFrame, schema, value: str = "value", keep=("topic",
     """
     df = records
     if objects_only:
-        df = df.where(F.try_parse_json(F.col(value)).isNotNull() &
-                      F.ltrim(F.col(value)).startswith("{"))
+        df = df.where(is_object(F.try_parse_json(F.col(value)), F.col(value)))
     keep = [c for c in keep if c in records.columns]
     return df.select(*keep, F.from_json(F.col(value), schema).alias("_tm_data")).select(
         *keep, "_tm_data.*")

@@ -57,6 +57,8 @@ messages AS (
          epoch_us(ts) // 1000 AS timestamp_ms,
          CASE WHEN event_id % 101 = 0 THEN 'not json'
               WHEN event_id % 97 = 0 THEN '"plain"'
+              ELSE CASE WHEN event_id % 89 = 0 THEN chr(10) WHEN event_id % 83 = 0 THEN chr(9) || ' '
+                        WHEN event_id % 79 = 0 THEN chr(13) || chr(10) ELSE '' END || CASE
               WHEN topic = 'prices_raw' THEN json_object(
                 'symbol', sym, 'closing_price', value, 'opening_price', value - 0.25,
                 'high', value + 0.5, 'low', value - 0.5,
@@ -69,7 +71,7 @@ messages AS (
               WHEN topic = 'sentiment_scored' THEN json_object(
                 'id', CAST(event_id AS VARCHAR), 'company', comp, 'text', txt,
                 'sentiment_label', label, 'sentiment_score', score, 'timestamp', iso)::VARCHAR
-              ELSE json_object('company', comp, 'timestamp', iso, 'event_id', event_id)::VARCHAR
+              ELSE json_object('company', comp, 'timestamp', iso, 'event_id', event_id)::VARCHAR END
          END AS value
   FROM ev)"""
 

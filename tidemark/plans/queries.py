@@ -120,7 +120,7 @@ def q_headline_envelope(spark, d):
 def q_price_scan(spark, d):
     """A4/F1: price documents, 7 projected fields."""
     from tidemark.operators.daily import price_scan
-    return price_scan(B.envelope(spark, d)).drop("kafka_timestamp_ms", "kafka_offset")
+    return price_scan(B.envelope(spark, d)).drop("kafka_timestamp_ms", "kafka_partition", "kafka_offset")
 
 
 @query("unscored_texts")

@@ -140,7 +140,7 @@ def _message_base(ev: DataFrame) -> DataFrame:
 
 def message_value() -> Column:
     """The JSON value of a ``_message_base`` row; a few values are not objects
-    or not JSON at all.
+    or not JSON at all, a few objects have blanks in front.
 
     One ``to_json`` over one struct: fields a topic does not carry are NULL
     and therefore left out of its JSON.
@@ -176,7 +176,10 @@ def message_value() -> Column:
         on(is_social, (eid % 5).cast("int")).alias("repostCount"),
         on(~is_price & ~is_text, eid).alias("event_id")))
     return (F.when(eid % 101 == 0, F.lit("not json"))
-             .when(eid % 97 == 0, F.lit('"plain"')).otherwise(body))
+             .when(eid % 97 == 0, F.lit('"plain"'))
+             # blanks that JSON allows in front of a value
+             .when(eid % 89 == 0, F.concat(F.lit("\n"), body)).when(eid % 83 == 0, F.concat(F.lit("\t "), body))
+             .when(eid % 79 == 0, F.concat(F.lit("\r\n"), body)).otherwise(body))
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
