@@ -18,7 +18,7 @@ from tidemark.llm.common import python_batches
 
 #: Parts that a generation of a worker's memory holds, characters up to which a part is worth it,
 #: and characters of texts that are cut and encoded at once.
-REMEMBERED, LONGEST, AT_ONCE = 150_000, 64, 2_000_000
+REMEMBERED, LONGEST, AT_ONCE = 60_000, 48, 500_000
 
 #: Marks that are a pre-token of their own between a letter and a blank.
 MARKS = ".,;:!?"
@@ -179,7 +179,7 @@ def encode_ids(docs: DataFrame, tokenizer: str, end_id: int | None = None, text:
     Rows stay where and in the order they are. A null text counts as empty;
     ``end_id`` is appended to every document. An older column ``ids`` is replaced.
     """
-    python_batches(docs.sparkSession, 500)
+    python_batches(docs.sparkSession, 200)
     keep = [c for c in docs.columns if c.lower() not in (text.lower(), ids.lower())]
     schema = docs.select(*keep).schema.add(ids, "binary")
 
