@@ -488,6 +488,13 @@ def stream_sql() -> dict[str, str]:
     q["stream_json_source"] = b["json_decode"]
     q["topic_counts"] = b["row_counts"]
     q["envelope_sink"] = b["envelope_all"]
+    q["offset_ledger"] = with_(EV, MESSAGES, """
+m AS (SELECT topic, partition::INTEGER AS partition, "offset" AS o FROM messages
+      WHERE "offset" // 50 % 2 = 0 OR "offset" % 1000 < 900 OR "offset" % 3 = 0),
+r AS (SELECT *, o - row_number() OVER (PARTITION BY topic, partition ORDER BY o) AS run FROM m),
+n AS (SELECT topic, partition, count(*) AS n_stored FROM m GROUP BY ALL)""") + """
+SELECT topic, partition, min(o) AS lo, max(o) AS hi, n_stored FROM r JOIN n USING (topic, partition)
+GROUP BY topic, partition, run, n_stored"""
     q["stream_daily_sentiment"] = b["daily_sentiment"]
     valid = "event_id % 101 <> 0 AND event_id % 97 <> 0"
     q["stream_scored"] = with_(EV) + f"""

@@ -13,7 +13,9 @@ from tidemark import schemas
 from tidemark.plans.queries import query
 from tidemark.session import scratch_dir
 from tidemark.sources import bindings as B
+from tidemark.sources.versioned import envelope_table
 from tidemark.streaming import jobs as P
+from tidemark.streaming.ledger import LEDGER
 from tidemark.streaming.sources import file_stream
 
 
@@ -84,8 +86,26 @@ def q_envelope_sink(spark, d):
     out = scratch_dir(spark, "envelope_sink")
     P.start_envelope_job(file_stream(spark, _log_path(spark, d), max_files_per_trigger=4),
                          out + "/data", out + "/_checkpoint", K.AS_OF)
-    t = spark.read.parquet(out + "/data").where(F.col("doc_type") != "dead_letter")
-    return flatten_envelope(t.drop(*P.BATCH_COLUMNS))
+    t = envelope_table(spark, out + "/data").read(where=lambda v: v["doc_type"] != "dead_letter")
+    return flatten_envelope(t)
+
+
+@query("offset_ledger")
+def q_offset_ledger(spark, d):
+    """Intervals of stored offsets after a stream that delivers a third of the log twice, in other files."""
+    out = scratch_dir(spark, "offset_ledger")
+    log = B.topic_log(spark, d)
+    # of each topic partition the even spans of 50 offsets first, the others after, a third again at the end
+    again = log.where("offset % 3 = 0")
+    for k, part in enumerate((log.where("offset div 50 % 2 = 0"), log.where("offset div 50 % 2 = 1 and offset % 1000 < 900"), again)):
+        part.write.parquet(f"{out}/topic/part={k}")
+        records = file_stream(spark, f"{out}/topic").drop("part")
+        P.start_envelope_job(records, out + "/data", out + "/_checkpoint", K.AS_OF)
+    t = envelope_table(spark, out + "/data")
+    stored = t.read().groupBy(F.col("source_topic").alias("topic"), F.col("kafka_partition").alias("partition")).agg(
+        F.count(F.lit(1)).alias("n_stored"))
+    ledger = t.read_side(t.state(), "ledger", LEDGER).drop("source")
+    return ledger.join(stored, ["topic", "partition"]).withColumn("partition", F.col("partition").cast("int"))
 
 
 @query("index_sink")

@@ -212,40 +212,45 @@ def envelope_stream(records: DataFrame, ingest_ts: str | None = None) -> DataFra
     return env.withColumns({"doc_type": F.col("data.type"), "event_date": F.substring("timestamp", 1, 10)})
 
 
-def envelope_writer(table: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch writer of the envelope table, partitioned by type and event day.
-
-    A record is stored once: a batch keeps one row per (topic, partition,
-    offset) and drops those that earlier batches hold. A redelivered record has
-    the same type and broker time, so only the stored rows within the batch's
-    types and broker times are looked at (pruned partitions and row groups),
-    whatever order records arrive in and however late.
+def envelope_writer(table: str, source: str = "") -> Callable[[DataFrame, int], None]:
+    """foreachBatch writer of the envelope table (``sources.versioned``), partitioned by type and event day.
+
+    A record is stored once. Which records are stored stands in the table's
+    offset ledger, intervals per (source, topic, partition); ``source`` tells
+    brokers apart whose topics have the same names. A batch's documents, the ledger grown by them
+    and the batch's mark become valid in one commit, so a replay finds itself done, whatever the step at which
+    the writer ended before, and a batch costs what it holds, not what the table holds. Records
+    without an offset cannot be told apart and are all stored.
     """
-    from pyspark.errors import AnalysisException
+    from tidemark.sources.versioned import Conflict, envelope_table
+    from tidemark.streaming.ledger import LEDGER, intervals, merged, not_stored
+    opened: dict = {}
 
     def write(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        fresh = df.dropDuplicates(ENVELOPE_KEY).persist()
+        if table not in opened:
+            opened[table] = envelope_table(spark, table)
+        store = opened[table]
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+        if store.done(query, batch_id):
+            return
+        rows = df.withColumn("source", F.lit(source)).withColumnsRenamed(
+            {"source_topic": "topic", "kafka_partition": "partition", "kafka_offset": "offset"}).persist()
         try:
-            span = fresh.agg(F.min("kafka_timestamp_ms").alias("lo"), F.max("kafka_timestamp_ms").alias("hi"),
-                             F.collect_set("doc_type").alias("types")).first()   # one row; types are a handful
-            out = fresh
-            try:
-                stored = spark.read.schema(schemas.extend(
-                    schemas.ENVELOPE_STORED, ("query_id", T.StringType()), ("batch_id", T.LongType()))).parquet(table)
-            except AnalysisException:      # nothing stored yet
-                stored = None
-            if stored is not None and span["types"]:
-                query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
-                mine = (F.col("query_id") == query) & (F.col("batch_id") >= batch_id)    # a replay replaces itself
-                when = F.col("kafka_timestamp_ms").between(span["lo"], span["hi"]) | F.col("kafka_timestamp_ms").isNull()
-                held = stored.where(~mine & F.col("doc_type").isin(span["types"])).where(
-                    when if span["lo"] is not None else F.lit(True)).select(*ENVELOPE_KEY)
-                same = [fresh[k].eqNullSafe(held[k]) for k in ENVELOPE_KEY]
-                out = fresh.join(held, same, "left_anti")
-            out.write.mode("overwrite").partitionBy("doc_type", "event_date").parquet(batch_path(table, df, batch_id))
+            while True:
+                base = store.state()
+                ledger = store.read_side(base, "ledger", LEDGER)
+                fresh = not_stored(rows, ledger).withColumnsRenamed(
+                    {"topic": "source_topic", "partition": "kafka_partition", "offset": "kafka_offset"})
+                added = store.write(fresh)
+                side = store.write_side(merged(ledger, intervals(rows)))
+                try:
+                    store.commit(base, added, side={"ledger": side}, writer=query, batch=batch_id)
+                    return
+                except Conflict:      # another writer's ledger came between: hold the batch against it
+                    continue
         finally:
-            fresh.unpersist()
+            rows.unpersist()
     return write
 
 
@@ -388,12 +393,12 @@ def start_scoring_job(records: DataFrame, out: str, checkpoint: str, counts: str
 
 
 def start_envelope_job(records: DataFrame, table: str, checkpoint: str, ingest_ts: str | None = None,
-                       available_now: bool = True, processing_time: str | None = None):
+                       available_now: bool = True, processing_time: str | None = None, source: str = ""):
     """Topic records -> envelope documents appended per batch to
     ``table`` (partitioned by document type and event day, dead letters
-    included), redelivered records dropped on (topic, partition, offset)."""
+    included), redelivered records dropped on (source, topic, partition, offset)."""
     env = envelope_stream(records, ingest_ts)
-    return run(env.writeStream.foreachBatch(envelope_writer(table)), checkpoint, available_now, processing_time)
+    return run(env.writeStream.foreachBatch(envelope_writer(table, source)), checkpoint, available_now, processing_time)
 
 
 def start_index_job(docs: DataFrame, index: str, dead: str, checkpoint: str,
