@@ -127,7 +127,7 @@ def test_late_and_shuffled_files_lose_nothing(spark):
     assert "event_date" in t.columns
     env = spark.readStream.schema(t.schema).option("maxFilesPerTrigger", "3").parquet(out)
     P.start_daily_sentiment(env, base + "/daily", base + "/ck2")
-    got = P.merge_sentiment_partials(spark.read.parquet(base + "/daily"))
+    got = P.read_daily_sentiment(spark, base + "/daily")
     recs = spark.createDataFrame(rows, TOPIC_RECORD)
     want = P.merge_sentiment_partials(P.sentiment_partials(to_envelope(recs)))
     assert got.count() == want.count() and got.exceptAll(want).count() == 0

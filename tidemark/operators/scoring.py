@@ -21,7 +21,8 @@ from tidemark.constants import NEGATIVE_WORDS, POSITIVE_WORDS
 from tidemark.functions.text import keyword_label
 
 SCORE_TYPE = T.StructType([T.StructField("label", T.StringType()),
-                           T.StructField("score", T.DoubleType())])
+                           T.StructField("score", T.DoubleType()),
+                           T.StructField("error", T.StringType())])
 
 
 def label_polarity(label: Column) -> Column:
@@ -104,36 +105,63 @@ def loaded(scorer: Scorer) -> Scorer:
     return _LOADED[key]
 
 
-def scorer_column(scorer: Scorer, text: Column) -> Column:
-    """``struct<label, score>`` computed by ``scorer`` on Arrow batches."""
+def scorer_column(scorer: Scorer, text: Column, isolate: bool = False) -> Column:
+    """``struct<label, score, error>`` computed by ``scorer`` on Arrow batches.
+
+    With ``isolate`` a batch that the model fails on is scored text by text; texts that fail again
+    have no label and their error. Executors need this package and the scorer's module (a
+    scorer defined in a script or function travels by value).
+    """
 
     @F.pandas_udf(SCORE_TYPE)
     def _score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         from tidemark.operators.scoring import loaded as worker_copy
+        from tidemark.operators.scoring import one_by_one
         model = worker_copy(scorer)
         for texts in batches:
-            label, score = model.score(texts)
-            yield pd.DataFrame({"label": label.values, "score": score.values})
+            try:
+                label, score = model.score(texts)
+            except Exception:
+                if not isolate:
+                    raise
+                yield one_by_one(model, texts)
+                continue
+            yield pd.DataFrame({"label": label.values, "score": score.values, "error": None})
 
     return _score(text)
 
 
+def one_by_one(model: Scorer, texts: pd.Series) -> pd.DataFrame:
+    """Each text alone: its label and score, or its error."""
+    rows = []
+    for t in texts:
+        try:
+            label, score = model.score(pd.Series([t], dtype=object))
+            rows.append((label.iloc[0], score.iloc[0], None))
+        except Exception as e:      # kept with the document, which is tried again later
+            rows.append((None, None, f"{type(e).__name__}: {e}"))
+    return pd.DataFrame(rows, columns=["label", "score", "error"])
+
+
 def batch_score(df: DataFrame, text: str = "text", scorer: Scorer | None = None,
                 negative: Sequence[str] = NEGATIVE_WORDS,
-                positive: Sequence[str] = POSITIVE_WORDS) -> DataFrame:
+                positive: Sequence[str] = POSITIVE_WORDS, error: str | None = None) -> DataFrame:
     """Add ``sentiment_label`` and ``sentiment_score``.
 
     ``scorer=None`` -> the native lexicon expression; otherwise ``scorer``
-    through an Arrow-batched pandas UDF. Whole texts are scored.
+    through an Arrow-batched pandas UDF. Whole texts are scored. With ``error`` a
+    column of that name holds what went wrong with a text (it then has no label); without, it ends the job.
     """
     if scorer is None:
         lab = keyword_label(F.col(text), negative, positive)
         return (df.withColumn("sentiment_label", lab)
-                  .withColumn("sentiment_score", label_polarity(F.col("sentiment_label"))))
-    s = scorer_column(scorer, F.col(text))
+                  .withColumn("sentiment_score", label_polarity(F.col("sentiment_label")))
+                  .withColumns({error: F.lit(None).cast("string")} if error else {}))
+    s = scorer_column(scorer, F.col(text), isolate=error is not None)
     return (df.withColumn("_tm_s", s)
               .withColumn("sentiment_label", F.col("_tm_s.label"))
-              .withColumn("sentiment_score", F.col("_tm_s.score")).drop("_tm_s"))
+              .withColumn("sentiment_score", F.col("_tm_s.score"))
+              .withColumns({error: F.col("_tm_s.error")} if error else {}).drop("_tm_s"))
 
 
 def unscored_antijoin(items: DataFrame, scored: DataFrame, key: str) -> DataFrame:
@@ -189,60 +217,98 @@ def apply_scores(env: DataFrame, updates: DataFrame, key: Sequence[str] = DOC_KE
     return j.withColumn("data", data).select(*env.columns)
 
 
-def score_in_place(env: DataFrame, processed_at: str, scorer: Scorer | None = None,
-                   types=None) -> DataFrame:
-    """B5 without a join: score the unscored raw documents inside one projection."""
-    from tidemark.constants import RAW_TEXT_TYPES
-    types = list(types or RAW_TEXT_TYPES)
-    d = F.col("data")
-    todo = d["type"].isin(*types) & d["sentiment_score"].isNull()
-    t = batch_score(env.withColumn("_tm_text", F.when(todo, d["text"])), "_tm_text", scorer)
-    hit = todo & F.col("sentiment_label").isNotNull()
-    data = (d.withField("type", F.when(hit, F.lit("sentiment")).otherwise(d["type"]))
-             .withField("sentiment_score", F.when(hit, F.col("sentiment_score")).otherwise(d["sentiment_score"]))
-             .withField("sentiment_label", F.when(hit, F.col("sentiment_label")).otherwise(d["sentiment_label"]))
-             .withField("original_text", F.when(hit, d["text"]).otherwise(d["original_text"]))
-             .withField("processed_at", F.when(hit, F.lit(processed_at)).otherwise(d["processed_at"])))
-    return t.withColumn("data", data).select(*env.columns)
-
+def update_store(table, updates: DataFrame, key: Sequence[str] = DOC_KEY, writer: str = "", batch: int | None = None,
+                 side: dict[str, str] | None = None, **notes) -> int | None:
+    """Write ``updates`` into the stored envelope table (B5/T7) in one commit: the next poll skips what is scored.
 
-def update_store(spark, store: str, updates: DataFrame, key: Sequence[str] = DOC_KEY) -> int:
-    """Write ``updates`` into the stored envelope table (B5/T7): the next poll skips what is scored.
-
-    ``store`` is partitioned by ``doc_type`` and ``event_date``. Only the event
-    days that hold a document to update are read and rewritten: their rows with
-    the scores applied are staged beside the table, then each touched partition
-    is swapped for its staged one (a document moves from its raw type's
-    partition to ``sentiment``). Returns the number of partitions swapped.
+    ``table`` is a versioned table by ``doc_type`` and ``event_date``. Of the raw text types and
+    ``sentiment`` only folders that hold a document to update are rewritten (found by
+    key and, if ``updates`` has ``event_date``, in those days only): a scored document moves to
+    ``sentiment``, the others stay. Readers see all of it or nothing. If another writer takes one of
+    the folders out meanwhile, the update is made anew on its version. ``side``, ``notes`` and the
+    batch's mark go with the commit; the version, or None if the batch was committed before.
     """
-    from tidemark.schemas import ENVELOPE_STORED
+    from tidemark.constants import RAW_TEXT_TYPES
     from tidemark.session import scratch_dir
-    env = spark.read.schema(ENVELOPE_STORED).parquet(store)
+    from tidemark.sources.versioned import Conflict, partition_values
+    if batch is not None and table.done(writer, batch):
+        return None
+    spark = table.spark
+    path = scratch_dir(spark, "score-updates") + "/data"
+    updates.write.parquet(path)     # read several times, scored once
+    updates = spark.read.schema(updates.schema).parquet(path)
+    days = {r[0] for r in updates.select("event_date").distinct().collect()} if "event_date" in updates.columns else None
+    kinds = {*RAW_TEXT_TYPES, "sentiment"}
     keys = updates.select(*key).distinct()
-    days = [r[0] for r in env.join(keys, list(key), "left_semi").select("event_date").distinct().collect()]  # one a day
-    if not days:
-        return 0
-    touched = env.where(F.col("event_date").isin([x for x in days if x is not None])
-                        | (F.col("event_date").isNull() if None in days else F.lit(False)))
-    new = apply_scores(touched, updates, key).withColumn("doc_type", F.col("data.type"))
-    staged = scratch_dir(spark, "update-store") + "/staged"
-    new.write.partitionBy("doc_type", "event_date").parquet(staged)
-    old = {tuple(r) for r in touched.select("doc_type", "event_date").distinct().collect()}
-    fresh = {tuple(r) for r in spark.read.schema(ENVELOPE_STORED).parquet(staged)
-             .select("doc_type", "event_date").distinct().collect()}
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path
-    fs = path(store).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def folder(root: str, kind, day) -> str:
-        null = "__HIVE_DEFAULT_PARTITION__"
-        return f"{root}/doc_type={kind if kind is not None else null}/event_date={day if day is not None else null}"
-    for kind, day in sorted(old | fresh, key=str):
-        target = path(folder(store, kind, day))
-        if (kind, day) in old:
-            fs.delete(target, True)
-        if (kind, day) in fresh:
-            fs.mkdirs(target.getParent())
-            fs.rename(path(folder(staged, kind, day)), target)
-    spark.catalog.refreshByPath(store)
-    return len(old | fresh)
+    place = ["commit", *table.partition_by]
+    while True:
+        base = table.state()
+        near = table.select(base, lambda v: v["doc_type"] in kinds and (days is None or v["event_date"] in days))
+        hits = table.read_folders(near, with_commit=True).join(keys, list(key), "left_semi").select(*place).distinct()
+        hits = {tuple(r) for r in hits.collect()}       # a folder each
+        old = [f for f in near if tuple(partition_values(f)[c] for c in place) in hits]
+        added = []
+        if old:
+            new = apply_scores(table.read_folders(old), updates.drop(*table.partition_by), key)
+            added = table.write(new.withColumn("doc_type", F.col("data.type")))
+        try:
+            return table.commit(base, added, old, side, writer, batch, **notes)
+        except Conflict:
+            continue
+
+
+#: Documents that a scorer failed on: their key and place, how often, when they are due again (epoch seconds).
+RETRY = (T.StructType().add("source_topic", T.StringType()).add("kafka_partition", T.IntegerType()).add("kafka_offset", T.LongType())
+         .add("doc_type", T.StringType()).add("event_date", T.StringType()).add("attempts", T.IntegerType())
+         .add("due_at", T.DoubleType()).add("given_up", T.BooleanType()).add("error", T.StringType()))
+
+
+def scoring_poll(table, writer: str, batch: int, scorer: Scorer | None = None, processed_at: str | None = None,
+                 now: float | None = None, max_attempts: int = 5, backoff_s: float = 60.0) -> dict | None:
+    """One poll of the scoring loop: unscored documents that came since the last poll, and failed ones that are due.
+
+    Only folders that others added after the version of the writer's last poll are read, and those of due
+    documents; unscorable ones (no text) are seen once. A document that the
+    scorer fails on waits ``backoff_s``, then twice as long each time, and is given up after
+    ``max_attempts`` tries. Scores, the failed documents' state, how far the poll has read and the batch's
+    mark are one commit. Returns its notes (scored, failed, given_up), or None if the batch was done.
+    """
+    import time
+
+    from tidemark.constants import RAW_TEXT_TYPES
+    from tidemark.operators.daily import unscored_texts
+    from tidemark.session import scratch_dir
+    from tidemark.sources.versioned import partition_values
+    if table.done(writer, batch):
+        return None
+    spark, base = table.spark, table.state()
+    now = time.time() if now is None else now
+    cursor = base.marks.get(writer, {}).get("cursor", 0)
+    raw = table.select(base, lambda v: v["doc_type"] in RAW_TEXT_TYPES)
+    fresh = [f for f in raw if base.folders[f][0] > cursor and base.folders[f][1] != writer]
+    retry = table.read_side(base, f"retry {writer}", RETRY)
+    due = retry.where(~F.col("given_up") & (F.col("due_at") <= now))
+    places = {tuple(r) for r in due.select("doc_type", "event_date").distinct().collect()}      # days of failed documents
+    again = [f for f in raw if f not in set(fresh) and tuple(partition_values(f)[c] for c in ("doc_type", "event_date")) in places]
+    place = [*DOC_KEY, "doc_type", "event_date"]
+    todo = unscored_texts(table.read_folders(fresh)).unionByName(
+        unscored_texts(table.read_folders(again)).join(due.select(*DOC_KEY), list(DOC_KEY), "left_semi"))
+    todo = todo.select(*place, F.col("data.text").alias("text")).where("text is not null")
+    path = scratch_dir(spark, "scores") + "/data"
+    scored = batch_score(todo, "text", scorer, error="error").withColumn("processed_at", processing_time(processed_at))
+    scored.write.parquet(path)
+    scored = spark.read.schema(scored.schema).parquet(path)
+    tried = F.coalesce(F.col("attempts"), F.lit(0)) + 1
+    failed = scored.where("sentiment_label is null").join(retry.select(*DOC_KEY, "attempts"), list(DOC_KEY), "left").select(
+        *place, tried.cast("int").alias("attempts"), (F.lit(float(now)) + F.lit(float(backoff_s)) * F.pow(F.lit(2.0), tried - 1)).alias("due_at"),
+        (tried >= max_attempts).alias("given_up"), F.coalesce("error", F.lit("no label")).alias("error"))
+    state = retry.join(scored.select(*DOC_KEY), list(DOC_KEY), "left_anti").select(*RETRY.names).unionByName(failed.select(*RETRY.names))
+    side = {f"retry {writer}": table.write_side(state)}
+    kept = table.read_side(type(base)(side=side), f"retry {writer}", RETRY)
+    waiting = kept.agg(F.count_if("given_up"), F.count_if(~F.col("given_up"))).first()
+    notes = {"cursor": base.version, "scored": scored.where("sentiment_label is not null").count(),
+             "failed": scored.where("sentiment_label is null").count(), "waiting": waiting[1], "given_up": waiting[0]}
+    updates = scored.where("sentiment_label is not null").select(
+        *DOC_KEY, "event_date", "text", "sentiment_label", "sentiment_score", "processed_at")
+    done = update_store(table, updates, writer=writer, batch=batch, side=side, **notes)
+    return None if done is None else notes

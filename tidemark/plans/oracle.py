@@ -514,6 +514,10 @@ FROM ev WHERE topic = 'sentiment_scored' AND {valid}"""
 SELECT source_topic, kafka_partition, kafka_offset, text, {kw_label('text')} AS sentiment_label,
   round({polarity(kw_label('text'))}, 6) AS sentiment_score, '{K.AS_OF}' AS processed_at
 FROM env WHERE {upd}""")
+    q["scoring_loop"] = b["apply_scores"]
+    q["scoring_polls"] = env_query(f"""
+SELECT CASE WHEN kafka_offset % 10 = 0 THEN 1 ELSE 0 END::BIGINT AS poll, count(*) AS n_scored, 0::BIGINT AS n_failed
+FROM env WHERE {upd} GROUP BY 1""")
     q["dead_letter"] = with_(EV, MESSAGES) + """
 SELECT topic AS source_topic, "offset" AS kafka_offset, value AS payload
 FROM messages WHERE NOT json_valid(value)"""

@@ -335,18 +335,15 @@ def q_apply_scores(spark, d):
 @query("score_store")
 def q_score_store(spark, d):
     """The store's unscored documents scored, and the scores written into
-    the store: touched partitions staged, then swapped."""
+    the store in one commit that replaces the folders they lie in."""
     from tidemark.operators.envelope import flatten_envelope
     from tidemark.operators.scoring import score_updates, update_store
-    from tidemark.schemas import ENVELOPE_STORED
     from tidemark.session import scratch_dir
-    store = scratch_dir(spark, "score_store") + "/store"
-    B.envelope(spark, d).write.partitionBy("doc_type", "event_date").parquet(store)
-
-    def read():
-        return spark.read.schema(ENVELOPE_STORED).parquet(store)
-    update_store(spark, store, score_updates(read(), K.AS_OF))
-    return flatten_envelope(read())
+    from tidemark.sources.versioned import envelope_table
+    store = envelope_table(spark, scratch_dir(spark, "score_store") + "/store")
+    store.append(B.envelope(spark, d))
+    update_store(store, score_updates(store.read(), K.AS_OF))
+    return flatten_envelope(store.read())
 
 
 # ---------------------------------------------------------------- 2.6 aggregations

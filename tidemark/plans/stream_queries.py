@@ -141,4 +141,32 @@ def q_stream_daily_sentiment(spark, d):
                 .option("maxFilesPerTrigger", "8")
                 .parquet(_env_path(spark, d)).where(F.col("doc_type") == "sentiment"))
     P.start_daily_sentiment(env, out + "/data", out + "/_checkpoint")
-    return P.merge_sentiment_partials(spark.read.parquet(out + "/data"))
+    return P.read_daily_sentiment(spark, out + "/data")
+
+
+@query("scoring_loop")
+def q_scoring_loop(spark, d):
+    """The topic log streamed into the envelope table, two polls of the scoring loop; the table afterwards."""
+    from tidemark.operators.envelope import flatten_envelope
+    return flatten_envelope(_polled(spark, d).read(where=lambda v: v["doc_type"] != "dead_letter"))
+
+
+@query("scoring_polls")
+def q_scoring_polls(spark, d):
+    """What each of two polls did: the second scores only what came in between."""
+    table = _polled(spark, d, late=True)
+    polls = [e["mark"] for e in table.history() if e["mark"] and "scored" in e["mark"]]      # an entry a poll
+    return spark.createDataFrame([(p["batch"], p["scored"], p["failed"]) for p in polls], "poll long, n_scored long, n_failed long")
+
+
+def _polled(spark, d, late: bool = False):
+    """The envelope table after two polls; with ``late`` the records of every tenth offset arrive between them."""
+    out = scratch_dir(spark, "scoring_loop")
+    log = B.topic_log(spark, d)
+    for k, part in enumerate((log.where("offset % 10 <> 0"), log.where("offset % 10 = 0")) if late else (log,)):
+        part.write.parquet(f"{out}/topic/part={k}")
+        P.start_envelope_job(file_stream(spark, f"{out}/topic").drop("part"), out + "/data", out + "/_checkpoint", K.AS_OF)
+        P.start_scoring_loop(spark, out + "/data", out + "/_polls", processed_at=K.AS_OF, available_now=True)
+    if not late:
+        P.start_scoring_loop(spark, out + "/data", out + "/_polls", processed_at=K.AS_OF, available_now=True)
+    return envelope_table(spark, out + "/data")

@@ -339,14 +339,63 @@ def merge_sentiment_partials(partials: DataFrame) -> DataFrame:
                     F.col("n").alias("sentiment_count"), (F.col("positive_n") / F.col("n")).alias("positive_ratio"))
 
 
+#: Partial sums as stored: level 0 are batches, each level above merges several folders of the one below.
+PARTIALS = (T.StructType().add("company", T.StringType()).add("date", T.StringType()).add("score_sum", T.DoubleType())
+            .add("score_n", T.LongType()).add("n", T.LongType()).add("positive_n", T.LongType()).add("level", T.StringType()))
+
+
+def partials_table(spark: SparkSession, path: str):
+    """The versioned table of partial sums, by level."""
+    from tidemark.sources.versioned import VersionedTable
+    return VersionedTable(spark, path, PARTIALS, ["level"])
+
+
+def compact_partials(table, fan_in: int = 8) -> int:
+    """Merge the folders of a level into one of the next wherever ``fan_in`` have come together; how many merges.
+
+    A level then holds fewer than ``fan_in`` folders, each with one row per company and day at most, and a
+    partial sum is rewritten once a level: reading n batches costs fan_in x log(n) folders. A
+    merge is one commit, so readers add up either the parts or their sum; if another
+    compaction comes first this one leaves the level to it.
+    """
+    from tidemark.sources.versioned import Conflict
+    merges = level = 0
+    while True:
+        base = table.state()
+        if not any(f.endswith(f"/level={k}") for k in range(level, level + 64) for f in base.folders):
+            return merges
+        parts = table.select(base, lambda v, at=str(level): v["level"] == at)
+        if len(parts) >= fan_in:
+            sums = table.read_folders(parts).groupBy("company", "date").agg(
+                *[F.sum(c).alias(c) for c in ("score_sum", "score_n", "n", "positive_n")])
+            try:
+                table.commit(base, table.write(sums.withColumn("level", F.lit(str(level + 1)))), parts, writer="compaction")
+                merges += 1
+            except Conflict:
+                pass
+        level += 1
+
+
+def read_daily_sentiment(spark: SparkSession, table: str, version: int | None = None) -> DataFrame:
+    """Daily sentiment as of a version of the partial sums (by default the newest)."""
+    return merge_sentiment_partials(partials_table(spark, table).read(version))
+
+
 def start_daily_sentiment(env_stream: DataFrame, table: str, checkpoint: str, available_now: bool = True,
-                          processing_time: str | None = None):
+                          processing_time: str | None = None, fan_in: int = 8):
     """G1 as a stream without state: each batch stores its partial sums, a reader
-    adds them up (``merge_sentiment_partials``). No document is too late and
-    the result does not depend on how files fall into batches."""
-    write = batch_dir_writer(table)
-    w = env_stream.writeStream.foreachBatch(lambda df, n: write(sentiment_partials(df), n))
-    return run(w, checkpoint, available_now, processing_time)
+    adds them up (``read_daily_sentiment``). No document is too late and
+    the result does not depend on how files fall into batches. A batch's sums are one commit under its mark, so
+    a replay adds nothing; sums of many batches are merged level by level (``compact_partials``)."""
+    opened: dict = {}
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        store = opened.setdefault(table, partials_table(spark, table))
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+        store.append(sentiment_partials(df).withColumn("level", F.lit("0")), query, batch_id)
+        compact_partials(store, fan_in)
+    return run(env_stream.writeStream.foreachBatch(write), checkpoint, available_now, processing_time)
 
 
 def daily_sentiment_stream(env_stream: DataFrame, lateness: str) -> DataFrame:
@@ -419,3 +468,35 @@ def start_incremental_scoring(env_stream: DataFrame, out: str, checkpoint: str,
     s = incremental_scores(env_stream, processed_at, scorer)
     return run(s.writeStream.format("parquet").option("path", out), checkpoint, available_now,
                processing_time)
+
+
+def patiently(work: Callable[[], object], tries: int = 3, wait_s: float = 60.0, sleep: Callable[[float], None] | None = None):
+    """``work()``, after an error again when ``wait_s`` has gone by; the last try's error is raised."""
+    import time
+    for left in range(tries - 1, -1, -1):
+        try:
+            return work()
+        except Exception:
+            if not left:
+                raise
+            (sleep or time.sleep)(wait_s)
+
+
+def start_scoring_loop(spark: SparkSession, table: str, checkpoint: str, scorer: Scorer | None = None,
+                       interval: str = "60 seconds", available_now: bool = False, processed_at: str | None = None,
+                       tries: int = 3, wait_s: float = 60.0, **poll):
+    """Every ``interval`` the envelope table's unscored documents are scored and updated in place
+    (``scoring_poll``), as a streaming query whose source is a clock: its batches mark the polls, so
+    a restart neither repeats nor skips one. A poll that fails is tried again after
+    ``wait_s``. ``available_now`` makes one poll."""
+    from tidemark.operators.scoring import scoring_poll
+    from tidemark.sources.versioned import envelope_table
+    clock = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).option("numPartitions", 1).load()
+    opened: dict = {}
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        session = df.sparkSession
+        query = session.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+        store = opened.setdefault(table, envelope_table(session, table))
+        patiently(lambda: scoring_poll(store, query, batch_id, scorer, processed_at, **poll), tries, wait_s)
+    return run(clock.writeStream.foreachBatch(write), checkpoint, available_now, interval)
