@@ -24,7 +24,7 @@ from tidemark.llm.common import python_batches, stage
 from tidemark.llm.k2_treap import K2Treap, best_first
 
 #: Documents and bytes of text of a shard.
-SHARD_DOCS, SHARD_BYTES = 4096, 16_000_000
+SHARD_DOCS, SHARD_BYTES = 2048, 5_000_000
 #: Queries and their terms that a pass over the index answers.
 BLOCK_QUERIES, BLOCK_TERMS = 512, 20_000
 #: Letters, digits and every byte of a character outside ASCII are a term's (A-Z in lower case); all else parts terms.
@@ -78,7 +78,7 @@ def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text", shard_
     Ids are integers or null. Every row is a document, rows of equal id or text too; other
     columns are not looked at. Texts are read twice, for the corpus' counts and for the grids.
     """
-    python_batches(docs.sparkSession, 500)
+    python_batches(docs.sparkSession, 200)
     corpus = corpus_of(docs, text)
 
     def shard(ids: list, lengths: list[int], rows: list[np.ndarray], times: list[np.ndarray], vocab: dict) -> pd.DataFrame:
