@@ -92,7 +92,8 @@ def _texts():
     rng = random.Random(11)
     out = ["".join(rng.choice(PIECES) for _ in range(rng.randrange(30))) for _ in range(250)]
     return out + [None, "", " ", "x▁y and ▁", "same text here", "same text here", "a" * 3000, " " * 2000, "word " * 3000,
-                  " \n lead", "\nfoo \nfoo", "漢" * 500]
+                  " \n lead", "\nfoo \nfoo", "漢" * 500,
+                  "word, word. word! (word) wörd; ß: 9, a.b a., .. , x"]
 
 
 COLUMNS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "groups"]
@@ -103,6 +104,7 @@ def test_equals_brute_force(spark, way, monkeypatch):
     texts = _texts()
     if way == "small batches":
         monkeypatch.setattr(A, "FAN_IN", 2)
+        monkeypatch.setattr(A, "PAIRS_REMEMBERED", 20)
     docs = spark.createDataFrame([(i // 2 if i else None, t, "g", 3) for i, t in enumerate(texts)],
                                  "doc_id long, text string, groups string, pair long").repartition(7)
     got = A.align_tokens(docs, BYTE_TOKENIZER, PIECE_MODEL, broadcast_bytes=0 if way == "join" else A.BROADCAST_BYTES)
@@ -120,24 +122,29 @@ def test_query_equals_brute_force_on_documents(spark):
     assert {r[0]: tuple(r[1:]) for r in got.collect()} == want
 
 
-def test_many_flushes_and_large_groups(spark, monkeypatch):
-    rng = random.Random(2)
-    one = A.Aligner(BYTE_TOKENIZER, PIECE_MODEL)
-    # parts without common ends inside are counted by distinct ids
-    x, y = [rng.randrange(300) for _ in range(400)], [rng.randrange(300) for _ in range(200)]
-    monkeypatch.setattr(one, "bytes_a", [b"a"] * 300)
-    monkeypatch.setattr(one, "bytes_b", [b"aa"] * 300)
-    monkeypatch.setattr(one, "size_a", [0] * 299 + [1])
-    assert A.groups([1, 2, 3, 4], [2, 4]) == [(2, 1), (4, 2)]
-    monkeypatch.setattr(A, "groups", lambda a, b: [(len(x), len(y))])
-    got = one._one("a" * 399, x, y) if b" " + b"a" * 399 == b"a" * 400 else None
-    assert got is None      # bytes differ: no tokens
-    monkeypatch.setattr(one, "bytes_a", [b" "] * 300)
-    monkeypatch.setattr(one, "bytes_b", [b"  "] * 300)
-    got = one._one(" " * 399, x, y)
-    pairs = Counter(p * one.n_b + q for p in x for q in y)
-    assert dict(zip(np.frombuffer(got[5], "<u8").tolist(), np.frombuffer(got[6], "<i8").tolist(), strict=True)) == pairs
-    assert got[4] == len(x) * len(y)
+def test_groups_of_very_many_tokens(monkeypatch):
+    """Links of large groups go by distinct ids; sums and strings are those of all links."""
+    rng = np.random.default_rng(2)
+    a, b = rng.integers(0, 300, 700), rng.integers(0, 300, 420)
+    # parts of 3 groups: 2 x 1 tokens, 400 x 220 and 1 x 1; then the rest alone
+    ends_a, ends_b = np.arange(1, 701) * 1000, np.zeros(420, dtype=np.int64)
+    ends_b[0], ends_b[1:221], ends_b[221] = 2000, np.arange(1, 221) * 1 + 401_779, 403_000
+    ends_b[220] = 402_000
+    ends_b[222:] = np.sort(rng.choice(np.arange(403_001, 699_999), 198, replace=False) // 1000 * 1000 + np.arange(1, 199) % 999 + 1)
+    ends_b[419] = 700_000
+    found = A.Aligned(a, b, ends_a, np.sort(ends_b), np.array([403_000, 700_000]))
+    assert found.cuts_at_stops and found.counts()[0] == [403, 297]
+    keys, times, of = found.links(300)
+    assert (np.diff(of) >= 0).all()
+    want = Counter()
+    for g in range(len(found.n_a)):
+        for x in a[found.of_a == g]:
+            for y in b[found.of_b == g]:
+                want[int(x) * 300 + int(y), g] += 1
+    got = Counter()
+    for k, n, g in zip(keys.tolist(), times.tolist(), of.tolist(), strict=True):
+        got[k, g] += n
+    assert got == want and found.counts()[3] == [sum(n for (_, g), n in want.items() if g < 3), sum(n for (_, g), n in want.items() if g >= 3)]
 
 
 def test_counts_of_a_pair_table(spark):

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import python_batches, stage
 from tidemark.llm.perfect_hash import PerfectHash, mixed
-from tidemark.llm.token_ids import IdEncoder, Memory, slices
+from tidemark.llm.token_ids import MARKS, IdEncoder, Memory, slices
 
 #: Segments of the distinct pairs. A pair is two ids, so a segment holds at most |A| x |B| / 256 pairs
 #: (6.3 million for vocabularies of 50,257 and 32,000).
@@ -37,6 +37,8 @@ SEGMENTS = 256
 HELD_PAIRS = 4_000_000
 #: Vectors that are added up in one task of the tree.
 FAN_IN = 16
+#: Parts that a generation of a worker's memory holds in the first and in the second pass.
+PAIRS_REMEMBERED, REMEMBERED = 250_000, 150_000
 #: Bytes of pairs and counts up to which the second pass has them in its tasks; beyond, it joins them.
 BROADCAST_BYTES = 96_000_000
 
@@ -51,20 +53,6 @@ def byte_of_character() -> dict[str, int]:
     return out
 
 
-def groups(ends_a: list[int], ends_b: list[int]) -> list[tuple[int, int]]:
-    """(tokens of A, tokens of B) up to each place where both end; the last ends are equal."""
-    out, i, j = [], 0, 0
-    while i < len(ends_a):
-        if ends_a[i] == ends_b[j]:
-            i, j = i + 1, j + 1
-            out.append((i, j))
-        elif ends_a[i] < ends_b[j]:
-            i += 1
-        else:
-            j += 1
-    return out
-
-
 class Aligner:
     """Aligns texts by a byte-level file of ``tokenizers`` (A) and a ``sentencepiece`` model (B)."""
 
@@ -91,7 +79,11 @@ class Aligner:
         self.bytes_b = [bytes([int(p.piece[3:-1], 16)]) if p.type == byte else p.piece.replace("▁", " ").encode()
                         for p in proto.pieces]
         self.n_b = len(self.bytes_b)
-        self.size_a, self.size_b = [len(x) for x in self.bytes_a], [len(x) for x in self.bytes_b]
+        self.size_a, self.size_b = np.array([len(x) for x in self.bytes_a]), np.array([len(x) for x in self.bytes_b])
+        self.kind = "<u4" if len(self.bytes_a) * self.n_b < 2**32 else "<u8"
+        self.words = [[f"{i}{c}" for i in range(max(len(self.bytes_a), self.n_b))] for c in ",|;"]
+        # a mark behind a word is a part of its own where no piece goes on from a letter to a mark
+        self.marks = "" if any(x[-1:].isalpha() for p in proto.pieces for m in MARKS for x in p.piece.split(m)[:-1]) else MARKS
 
     def cuts(self, memory: Memory, texts: list[str]) -> list[list[str]]:
         """The parts of each text; of an empty one none."""
@@ -99,44 +91,89 @@ class Aligner:
             return [[t] if t else [] for t in texts]
         return [c if t else [] for c, t in zip(memory.cuts(texts), texts, strict=True)]
 
-    def aligned(self, parts: list[str]) -> list[tuple | None]:
-        """Of each part (a blank stands before it): groups as text, tokens of A, of B, groups, links, and its
-        distinct pairs (A id x size of B + B id) with how often each is linked; None if bytes differ."""
-        all_a = self.a.of_parts(parts)
-        all_b = self.b.encode(parts, num_threads=1)
-        return [self._one(p, np.frombuffer(a, dtype="<u4").tolist(), b) for p, a, b in zip(parts, all_a, all_b, strict=True)]
-
-    def _one(self, part: str, a: list[int], b: list[int]) -> tuple | None:
-        data = b" " + part.encode()
-        if b"".join([self.bytes_a[i] for i in a]) != data or b"".join([self.bytes_b[i] for i in b]) != data:
+    def aligned(self, parts: list[str]) -> Aligned | None:
+        """All parts (a blank stands before each) as one text to both; None if one of them is not to come back byte for byte."""
+        data = "".join([" " + p for p in parts]).encode()
+        stops = np.cumsum([len(p.encode()) + 1 for p in parts])
+        a = np.frombuffer(self.a.whole([" " + " ".join(parts)])[0], dtype="<u4").astype(np.int64)
+        b = np.array(self.b.encode(" ".join(parts)), dtype=np.int64)
+        if b"".join([self.bytes_a[i] for i in a.tolist()]) != data or b"".join([self.bytes_b[i] for i in b.tolist()]) != data:
             return None
-        if len(a) == 1 or len(b) == 1:
-            cuts = [(len(a), len(b))]
-        else:
-            cuts = groups(np.cumsum([self.size_a[i] for i in a]).tolist(), np.cumsum([self.size_b[i] for i in b]).tolist())
-        said, pairs, links, i, j = [], {}, 0, 0, 0
-        large = []
-        for to_i, to_j in cuts:
-            x, y = a[i:to_i], b[j:to_j]
-            said.append(",".join(map(str, x)) + "|" + ",".join(map(str, y)))
-            links += len(x) * len(y)
-            if len(x) * len(y) > 10_000:      # by distinct ids and how often they come
-                (ux, nx), (uy, ny) = np.unique(x, return_counts=True), np.unique(y, return_counts=True)
-                large.append(((ux[:, None] * self.n_b + uy).ravel(), (nx[:, None] * ny).ravel()))
-            else:
-                for p in x:
-                    for q in y:
-                        key = p * self.n_b + q
-                        pairs[key] = pairs.get(key, 0) + 1
-            i, j = to_i, to_j
-        keys = np.fromiter(pairs, dtype="<u8", count=len(pairs))
-        times = np.fromiter(pairs.values(), dtype="<i8", count=len(pairs))
-        if large:
-            keys = np.concatenate([keys, *[k.astype("<u8") for k, _ in large]])
-            times = np.concatenate([times, *[n for _, n in large]])
-            keys, at = np.unique(keys, return_inverse=True)
-            times = np.bincount(at, weights=times).astype("<i8")
-        return ";".join(said), len(a), len(b), len(cuts), links, keys.tobytes(), times.tobytes()
+        found = Aligned(a, b, np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b]), stops)
+        return found if found.cuts_at_stops else None
+
+    def mark(self, mark: str, make):
+        """``make`` of a mark that follows a letter: no blank stands before it."""
+        a = np.frombuffer(self.a.whole([mark])[0], dtype="<u4").astype(np.int64)
+        b = np.array(self.b.encode("a" + mark)[1:], dtype=np.int64)
+        if not len(b) or b"".join([self.bytes_a[i] for i in a]) != mark.encode() or b"".join([self.bytes_b[i] for i in b]) != mark.encode():
+            return None
+        return make(Aligned(a, b, np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b]), np.array([len(mark)])))[0]
+
+    def each(self, parts: list[str], make) -> list:
+        """``make`` of alignments, for each part: many parts at once, odd ones alone; None for those without tokens."""
+        out: list = [None] * len(parts)
+        plain = [k for k, p in enumerate(parts) if self.by_parts and p and not p[0].isspace() and p[-1] != " " and "\u2581" not in p]
+        done = self.aligned([parts[k] for k in plain]) if plain else None
+        if done is not None:
+            for k, x in zip(plain, make(done), strict=True):
+                out[k] = x
+        alone = set(range(len(parts))) if done is None else set(range(len(parts))) - set(plain)
+        for k in alone:
+            one = self.aligned([parts[k]])
+            if one is not None:
+                out[k] = make(one)[0]
+        return out
+
+
+class Aligned:
+    """Tokens of A and B over the same bytes, cut into groups where both end and into parts at ``stops``."""
+
+    def __init__(self, a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray, stops: np.ndarray):
+        self.a, self.b = a, b
+        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        self.of_a, self.of_b = np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)       # groups
+        self.n_a, self.n_b = np.bincount(self.of_a, minlength=len(cuts)), np.bincount(self.of_b, minlength=len(cuts))
+        self.first_b = np.cumsum(self.n_b) - self.n_b
+        self.last = np.searchsorted(cuts, stops)                    # last group of each part
+        self.cuts_at_stops = bool((self.last < len(cuts)).all() and np.array_equal(cuts[self.last], stops))
+
+    def per_part(self, of_groups: np.ndarray) -> np.ndarray:
+        sums = np.cumsum(of_groups)[self.last]
+        return np.diff(sums, prepend=0)
+
+    def counts(self) -> list[list[int]]:
+        """Of each part: tokens of A, of B, groups, links."""
+        return [self.per_part(x).tolist() for x in (self.n_a, self.n_b, np.ones_like(self.n_a), self.n_a * self.n_b)]
+
+    def links(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs (A id x ``size`` + B id), how often each is linked and its group, by group. Groups of many tokens go by their distinct ids."""
+        times = self.n_b[self.of_a]
+        large = self.n_a * self.n_b > 10_000
+        times = np.where(large[self.of_a], 0, times)
+        first = np.repeat(np.cumsum(times) - times, times)
+        at = np.arange(len(first)) - first + np.repeat(self.first_b[self.of_a], times)
+        keys, of = np.repeat(self.a, times) * size + self.b[at], np.repeat(self.of_a, times)
+        n = np.ones(len(keys), dtype=np.int64)
+        for g in np.flatnonzero(large):
+            (x, nx), (y, ny) = (np.unique(t[o == g], return_counts=True) for t, o in ((self.a, self.of_a), (self.b, self.of_b)))
+            at = int(np.searchsorted(of, g))
+            keys, n, of = (np.insert(old, at, new) for old, new in (
+                (keys, (x[:, None] * size + y).ravel()), (n, (nx[:, None] * ny).ravel()), (of, np.full(len(x) * len(y), g))))
+        return keys, n, of
+
+    def written(self, words: list[list[str]]) -> list[str]:
+        """Each part's groups; ``words`` are the ids with a comma, a bar and a semicolon behind them."""
+        total = len(self.a) + len(self.b)
+        ids, sep = np.empty(total, dtype=np.int64), np.zeros(total, dtype=np.int64)
+        ends = np.cumsum(self.n_a)
+        at_a, at_b = np.arange(len(self.a)) + self.first_b[self.of_a], np.arange(len(self.b)) + ends[self.of_b]
+        ids[at_a], ids[at_b] = self.a, self.b
+        sep[ends + self.first_b - 1] = 1
+        sep[ends + self.first_b + self.n_b - 1] = 2
+        said = [words[k][i] for i, k in zip(ids.tolist(), sep.tolist(), strict=True)]
+        stops = (ends + self.first_b + self.n_b)[self.last].tolist()
+        return ["".join(said[x:y])[:-1] for x, y in zip([0, *stops[:-1]], stops, strict=True)]
 
 
 @lru_cache(maxsize=2)
@@ -147,9 +184,6 @@ def aligner(path_a: str, path_b: str) -> Aligner:
 
 # ---------------------------------------------------------------- first pass: documents of each pair
 def _pairs_of_task(path_a: str, path_b: str):
-    def pairs_only(one: Aligner):
-        return lambda parts: [x and x[5] for x in one.aligned(parts)]
-
     def put_out(part: int, keys: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
         seg = (mixed(keys, LEVEL_OF_SEGMENTS) >> np.uint64(56)).astype(np.int64)
         order = np.argsort(seg, kind="stable")
@@ -167,7 +201,7 @@ def _pairs_of_task(path_a: str, path_b: str):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         part, one = TaskContext.get().partitionId(), aligner(path_a, path_b)
-        memory = _memory(("pairs", path_a, path_b), pairs_only(one))
+        memory = _memory(("pairs", path_a, path_b), one, _pairs_of(one), bytes.__add__, PAIRS_REMEMBERED)
         held, loose, distinct = [], 0, 0
         for batch in batches:
             texts = [t or "" for t in batch.column(0).to_pylist()]
@@ -178,7 +212,7 @@ def _pairs_of_task(path_a: str, path_b: str):
                 for parts in cut:
                     pairs = [found[p] for p in set(parts)]
                     if pairs and None not in pairs:
-                        of_docs.append(np.unique(np.frombuffer(b"".join(pairs), dtype="<u8")))
+                        of_docs.append(np.unique(np.frombuffer(b"".join(pairs), dtype=one.kind)))
                 memory.forget()
                 if of_docs:
                     held.append(np.unique(np.concatenate(of_docs), return_counts=True))
@@ -199,15 +233,31 @@ LEVEL_OF_SEGMENTS = 1 << 20
 _MEMORIES: dict = {}
 
 
-def _memory(key: tuple, make) -> Memory:
-    """The worker's memory of a kind; only the newest kinds stay."""
+def _memory(key: tuple, one: Aligner, make, add, remembered: int) -> Memory:
+    """The worker's memory of a kind; only the newest kind stays. ``make`` turns alignments into results,
+    ``add`` puts the results of a word and of the mark behind it together."""
     if key not in _MEMORIES:
-        if len(_MEMORIES) > 1:
-            _MEMORIES.pop(next(iter(_MEMORIES)))
-        _MEMORIES[key] = Memory(make)
+        _MEMORIES.clear()
+
+        def each(parts):
+            return one.each(parts, make)
+        marks = {m: one.mark(m, make) for m in one.marks}
+        memory = Memory(None, remembered)
+        memory.make = lambda parts: memory.by_words(parts, each, marks, lambda x, y: None if x is None or y is None else add(x, y))
+        _MEMORIES[key] = memory
     return _MEMORIES[key]
 
 
+def _pairs_of(one: Aligner):
+    """Of each part its pairs, as bytes."""
+    def make(found: Aligned) -> list[bytes]:
+        keys, _, of = found.links(one.n_b)
+        data, size = keys.astype(one.kind).tobytes(), np.dtype(one.kind).itemsize
+        stops = (np.searchsorted(of, found.last, side="right") * size).tolist()
+        return [data[x:y] for x, y in zip([0, *stops[:-1]], stops, strict=True)]
+    return make
+
+
 def _tree(rows: DataFrame, schema: str, merge, last: bool = True) -> DataFrame:
     """Rows (seg, part, ...) merged ``FAN_IN`` parts at a time until each segment is one row."""
     top = rows.agg(F.max("part")).first()[0] or 0
@@ -321,29 +371,33 @@ class PairCounts:
 
 
 def _scored(one: Aligner, counts: PairCounts):
-    """Parts with the sums over their links: groups, n_a, n_b, n_groups, n_links, n_best, count_sum; and whether all
-    pairs were counted (not so of parts that only stand in texts without tokens)."""
-    def make(parts: list[str]) -> list[tuple | None]:
-        found = one.aligned(parts)
-        keys = [np.frombuffer(x[5], dtype="<u8") for x in found if x]
-        if not keys:
-            return found
-        n, best = counts.of(np.concatenate(keys))
-        times = np.concatenate([np.frombuffer(x[6], dtype="<i8") for x in found if x])
-        begins = np.cumsum([0] + [len(k) for k in keys[:-1]])
-        best, total, least = np.add.reduceat(times * best, begins), np.add.reduceat(times * n, begins), np.minimum.reduceat(n, begins)
-        out, k = [], 0
-        for x in found:
-            if x:
-                x, k = (*x[:5], int(best[k]), int(total[k]), bool(least[k])), k + 1
-            out.append(x)
-        return out
+    """Of each part: groups, n_a, n_b, n_groups, n_links, n_best, count_sum, and whether all its pairs were
+    counted (not so of parts that only stand in texts without tokens)."""
+    def make(found: Aligned) -> list[tuple]:
+        keys, times, of = found.links(one.n_b)
+        n, best = counts.of(keys.astype(np.uint64))
+        groups = len(found.n_a)
+        sums = [found.per_part(np.bincount(of, weights=w, minlength=groups).astype(np.int64)).tolist() for w in (times * best, times * n, n == 0)]
+        known = [x == 0 for x in sums[2]]
+        return list(zip(found.written(one.words), *found.counts(), *sums[:2], known, strict=True))
     return make
 
 
 def _linked(one: Aligner):
-    """Parts with their pairs and how often each is linked, for the join."""
-    return lambda parts: [x and (*x[:5], 0, 0, x[5], x[6]) for x in one.aligned(parts)]
+    """Of each part the same without sums, and its pairs and how often each is linked, for the join."""
+    def make(found: Aligned) -> list[tuple]:
+        keys, times, of = found.links(one.n_b)
+        stops = np.searchsorted(of, found.last, side="right").tolist()
+        cuts = list(zip([0, *stops[:-1]], stops, strict=True))
+        pairs, times = ([x[i:j].astype("<i8").tobytes() for i, j in cuts] for x in (keys, times))
+        none = [0] * len(cuts)
+        return list(zip(found.written(one.words), *found.counts(), none, none, [True] * len(cuts), pairs, times, strict=True))
+    return make
+
+
+def _together(x: tuple, y: tuple) -> tuple:
+    """Results of two parts that follow each other without a blank."""
+    return (f"{x[0]};{y[0]}", *[i + j for i, j in zip(x[1:7], y[1:7], strict=True)], x[7] and y[7], *[i + j for i, j in zip(x[8:], y[8:], strict=True)])
 
 
 _COLUMNS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
@@ -387,7 +441,7 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id",
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         one = aligner(path_a, path_b)
-        memory = _memory((run, path_a, path_b), _scored(one, shared.value) if small else _linked(one))
+        memory = _memory((run, path_a, path_b), one, _scored(one, shared.value) if small else _linked(one), _together, REMEMBERED)
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
@@ -409,8 +463,8 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id",
                     if with_groups:
                         out["groups"].append(said)
                     if not small:
-                        keys, at = np.unique(np.frombuffer(b"".join([x[7] for x in got]), dtype="<u8"), return_inverse=True)
-                        times = np.frombuffer(b"".join([x[8] for x in got]), dtype="<i8")
+                        keys, at = np.unique(np.frombuffer(b"".join([x[8] for x in got]), dtype="<i8"), return_inverse=True)
+                        times = np.frombuffer(b"".join([x[9] for x in got]), dtype="<i8")
                         out["row"].append(row)
                         out["pairs"].append(keys.astype(np.int64))
                         out["times"].append(np.bincount(at, weights=times, minlength=len(keys)).astype(np.int64))

@@ -48,8 +48,9 @@ class Memory:
     of it until ``forget``.
     """
 
-    def __init__(self, make):
+    def __init__(self, make, remembered: int | None = None):
         self.make = make        # of a list of parts: a list of results
+        self.remembered = remembered
         self.new: dict = {}
         self.old: dict = {}
         self.passing: list[str] = []
@@ -77,9 +78,20 @@ class Memory:
         for p in self.passing:
             del self.new[p]
         self.passing = []
-        if len(self.new) > REMEMBERED:
+        if len(self.new) > (self.remembered or REMEMBERED):
             self.old, self.new = self.new, {}
 
+    def by_words(self, parts: list[str], make, of_mark: dict, add) -> list:
+        """``make`` of ``parts``, of which a word (ending in a Latin letter) with a mark behind it is
+        ``add`` of the word's result, known or made, and the mark's."""
+        word = [p[:-1] if len(p) > 1 and p[-1] in of_mark and p[-2] < "\u0250" and p[-2].isalpha() else None for p in parts]
+        words = {w for w in word if w}
+        known = {w: self.new[w] for w in words & self.new.keys()}
+        known.update((w, self.old[w]) for w in (words - known.keys()) & self.old.keys())
+        alone = list((words - known.keys()).union(p for p, w in zip(parts, word, strict=True) if w is None))
+        known.update(zip(alone, make(alone) if alone else [], strict=True))
+        return [add(known[w], of_mark[p[-1]]) if w else known[p] for p, w in zip(parts, word, strict=True)]
+
 
 def slices(texts: list[str]) -> Iterator[tuple[int, int]]:
     """Spans of texts of about ``AT_ONCE`` characters."""
@@ -112,8 +124,8 @@ class IdEncoder:
         # a byte-level entry has a character for each byte
         self.n_bytes = np.zeros(max(vocab.values(), default=0) + 1, dtype=np.int64)
         self.n_bytes[list(vocab.values())] = [len(t) for t in vocab]
-        self.memory = Memory(self._by_words)
-        self.marks = dict(zip(MARKS, self.whole(list(MARKS)), strict=True))
+        marks = dict(zip(MARKS, self.whole(list(MARKS)), strict=True))
+        self.memory = Memory(lambda parts: self.memory.by_words(parts, self.of_parts, marks, bytes.__add__))
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -137,17 +149,6 @@ class IdEncoder:
             out.insert(k, x)
         return out
 
-    def _by_words(self, parts: list[str]) -> list[bytes]:
-        """``of_parts``; a word (ending in a Latin letter) with a mark behind it is the word's ids and the mark's."""
-        word = [p[:-1] if len(p) > 1 and p[-1] in self.marks and p[-2] < "\u0250" and p[-2].isalpha() else None for p in parts]
-        words = {w for w in word if w}
-        fresh = list(words - self.memory.new.keys() - self.memory.old.keys())
-        known = dict(zip(fresh, self.of_parts(fresh), strict=True)) if fresh else {}
-        for w in words - known.keys():
-            known[w] = self.memory.new[w] if w in self.memory.new else self.memory.old[w]
-        alone = iter(self.of_parts([p for p, w in zip(parts, word, strict=True) if w is None]))
-        return [known[w] + self.marks[p[-1]] if w else next(alone) for p, w in zip(parts, word, strict=True)]
-
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list = [None] * len(texts)
         plain = [k for k, t in enumerate(texts) if self.by_parts and not any(s in t for s in self.apart)]
