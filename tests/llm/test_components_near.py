@@ -82,6 +82,43 @@ def test_near_duplicates_against_brute_force(spark):
             assert r["kept"] == (r["doc_id"] == r["component_id"])
 
 
+def test_documents_of_several_texts(spark):
+    """Rows of one doc_id are one document, linked with what any of its texts links with."""
+    rng = random.Random(3)
+    rows = [(rng.randrange(60), t) for _, t in _near_rows()]
+    word = lambda: "".join(rng.choice("abcdef") for _ in range(5))
+    a, b = [word() for _ in range(80)], [word() for _ in range(90)]
+
+    def near(t):
+        t = list(t)
+        t[rng.randrange(len(t))] = word()
+        return " ".join(t)
+    rows += [(101, " ".join(a)), (101, " ".join(b)), (102, near(a)), (103, near(b)), (104, near(a)), (105, near(b)), (105, None), (106, near(b))]
+    sets = [(d, _shingles(t)) for d, t in rows]
+    links = [(x, y) for i, (x, s) in enumerate(sets) for y, t in sets[i + 1:] if s and t and 100 * len(s & t) >= 75 * len(s | t)]
+    want = _union({d for d, _ in rows}, links)
+    assert want[103] == want[105] == want[102] == 101
+    out = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), block=5).collect()
+    assert sorted((r["doc_id"], r["n_shingles"]) for r in out) == sorted((d, len(s)) for d, s in sets)
+    assert all(r["component_id"] == want[r["doc_id"]] and r["kept"] == (want[r["doc_id"]] == r["doc_id"]) for r in out)
+
+
+def test_blocks_are_bounded_by_weight(spark):
+    from tidemark.llm.common import in_blocks
+    df = spark.range(400).selectExpr("id", "id % 2 AS key", "id AS n")
+    out = in_blocks(df, ["key"], 1000, "id", "n", 5000).collect()
+    of = {}
+    for r in out:
+        of.setdefault((r["key"], r["_b"]), set()).add((r["id"], r["n"]))
+    assert max(sum(n for _, n in rows) for rows in of.values()) < 12_000 and len(of) > 10
+    met = {}
+    for r in out:
+        met.setdefault((r["key"], r["_bi"], r["_bj"]), []).append((r["id"], r["_b"]))
+    pairs = [frozenset((x, y)) for (_, i, j), rows in met.items() for x, bx in rows for y, by in rows
+             if x < y and ((i == j) or bx != by)]
+    assert len(pairs) == len(set(pairs)) == 2 * (200 * 199 // 2)
+
+
 def test_near_duplicates_empty(spark):
     assert near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 

@@ -48,7 +48,8 @@ def fresh(name: str, taken: list[str]) -> str:
     return out
 
 
-def in_blocks(df: DataFrame, keys: list[str], block: int, order: str) -> DataFrame:
+def in_blocks(df: DataFrame, keys: list[str], block: int, order: str, weight: str | None = None,
+              heaviest: int = 0) -> DataFrame:
     """Deal the rows of each group (rows of equal ``keys``) to pairs of blocks.
 
     A group of n rows is cut into s = ceil(n / block) blocks by a hash of
@@ -56,17 +57,19 @@ def in_blocks(df: DataFrame, keys: list[str], block: int, order: str) -> DataFra
     group meet in exactly one pair of blocks (rows of one block in the pair
     (b, b)), a pair holds about 2 x block rows however large the group is, and
     a group with at most ``block`` rows (nearly all) is one pair of one block.
-    Adds ``_bi``, ``_bj`` (the pair, _bi <= _bj) and ``_b`` (the row's block);
-    drops groups of one row.
+    With ``weight`` a block also weighs about ``heaviest`` at most (one row may weigh more). Adds
+    ``_bi``, ``_bj`` (the pair, _bi <= _bj) and ``_b`` (the row's block); drops groups of one row.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), (F.sum(weight) if weight else F.lit(0)).alias("_w")).where("_n > 1")
     out = df.join(sizes, keys)
     s = F.ceil(F.col("_n") / F.lit(block)).cast("int")
+    if weight:
+        s = F.least(F.greatest(s, F.ceil(F.col("_w") / F.lit(heaviest)).cast("int")), F.col("_n").cast("int"))
     out = out.withColumn("_s", s).withColumn(
         "_b", F.pmod(F.xxhash64(F.col(order), F.lit(17)), F.col("_s")).cast("int"))
     out = out.withColumn("_x", F.explode(F.expr("sequence(0, _s - 1)")))
     return (out.withColumn("_bi", F.least("_b", "_x")).withColumn("_bj", F.greatest("_b", "_x"))
-            .drop("_x", "_n", "_s"))
+            .drop("_x", "_n", "_w", "_s"))
 
 
 def each_group(batches, keys: list[str]):

@@ -1,6 +1,6 @@
 """Near duplicates by MinHash (operator 7).
 
-Documents of equal shingle sets are one node. Signatures of many universal
+A shingle set is one node, whatever documents have it. Signatures of many universal
 hash minima are cut into bands; nodes that share a band may be linked. First
 every node is held against the smallest node of each of its bands: candidates
 pass the signatures, then the full shingle sets. Links found so far give
@@ -32,8 +32,8 @@ BANDS, ROWS = 40, 4
 SIGNATURE_LEAST = 0.6
 #: Ids of candidates up to which they are broadcast (8 MB); beyond, their texts are found by a shuffle.
 BROADCAST_IDS = 1_000_000
-#: Rows of a block within a band.
-BLOCK = 1000
+#: Rows of a block within a band, and shingles that they have together.
+BLOCK, BLOCK_SHINGLES = 1000, 2_000_000
 
 
 def minhash(s: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -45,6 +45,13 @@ def minhash(s: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def digest(s: np.ndarray) -> tuple[int, int]:
+    """Two numbers that tell sets apart."""
+    if not len(s):
+        return 0, 0
+    return int(s.sum().astype(np.int64)), int(np.bitwise_xor.reduce(mix(s + np.uint64(77))).astype(np.int64))
+
+
 def signatures(docs: DataFrame, size: int = 5, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, set digest (d1, d2), a byte of each minimum, and the band keys."""
     python_batches(docs.sparkSession)
@@ -60,8 +67,8 @@ def signatures(docs: DataFrame, size: int = 5, bands: int = BANDS, rows: int = R
             texts = [(t or "").encode("utf-8", "surrogatepass") for t in batch.column(1).to_pylist()]
             for s in shingle_sets(texts, size):
                 n.append(len(s))
-                d1.append(int(s.sum().astype(np.int64)) if len(s) else 0)
-                d2.append(int(np.bitwise_xor.reduce(mix(s + np.uint64(77))).astype(np.int64)) if len(s) else 0)
+                for d, x in zip((d1, d2), digest(s), strict=True):
+                    d.append(x)
                 m = minhash(s, a, b)
                 sig.append((m >> np.uint32(24)).astype(np.uint8).tobytes())
                 keys.append(mix((m.reshape(bands, rows).astype(np.uint64) * weights).sum(axis=1) ^ salts))
@@ -75,17 +82,24 @@ def signatures(docs: DataFrame, size: int = 5, bands: int = BANDS, rows: int = R
     return docs.mapInArrow(sign, "doc_id long, n_shingles long, d1 long, d2 long, sig binary, bands array<long>")
 
 
-def _sets(docs: DataFrame, size: int) -> DataFrame:
+def _sets(texts: DataFrame, size: int) -> DataFrame:
+    """The set of every text, with its digest."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = list(shingle_sets([(t or "").encode("utf-8", "surrogatepass")
-                                       for t in batch.column(1).to_pylist()], size))
+                                       for t in batch.column(0).to_pylist()], size))
             offsets = np.cumsum([0] + [len(s) for s in found]).astype(np.int32)
             values = np.concatenate(found).astype(np.int64) if found else np.zeros(0, dtype=np.int64)
+            digests = [digest(s) for s in found]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], ["doc_id", "s"])
+                [pa.array([d for d, _ in digests], pa.int64()), pa.array([d for _, d in digests], pa.int64()),
+                 pa.array(np.diff(offsets), pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))], [*_SET, "s"])
+
+    return texts.select("text").mapInArrow(sets, "d1 long, d2 long, n_shingles long, s array<long>")
+
 
-    return docs.mapInArrow(sets, "doc_id long, s array<long>")
+#: What tells sets apart.
+_SET = ["d1", "d2", "n_shingles"]
 
 
 @F.pandas_udf(DoubleType())
@@ -99,8 +113,8 @@ def _agreement(x: pd.Series, y: pd.Series) -> pd.Series:
 
 def _confirm(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (a, b) whose full sets have den * intersection >= num * union."""
-    both = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa")), "a")
-            .join(sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb")), "b"))
+    both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
+            .join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b"))
     common = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - F.col("i")
     return both.withColumn("i", common).where(den * F.col("i") >= num * union).select("a", "b")
@@ -130,7 +144,7 @@ def _across(member: DataFrame, found: DataFrame, byte: DataFrame, sets: DataFram
     ).select("key", "k", "id", F.coalesce("component", "id").alias("c"))
     open_ = now.groupBy("key").agg(F.min("c").alias("_l"), F.max("c").alias("_h")).where("_l <> _h").select("key")
     open_ = stage(now.join(open_, "key").join(byte, "id"), "near-open")
-    dealt = in_blocks(open_, ["key"], block, "id").repartition(*_GROUP).sortWithinPartitions(*_GROUP, "id")
+    dealt = in_blocks(open_, ["key"], block, "id", "n", BLOCK_SHINGLES).repartition(*_GROUP).sortWithinPartitions(*_GROUP, "id")
 
     def candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out, size = [], 0
@@ -160,7 +174,7 @@ def _across(member: DataFrame, found: DataFrame, byte: DataFrame, sets: DataFram
             yield pd.concat(out)
 
     rows = stage(dealt.mapInPandas(candidates, "key long, _bi int, _bj int, _b int, id long, c long, n long"), "near-rows")
-    full = (rows.join(sets.select(F.col("doc_id").alias("id"), "s"), "id").repartition(*_GROUP)
+    full = (rows.join(sets.select("id", "s"), "id").repartition(*_GROUP)
             .sortWithinPartitions(*_GROUP, "id"))
 
     def test(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -198,29 +212,33 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 75, den: int = 10
     documents are linked if den * intersection >= num * union of their sets of
     ``size``-word shingles (fewer words: the whole sequence is one shingle).
     Null and empty texts have an empty set and link with nothing, as do rows
-    without an id (their component is null, kept true). Copies of a set link to
-    its smallest id. Rows of one doc_id are one node. Other columns are not
+    without an id (their component is null, kept true). Rows of one doc_id are one
+    document: it links with what any of its texts links with. Other columns are not
     read; an empty table gives an empty result.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sig = stage(signatures(docs, size, bands, rows), "near-sig")
-    same = (sig.where("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2", "n_shingles")
+    same = (sig.where("n_shingles > 0 and doc_id is not null").groupBy(*_SET)
             .agg(F.min_by(F.struct("doc_id", "sig", "bands"), "doc_id").alias("x")))
-    nodes = stage(same.select("d1", "d2", "n_shingles", "x.*"), "near-nodes")
-    keyed = nodes.select(F.posexplode("bands").alias("k", "key"), F.col("doc_id").alias("b"))
+    # a set's number; it holds as the table is written
+    nodes = stage(same.select(*_SET, "x.*", F.monotonically_increasing_id().alias("id")), "near-nodes")
+    keyed = nodes.select(F.posexplode("bands").alias("k", "key"), F.col("id").alias("b"))
     shared = keyed.groupBy("key").agg(F.min("b").alias("a"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
     member = stage(keyed.join(shared, "key"), "near-bands")
     star = member.where("a <> b").select("a", "b").distinct()
-    byte = nodes.select(F.col("doc_id").alias("id"), "sig", F.col("n_shingles").alias("n"), "bands")
+    byte = nodes.select("id", "sig", F.col("n_shingles").alias("n"), "bands")
     star = (star.join(byte.select(F.col("id").alias("a"), F.col("sig").alias("x"), F.col("n").alias("m")), "a")
             .join(byte.select(F.col("id").alias("b"), F.col("sig").alias("y"), "n"), "b")
             .where(den * F.least("m", "n") >= num * F.greatest("m", "n"))
             .where(_agreement("x", "y") >= SIGNATURE_LEAST).select("a", "b"))
     star = stage(star, "near-star")
-    ids = stage(member.select(F.col("b").alias("doc_id")).distinct(), "near-ids")
-    few = ids.count() <= BROADCAST_IDS
+    # the texts that stand for the nodes in question; their sets find the nodes by digest
+    wanted = stage(nodes.join(member.select(F.col("b").alias("id")).distinct(), "id").select("id", "doc_id", *_SET), "near-ids")
+    few = wanted.count() <= BROADCAST_IDS
+    ids, wanted = wanted.select("doc_id").distinct(), wanted.drop("doc_id")
     texts = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
-    sets = stage(_sets(texts, size).dropDuplicates(["doc_id"]), "near-sets")
+    sets = _sets(texts, size).join(F.broadcast(wanted) if few else wanted, _SET)
+    sets = stage(sets.dropDuplicates(["id"] if few else _SET).select("id", "s"), "near-sets")
     found = connected_components(stage(_confirm(star, sets, num, den), "near-links"))
 
     # what the stars have left apart
@@ -228,11 +246,20 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 75, den: int = 10
     if more.limit(1).count():
         found = connected_components(found.where("node <> component").select("node", "component").union(more))
 
-    node = nodes.select("d1", "d2", "n_shingles", F.col("doc_id").alias("node")).join(found, "node", "left").select(
-        "d1", "d2", "n_shingles", F.coalesce("component", "node").alias("_c"))
-    rows_ = sig.select("doc_id", "n_shingles", "d1", "d2")
-    out = rows_.join(node, ["d1", "d2", "n_shingles"], "left")
-    component = F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0),
-                       F.coalesce("_c", "doc_id")).otherwise(F.col("doc_id"))
+    # a document of several sets is one
+    of = stage(sig.select("doc_id", *_SET).join(nodes.select(*_SET, "id"), _SET, "left").select(
+        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("id")).alias("id")), "near-of")
+    several = of.where("id is not null").groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a <> z")
+    tied = stage(of.join(several.select("doc_id", "a"), "doc_id").where("id <> a").select("a", "id").distinct(), "near-tied")
+    if tied.limit(1).count():
+        found = connected_components(found.where("node <> component").select("node", "component").union(tied))
+
+    of = of.join(found.select(F.col("node").alias("id"), "component"), "id", "left").select(
+        "doc_id", "n_shingles", F.coalesce("component", "id").alias("_c"))
+    least = of.where("_c is not null").groupBy("_c").agg(F.min("doc_id").alias("_least"))
+    # all rows of a document, those of an empty set too, have what its sets have
+    of_doc = of.join(least, "_c").groupBy("doc_id").agg(F.min("_least").alias("_least"))
+    out = of.join(of_doc, "doc_id", "left")
+    component = F.coalesce("_least", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
