@@ -70,14 +70,16 @@ BROADCAST_MAX_BYTES = 64 << 20
 
 
 def _carry(local: DataFrame, keys: list[str], summary_aggs: list[Column],
-           carry_exprs) -> DataFrame:
+           carry_exprs, staged: bool = False) -> DataFrame:
     """Summarise ``local`` per (key, bucket), carry across buckets, join back.
 
-    The summary has one row per (key, bucket). It is staged, its size is
+    ``staged``: ``local`` comes from a staged frame with these buckets, so it is read
+    again and not written a second time (scans that build on each other
+    share one range pass). The summary has one row per (key, bucket). It is staged, its size is
     measured, and it is broadcast only when the estimate stays under
     ``BROADCAST_MAX_BYTES``; beyond that the join back is a sort-merge join.
     """
-    local = _stage(local)
+    local = local if staged else _stage(local)
     summ = local.groupBy(*keys, _B).agg(*summary_aggs)
     ws = Window.partitionBy(*keys).orderBy(_B)
     summ = summ.select(*keys, _B, *carry_exprs(ws))
@@ -99,16 +101,16 @@ def range_buckets(df: DataFrame, keys: Sequence[str], order) -> DataFrame:
     recomputed), so it is only offered with ``MATERIALIZE == "checkpoint"``."""
     if MATERIALIZE != "checkpoint":
         raise ValueError('bucket="range" needs MATERIALIZE = "checkpoint"')
-    from tidemark.session import range_partitions
-    ranged = df.repartitionByRange(range_partitions(df.sparkSession), *[F.col(k) for k in keys], *_order_cols(order))
+    from tidemark.session import range_partitioned
+    ranged = range_partitioned(df, *[F.col(k) for k in keys], *_order_cols(order))
     return ranged.withColumn(_B, F.spark_partition_id())
 
 
 # ------------------------------------------------------------------ fused scan
 def fused_scan(df: DataFrame, keys=("symbol",), order=("date",), bucket: Column | None = None,
                pct: Sequence[tuple[str, str]] = (), ffill: Sequence[str] = (),
-               nxt: Sequence[tuple[str, str]] = (), pos: tuple[str, str | None] | None = None
-               ) -> DataFrame:
+               nxt: Sequence[tuple[str, str]] = (), pos: tuple[str, str | None] | None = None,
+               keep_bucket: bool = False) -> DataFrame:
     """Several per-key scans in one pass over the data (``bucket``: a column
     monotone in the order, ``"range"`` for range-partition buckets, or None).
 
@@ -120,7 +122,8 @@ def fused_scan(df: DataFrame, keys=("symbol",), order=("date",), bucket: Column
     All scans read the *input* columns (so returns are taken before the fill,
     as in the reference, D23). With ``bucket`` the two-pass scheme runs once
     for all of them: one window pass over (key, bucket), one summary row per
-    bucket, one carry window, one join back.
+    bucket, one carry window, one join back. ``keep_bucket`` leaves the bucket's column
+    for a scan that builds on this one.
     """
     keys = _cols(keys)
     ffill = _cols(ffill)
@@ -195,6 +198,8 @@ def fused_scan(df: DataFrame, keys=("symbol",), order=("date",), bucket: Column
         fin.append((F.col("_tm_lp") + F.col("_tm_off")).cast("bigint").alias(pos[0]))
         if pos[1]:
             fin.append(F.col(pos[1]).cast("bigint"))
+    if keep_bucket:
+        fin.append(F.col(_B))
     return j.select(*fin)
 
 
@@ -347,7 +352,7 @@ def cumulative_return(df: DataFrame, cols: Sequence[str], keys=("symbol",), orde
     """
     keys = _cols(keys)
     cols = _cols(cols)
-    t = fused_scan(df, keys, order, bucket, pct=[(c, f"ret_{c}") for c in cols])
+    t = fused_scan(df, keys, order, bucket, pct=[(c, f"ret_{c}") for c in cols], keep_bucket=bucket is not None)
     for c in cols:
         t = t.where(F.col(f"ret_{c}").isNotNull())
     growth = {c: F.lit(1.0) + F.col(f"ret_{c}") for c in cols}
@@ -357,14 +362,13 @@ def cumulative_return(df: DataFrame, cols: Sequence[str], keys=("symbol",), orde
             t = t.withColumn(f"cum_{c}", F.product(growth[c]).over(w))
         return t
     wb = Window.partitionBy(*keys, _B).orderBy(*_order_cols(order)).rowsBetween(UNB, 0)
-    local = (range_buckets(t, keys, order) if isinstance(bucket, str) and bucket == "range"
-             else t.withColumn(_B, bucket))
+    local = t       # in the buckets of the returns' scan, which is staged
     for c in cols:
         local = local.withColumn(f"_tm_lc_{c}", F.product(growth[c]).over(wb))
     j = _carry(local, keys,
                [F.product(growth[c]).alias(f"_tm_bp_{c}") for c in cols],
                lambda ws: [F.product(f"_tm_bp_{c}").over(ws.rowsBetween(UNB, -1))
-                           .alias(f"_tm_cp_{c}") for c in cols])
+                           .alias(f"_tm_cp_{c}") for c in cols], staged=True)
     for c in cols:
         j = j.withColumn(f"cum_{c}", F.col(f"_tm_lc_{c}") *
                          F.coalesce(F.col(f"_tm_cp_{c}"), F.lit(1.0)))

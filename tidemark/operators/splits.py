@@ -24,10 +24,10 @@ def global_row_id(df: DataFrame, order: Sequence[str], out: str = "row_id",
                   partitions: int | None = None, checkpoint: bool = True) -> DataFrame:
     """1-based position of every row in the total order ``order``; adds
     ``out`` and ``n_rows`` (the total count, for split cut points)."""
-    from tidemark.session import ensure_checkpoint_dir, range_partitions
+    from tidemark.session import ensure_checkpoint_dir, range_partitioned
     spark = df.sparkSession
     cols = [F.col(c) for c in order]
-    ranged = df.repartitionByRange(partitions or range_partitions(spark), *cols).sortWithinPartitions(*cols)
+    ranged = range_partitioned(df, *cols, partitions=partitions).sortWithinPartitions(*cols)
     tagged = ranged.withColumn("_tm_mid", F.monotonically_increasing_id())
     if checkpoint:
         ensure_checkpoint_dir(spark)

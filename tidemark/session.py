@@ -54,12 +54,13 @@ def apply_runtime_conf(spark: SparkSession) -> None:
             spark.conf.set(k, v)
 
 
-def range_partitions(spark: SparkSession) -> int:
-    """Pieces that a range partitioning is cut into: ``spark.tidemark.range.partitions``,
-    else the shuffle partitions. AQE merges small pieces but adds none, so set it
-    to about one per 256 MB of the largest table that is scanned per key."""
-    return int(spark.conf.get("spark.tidemark.range.partitions",
-                              spark.conf.get("spark.sql.shuffle.partitions")))
+def range_partitioned(df, *cols, partitions: int | None = None):
+    """``df`` dealt by ranges of ``cols``. The number of pieces is ``partitions`` or the setting
+    ``spark.tidemark.range.partitions`` if there is one; else adaptive execution merges the session's shuffle
+    partitions up to its advisory size, so a small table is one piece (pieces keep their order).
+    AQE adds none: at scale set shuffle partitions to about one per 256 MB of the largest table scanned per key."""
+    n = partitions or df.sparkSession.conf.get("spark.tidemark.range.partitions", None)
+    return df.repartitionByRange(int(n), *cols) if n else df.repartitionByRange(*cols)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
