@@ -38,7 +38,9 @@ HELD_PAIRS = 4_000_000
 #: Vectors that are added up in one task of the tree.
 FAN_IN = 16
 #: Parts that a generation of a worker's memory holds in the first and in the second pass.
-PAIRS_REMEMBERED, REMEMBERED = 250_000, 150_000
+PAIRS_REMEMBERED, REMEMBERED = 600_000, 300_000
+#: Characters that are aligned at once.
+AT_ONCE = 1_500_000
 #: Bytes of pairs and counts up to which the second pass has them in its tasks; beyond, it joins them.
 BROADCAST_BYTES = 96_000_000
 
@@ -85,11 +87,11 @@ class Aligner:
         # a mark behind a word is a part of its own where no piece goes on from a letter to a mark
         self.marks = "" if any(x[-1:].isalpha() for p in proto.pieces for m in MARKS for x in p.piece.split(m)[:-1]) else MARKS
 
-    def cuts(self, memory: Memory, texts: list[str]) -> list[list[str]]:
-        """The parts of each text; of an empty one none."""
-        if not self.by_parts:
-            return [[t] if t else [] for t in texts]
-        return [c if t else [] for c, t in zip(memory.cuts(texts), texts, strict=True)]
+    def cuts(self, memory: Memory, texts: list[str]) -> tuple[list[list[str]], set[str]]:
+        """The parts of each text, of an empty one none; and all parts."""
+        cut, parts = memory.cuts(texts) if self.by_parts else ([[t] for t in texts], set(texts))
+        parts.discard("")
+        return [c if t else [] for c, t in zip(cut, texts, strict=True)], parts
 
     def aligned(self, parts: list[str]) -> Aligned | None:
         """All parts (a blank stands before each) as one text to both; None if one of them is not to come back byte for byte."""
@@ -205,9 +207,9 @@ def _pairs_of_task(path_a: str, path_b: str):
         held, loose, distinct = [], 0, 0
         for batch in batches:
             texts = [t or "" for t in batch.column(0).to_pylist()]
-            for a, b in slices(texts):
-                cut = one.cuts(memory, texts[a:b])
-                found = memory.learn(set().union(*cut))
+            for a, b in slices(texts, AT_ONCE):
+                cut, every = one.cuts(memory, texts[a:b])
+                found = memory.learn(every)
                 of_docs = []
                 for parts in cut:
                     pairs = [found[p] for p in set(parts)]
@@ -445,9 +447,9 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id",
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in slices(texts):
-                cut = one.cuts(memory, texts[a:b])
-                found = memory.learn(set().union(*cut))
+            for a, b in slices(texts, AT_ONCE):
+                cut, every = one.cuts(memory, texts[a:b])
+                found = memory.learn(every)
                 out = {f.name: [] for f in schema.fields[1:]}
                 for parts in cut:
                     got = [found[p] for p in parts]

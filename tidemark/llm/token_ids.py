@@ -55,12 +55,16 @@ class Memory:
         self.old: dict = {}
         self.passing: list[str] = []
 
-    def cuts(self, texts: list[str]) -> list[list[str]]:
-        """``cut_at_blanks`` of every text, without its loop where no part is empty or begins with white space."""
+    def cuts(self, texts: list[str]) -> tuple[list[list[str]], set[str]]:
+        """``cut_at_blanks`` of every text, without its loop where no part is empty or begins with white space; and all parts."""
         cut = [t.split(" ") for t in texts]
-        # no part after the first is odd once it was made
-        odd = {p for p in set().union(*[c[1:] for c in cut]) - self.new.keys() if not p or p[0].isspace()}
-        return [c if odd.isdisjoint(c) else cut_at_blanks(t) for c, t in zip(cut, texts, strict=True)] if odd else cut
+        parts = set().union(*cut)
+        # what is remembered is not odd
+        odd = {p for p in parts - self.new.keys() if not p or p[0].isspace()}
+        if odd:
+            cut = [c if odd.isdisjoint(c) else cut_at_blanks(t) for c, t in zip(cut, texts, strict=True)]
+            parts = set().union(*cut)
+        return cut, parts
 
     def learn(self, parts: set[str]) -> dict:
         """``new``, with a result for each of ``parts``."""
@@ -93,12 +97,13 @@ class Memory:
         return [add(known[w], of_mark[p[-1]]) if w else known[p] for p, w in zip(parts, word, strict=True)]
 
 
-def slices(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Spans of texts of about ``AT_ONCE`` characters."""
+def slices(texts: list[str], at_once: int | None = None) -> Iterator[tuple[int, int]]:
+    """Spans of texts of about ``at_once`` characters (by default ``AT_ONCE``)."""
+    at_once = at_once or AT_ONCE
     begin = held = 0
     for k, t in enumerate(texts):
         held += len(t)
-        if held >= AT_ONCE:
+        if held >= at_once:
             yield begin, k + 1
             begin, held = k + 1, 0
     if begin < len(texts):
@@ -154,7 +159,7 @@ class IdEncoder:
         plain = [k for k, t in enumerate(texts) if self.by_parts and not any(s in t for s in self.apart)]
         for a, b in slices([texts[k] for k in plain]):
             of = plain[a:b]
-            cut = self.memory.cuts([texts[k] for k in of])
+            cut, _ = self.memory.cuts([texts[k] for k in of])
             first = self.whole([c[0] for c in cut])
             rest = [c[1:] for c in cut]
             result = self.memory.learn(set().union(*rest)).__getitem__
