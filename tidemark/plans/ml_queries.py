@@ -143,6 +143,42 @@ def q_per_symbol_apply(spark, d):
                          "last_close double")
 
 
+@query("per_symbol_stream")
+def q_per_symbol_stream(spark, d):
+    """A function that goes through each symbol's whole history piece by piece (largest fall from a peak)."""
+    from tidemark.operators.grouped import per_key_stream
+
+    def drawdown(key, pieces):
+        import pandas as pd
+        peak, worst, n = None, 0.0, 0
+        for p in pieces:
+            for close in p["close"]:
+                peak = close if peak is None else max(peak, close)
+                worst, n = max(worst, peak - close), n + 1
+        yield pd.DataFrame({"symbol": [key[0]], "n_rows": [n], "largest_fall": [worst]})
+    return per_key_stream(B.bars(spark, d), ["symbol"], drawdown, "symbol string, n_rows long, largest_fall double", ["date"])
+
+
+#: Rows of a sequence and weights of the linear model that ``predict_sequence`` saves and loads.
+PREDICT_LENGTH = 28
+PREDICT_WEIGHTS = [[((7 * i + 3 * j) % 11 - 5) / 100 for j in range(len(BAR_FEATURES))] for i in range(PREDICT_LENGTH)]
+
+
+@query("predict_sequence")
+def q_predict_sequence(spark, d):
+    """M6: next opening price from every symbol's newest sequence, by a saved artefact; symbols without enough rows, and one
+    that is not there, say why they have none."""
+    from tidemark.operators.sequence_model import SequenceArtefact, fit_artefact, predict_sequences
+    bars = B.bars(spark, d)
+    path = scratch_dir(spark, "sequence_model") + "/artefact"
+    fit_artefact(bars.where("date < '2024-01-25'"), BAR_FEATURES, "open", PREDICT_LENGTH, "tidemark.operators.sequence_model.LinearSequenceModel",
+                 {"weights": PREDICT_WEIGHTS, "bias": 0.01}).save(spark, path)
+    # the closing price is missing on a few newest days
+    gaps = bars.withColumn("close", F.when((F.col("date") >= "2024-01-28") & F.col("symbol").endswith("7"), F.lit(None)).otherwise(F.col("close")))
+    wanted = bars.select("symbol").distinct().unionByName(spark.createDataFrame([("NONE",)], "symbol string"))
+    return predict_sequences(gaps, SequenceArtefact.load(spark, path), wanted)
+
+
 @query("to_json_value")
 def q_to_json_value(spark, d):
     """B1/C11: scored texts as one JSON value per row (NULL fields omitted)."""

@@ -558,6 +558,29 @@ SELECT doc_id, {kw_label('text', ('hate',), ('great',))} AS sentiment_label,
     q["per_symbol_apply"] = with_(EV, BARS) + """
 SELECT symbol, substr(date, 1, 7) AS month, count(*) AS n_rows, round(avg(close), 6) AS mean_close,
   round(arg_max(close, date), 6) AS last_close FROM bars GROUP BY 1, 2"""
+    q["per_symbol_stream"] = with_(EV, BARS, """
+p AS (SELECT *, max(close) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS peak
+      FROM bars)""") + """
+SELECT symbol, count(*) AS n_rows, round(max(peak - close), 6) AS largest_fall FROM p GROUP BY symbol"""
+    from tidemark.plans.ml_queries import PREDICT_LENGTH as N
+    from tidemark.plans.queries import BAR_FEATURES as X
+    terms = " + ".join(f"(({{0}} * 7 + {3 * j}) % 11 - 5) / 100.0::DOUBLE * ((v.{c} - f.min_{c}) / (f.max_{c} - f.min_{c}) * 2 - 1)".format(f"({N} - r)")
+                       for j, c in enumerate(X))
+    fits = ", ".join(f"min({c}) AS min_{c}, max({c}) AS max_{c}" for c in X)
+    gap = "CASE WHEN date >= '2024-01-28' AND symbol LIKE '%7' THEN NULL ELSE close END AS close"
+    q["predict_sequence"] = with_(EV, BARS, f"""
+f AS (SELECT {fits} FROM bars WHERE date < '2024-01-25'),
+v AS (SELECT symbol, date, open, high, low, {gap}, volume,
+             row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS r FROM bars),
+s AS (SELECT symbol, max(date) AS last_date, count(*) AS n_rows, sum({terms}) + 0.01 AS y,
+             bool_or(open IS NULL OR high IS NULL OR low IS NULL OR close IS NULL OR volume IS NULL) AS gap
+      FROM v, f WHERE r <= {N} GROUP BY symbol),
+w AS (SELECT DISTINCT symbol FROM bars UNION ALL SELECT 'NONE'),
+t AS (SELECT w.symbol, last_date, coalesce(n_rows, 0)::BIGINT AS n_rows, y,
+             CASE WHEN n_rows IS NULL THEN 'unknown' WHEN n_rows < {N} THEN 'too_short' WHEN gap THEN 'incomplete' ELSE 'ok' END AS status
+      FROM w LEFT JOIN s ON w.symbol = s.symbol)""") + """
+SELECT symbol, last_date, n_rows, status,
+  CASE WHEN status = 'ok' THEN round((y + 1) / 2 * (f.max_open - f.min_open) + f.min_open, 6) END AS prediction FROM t, f"""
     q["rebuild_table"] = with_(EV, BARS) + f"\nSELECT symbol, date, {BAR_ROUND} FROM bars"
     return q
 
