@@ -216,6 +216,28 @@ def test_lines_equal_brute_force(spark):
     assert all(got[d] <= want.get(d, 0) for d in got) and short <= 0.03 * sum(want.values())
 
 
+def test_recall_at_the_bound(spark):
+    """Lines of 5 to 90 words with so many words changed as the similarity allows: nine in ten are found at every length."""
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    rows, of, d = [], {}, 0
+    for n in (5, 10, 20, 40, 90):
+        for _ in range(60):
+            w = [word(rng.randint(3, 9)) for _ in range(n)]
+            v, left = list(w), int(len(" ".join(w)) * 0.1 + 1e-9)
+            for i in rng.sample(range(n), n):
+                if len(w[i]) <= left:
+                    v[i], left = word(len(w[i])), left - len(w[i])
+            if v != w:
+                rows += [(d, " ".join(w)), (d + 1, " ".join(v))]
+                of[d + 1] = n
+                d += 2
+    out = {r["doc_id"]: r["n_removed"] for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for n in set(of.values()):
+        lines = [x for x in of if of[x] == n]
+        assert sum(out[x] for x in lines) >= 0.9 * len(lines), n
+
+
 def test_a_key_of_very_many_lines(spark, monkeypatch):
     """Lines that share two least hashes, more than are held against each other: near ones are still found."""
     import tidemark.llm.line_dedup as M
