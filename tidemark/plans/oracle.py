@@ -489,7 +489,7 @@ def stream_sql() -> dict[str, str]:
     q["topic_counts"] = b["row_counts"]
     q["envelope_sink"] = b["envelope_all"]
     q["offset_ledger"] = with_(EV, MESSAGES, """
-m AS (SELECT topic, partition::INTEGER AS partition, "offset" AS o FROM messages
+m AS (SELECT topic, partition::BIGINT AS partition, "offset" AS o FROM messages
       WHERE "offset" // 50 % 2 = 0 OR "offset" % 1000 < 900 OR "offset" % 3 = 0),
 r AS (SELECT *, o - row_number() OVER (PARTITION BY topic, partition ORDER BY o) AS run FROM m),
 n AS (SELECT topic, partition, count(*) AS n_stored FROM m GROUP BY ALL)""") + """
@@ -518,6 +518,13 @@ FROM env WHERE {upd}""")
     q["scoring_polls"] = env_query(f"""
 SELECT CASE WHEN kafka_offset % 10 = 0 THEN 1 ELSE 0 END::BIGINT AS poll, count(*) AS n_scored, 0::BIGINT AS n_failed
 FROM env WHERE {upd} GROUP BY 1""")
+    q["redrive"] = with_(EV, MESSAGES) + f"""
+SELECT topic AS source_topic, "offset" AS kafka_offset,
+  CASE topic WHEN 'twitter_raw' THEN 'twitter_raw' WHEN 'prices_raw' THEN 'price' ELSE 'dead_letter' END AS doc_type,
+  CASE topic WHEN 'twitter_raw' THEN 'u1' WHEN 'prices_raw' THEN 'U1' END AS symbol,
+  CASE WHEN topic IN ('twitter_raw', 'prices_raw') THEN '2024-01-09' ELSE '{K.AS_OF}' END AS timestamp,
+  CASE WHEN topic NOT IN ('twitter_raw', 'prices_raw') THEN 2::BIGINT END AS attempts
+FROM messages WHERE NOT json_valid(value)"""
     q["dead_letter"] = with_(EV, MESSAGES) + """
 SELECT topic AS source_topic, "offset" AS kafka_offset, value AS payload
 FROM messages WHERE NOT json_valid(value)"""

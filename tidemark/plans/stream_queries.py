@@ -105,7 +105,7 @@ def q_offset_ledger(spark, d):
     stored = t.read().groupBy(F.col("source_topic").alias("topic"), F.col("kafka_partition").alias("partition")).agg(
         F.count(F.lit(1)).alias("n_stored"))
     ledger = t.read_side(t.state(), "ledger", LEDGER).drop("source")
-    return ledger.join(stored, ["topic", "partition"]).withColumn("partition", F.col("partition").cast("int"))
+    return ledger.join(stored, ["topic", "partition"])
 
 
 @query("index_sink")
@@ -159,6 +159,29 @@ def q_scoring_polls(spark, d):
     return spark.createDataFrame([(p["batch"], p["scored"], p["failed"]) for p in polls], "poll long, n_scored long, n_failed long")
 
 
+@query("redrive")
+def q_redrive(spark, d):
+    """Dead letters of the streamed log tried twice by a repair that mends those of twitter and of prices; where each is now."""
+    from tidemark.streaming.redrive import TRIES, redrive_dead_letters
+    out = scratch_dir(spark, "redrive")
+    P.start_envelope_job(file_stream(spark, _log_path(spark, d)), out + "/data", out + "/_checkpoint", K.AS_OF)
+    table = envelope_table(spark, out + "/data")
+    dead = table.read(where=lambda v: v["doc_type"] == "dead_letter").select("source_topic", "kafka_partition", "kafka_offset")
+    dead.write.parquet(out + "/keys")
+    mended = F.lit('{"symbol": "U1", "company": "u1", "text": "u1 record", "closing_price": 1.5, "timestamp": "2024-01-09"}')
+
+    def repair(topics):
+        # a repair sees the value alone; the topic is told by the column beside it
+        return lambda value: F.when(F.col("source_topic").isin(topics), mended).otherwise(value)
+    redrive_dead_letters(table, repair([K.TOPIC_TWITTER]), "redrive", 0, now=0.0, ingest_ts=K.AS_OF)
+    redrive_dead_letters(table, repair([K.TOPIC_TWITTER, K.TOPIC_PRICES]), "redrive", 1, now=60.0, ingest_ts=K.AS_OF)
+    tries = table.read_side(table.state(), "redrive redrive", TRIES).select("source_topic", "kafka_partition", "kafka_offset", "attempts")
+    keys = ["source_topic", "kafka_partition", "kafka_offset"]
+    now = table.read().select(*keys, F.col("data.type").alias("doc_type"), "symbol", "timestamp")
+    return spark.read.parquet(out + "/keys").join(now, keys).join(tries, keys, "left").select(
+        "source_topic", "kafka_offset", "doc_type", "symbol", "timestamp", "attempts")
+
+
 def _polled(spark, d, late: bool = False):
     """The envelope table after two polls; with ``late`` the records of every tenth offset arrive between them."""
     out = scratch_dir(spark, "scoring_loop")
