@@ -155,6 +155,27 @@ def test_client_index_writer_keeps_errors(spark):
     assert [(r["v"], r["error"]) for r in dead] == [(2, "no id")]
 
 
+def test_scoring_from_topic_to_topic(spark):
+    """The broker's reader and writer by stand-ins of their shape; their options as a broker takes them."""
+    from tidemark.streaming.sources import index_source
+    base = tempfile.mkdtemp()
+    _write(spark, base + "/src", [_msg(i) for i in range(3)] + [_msg(9, topic="prices_raw")])
+    asked = []
+
+    def source(spark, servers, topics, **kw):
+        asked.append(kafka_options(servers, topics, **kw))
+        return file_stream(spark, base + "/src")
+    P.start_topic_scoring(spark, "b:9092", ["twitter_raw"], "sentiment_scored", base + "/ck", source, "json", {"path": base + "/out"},
+                          available_now=True, max_offsets_per_trigger=500)
+    rows = [json.loads(r["value"]) for r in spark.read.json(base + "/out").collect()]
+    assert len(rows) == 3 and {r["sentiment"] for r in rows} == {"NEGATIVE"}
+    assert asked == [{"kafka.bootstrap.servers": "b:9092", "subscribe": "twitter_raw", "startingOffsets": "earliest",
+                      "failOnDataLoss": "false", "maxOffsetsPerTrigger": "500"}]
+    assert P.kafka_sink_options("b:9092", "t") == {"kafka.bootstrap.servers": "b:9092", "topic": "t"}
+    import inspect
+    assert inspect.signature(index_source).parameters["starting"].default == "latest"
+
+
 def test_topic_writer(spark):
     base = tempfile.mkdtemp()
     df = spark.createDataFrame([("a", 1)], "id string, v int")

@@ -2,9 +2,9 @@
 
 from tidemark.functions.dates import (day_string, iso_string, event_instant, event_day,
                                       month_bucket, lookback_cutoff, date_part)
-from tidemark.functions.numeric import safe_div, round_doubles
+from tidemark.functions.numeric import safe_div
 from tidemark.functions.text import falsy_to_null, hashed_label, keyword_label
 
 __all__ = ["day_string", "iso_string", "event_instant", "event_day", "month_bucket",
-           "lookback_cutoff", "date_part", "safe_div", "round_doubles", "keyword_label", "hashed_label",
+           "lookback_cutoff", "date_part", "safe_div", "keyword_label", "hashed_label",
            "falsy_to_null"]

@@ -53,6 +53,42 @@ def fit_and_predict(frame: DataFrame, features: Sequence[str], label: str = "tar
     return model, pred
 
 
+def fit_with_validation(frame: DataFrame, features: Sequence[str], label: str = "target_price", split: str = "split",
+                        params: dict | None = None, tolerance: float = 0.01, checkpoint_every: int = 10):
+    """M3 with a stop: trees are added until the error on ``split == 'val'`` falls by less than ``tolerance`` of itself.
+
+    The scaling is fitted on the training rows alone. Every ``checkpoint_every`` trees Spark ML writes its
+    working rows to the shared checkpoint folder, which cuts their lineage. Returns (pipeline model,
+    number of trees, errors): errors is a table (iteration, split, mse) of the ensemble after each tree.
+    """
+    from pyspark.ml.regression import GBTRegressionModel
+
+    from tidemark.session import ensure_checkpoint_dir
+    spark = frame.sparkSession
+    ensure_checkpoint_dir(spark)
+    rows = frame.where(F.col(split).isin("train", "val"))
+    prepare = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"),
+                               MinMaxScaler(inputCol="features", outputCol="scaled_features")])
+    prepared = prepare.fit(rows.where(F.col(split) == "train"))
+    ready = prepared.transform(rows).withColumn("_tm_val", F.col(split) == "val")
+    p = {**GBT_PARAMS, **(params or {})}
+    ready = ready.select("scaled_features", label, "_tm_val", F.col(split).alias("_tm_split"))
+    trees: GBTRegressionModel = GBTRegressor(featuresCol="scaled_features", labelCol=label, validationIndicatorCol="_tm_val",
+                                             validationTol=tolerance, checkpointInterval=checkpoint_every, cacheNodeIds=True, **p).fit(ready)
+    errors = []
+    for part in ("train", "val"):
+        mse = trees.evaluateEachIteration(ready.where(F.col("_tm_split") == part), "squared")
+        errors += [(i, part, float(e)) for i, e in enumerate(mse, 1)]
+    model = PipelineModel(stages=[*prepared.stages, trees])
+    return model, trees.getNumTrees, spark.createDataFrame(errors, "iteration long, split string, mse double")
+
+
+def stored_errors(spark, path: str, label: str = "target_price", by: str = "split") -> DataFrame:
+    """M5 from stored predictions: MSE, MAE, MAPE by split."""
+    from tidemark.operators.metrics import regression_metrics
+    return regression_metrics(spark.read.parquet(path), label, "prediction", by=[by])
+
+
 def save_model(model: PipelineModel, path: str) -> str:
     """The fitted pipeline (scaler included) to a directory."""
     model.write().overwrite().save(path)

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.constants import TRAINING_COLUMNS
 
 
 def drop_incomplete(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
@@ -91,7 +90,3 @@ def complete_schema(df: DataFrame, schema: T.StructType = TRAINING_SCHEMA,
     if keep_extra:
         cols += [F.col(c) for c in df.columns if c not in schema.fieldNames()]
     return df.select(*cols)
-
-
-def final_select(df: DataFrame, columns: Sequence[str] = TRAINING_COLUMNS) -> DataFrame:
-    return df.select(*columns)

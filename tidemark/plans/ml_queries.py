@@ -55,6 +55,25 @@ def q_eval_by_split(spark, d):
                               "prediction", by=["split"])
 
 
+@query("validated_training")
+def q_validated_training(spark, d):
+    """M3/M5: training that the validation rows stop; the error of each split after every tree."""
+    from tidemark.operators.ml import fit_with_validation
+    _, _, errors = fit_with_validation(_feature_frame(spark, d), ML_FEATURES, params={"maxIter": 20})
+    return errors
+
+
+@query("bucketed_return")
+def q_bucketed_return(spark, d):
+    """B6 with W1: returns over a catalog table bucketed by symbol and month and sorted, without a shuffle of its rows."""
+    from tidemark.operators.series import pct_change
+    from tidemark.sources.bucketed import month_of, write_bucketed
+    bars = B.bars(spark, d).withColumn("month", month_of())
+    path = scratch_dir(spark, "bucketed") + "/bars"
+    t = write_bucketed(bars, "tidemark_bars", ["symbol", "month"], ["date"], 8, path)
+    return pct_change(t, "close", "daily_return", ["symbol"], ["date"], F.col("month")).select("symbol", "date", "close", "daily_return")
+
+
 @query("predict_next_day")
 def q_predict_next_day(spark, d):
     """M6: next-day prediction from the newest complete row of every symbol."""

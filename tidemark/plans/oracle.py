@@ -411,6 +411,7 @@ SELECT symbol, date, round(close, 6) AS close,
   round(c / nullif(lag(c) OVER (PARTITION BY symbol ORDER BY date), 0) - 1, 6) AS daily_return
 FROM (SELECT *, last_value(close IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY date
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c FROM bars)"""
+    q["bucketed_return"] = q["daily_return"]
     q["forward_fill"] = with_(*base, DAILY_OF.format(name="daily", src="scored"), MAPPED, """
 j AS (SELECT b.*, m.avg_sentiment, m.sentiment_count, m.positive_ratio
       FROM bars b LEFT JOIN mapped m ON b.date = m.date AND b.symbol = m.symbol)""") + f"""

@@ -14,10 +14,6 @@ PRICE = (T.StructType()
          .add("low", T.DoubleType()).add("volume", T.DoubleType())
          .add("timestamp", T.StringType()))
 
-# Headline / forum messages carry epoch seconds and no company.
-HEADLINE = (T.StructType().add("id", T.StringType()).add("text", T.StringType())
-            .add("ts", T.DoubleType()))
-
 # Scored messages as the scoring service publishes them.
 SCORED = (T.StructType()
           .add("id", T.StringType()).add("company", T.StringType())

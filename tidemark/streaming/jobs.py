@@ -441,6 +441,21 @@ def start_scoring_job(records: DataFrame, out: str, checkpoint: str, counts: str
                processing_time)
 
 
+def start_topic_scoring(spark: SparkSession, servers: str, topics, scored_topic: str, checkpoint: str,
+                        source: Callable[..., DataFrame] | None = None, fmt: str = "kafka", sink_options: dict | None = None,
+                        available_now: bool = False, processing_time: str | None = None, scorer: Scorer | None = None, **kw):
+    """T1/B1 from broker to broker: text topics -> score -> JSON values keyed by id on ``scored_topic``.
+
+    ``source(spark, servers, topics, **kw)`` is ``kafka_stream`` by default and ``fmt`` the broker's sink; both can stand
+    in by others of the same shape. Delivery is at least once, as a broker sink is: readers drop repeats by key and offset.
+    """
+    from tidemark.streaming.sources import kafka_stream
+    topics = [topics] if isinstance(topics, str) else list(topics)
+    scored = scored_stream((source or kafka_stream)(spark, servers, topics, **kw), topics, scorer)
+    sink = topic_writer(sink_options or kafka_sink_options(servers, scored_topic), fmt)
+    return run(scored.writeStream.foreachBatch(sink), checkpoint, available_now, processing_time)
+
+
 def start_envelope_job(records: DataFrame, table: str, checkpoint: str, ingest_ts: str | None = None,
                        available_now: bool = True, processing_time: str | None = None, source: str = ""):
     """Topic records -> envelope documents appended per batch to
