@@ -212,7 +212,7 @@ def _pairs_of_task(path_a: str, path_b: str):
                 found = memory.learn(every)
                 of_docs = []
                 for parts in cut:
-                    pairs = [found[p] for p in set(parts)]
+                    pairs = list(map(found.__getitem__, set(parts)))
                     if pairs and None not in pairs:
                         of_docs.append(np.unique(np.frombuffer(b"".join(pairs), dtype=one.kind)))
                 memory.forget()
@@ -452,21 +452,21 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id",
                 found = memory.learn(every)
                 out = {f.name: [] for f in schema.fields[1:]}
                 for parts in cut:
-                    got = [found[p] for p in parts]
+                    got = list(map(found.__getitem__, parts))
                     if None in got:
                         got = []
-                    if small and not all(x[7] for x in got):
+                    by_column = list(zip(*got)) or [()] * 10
+                    if small and not all(by_column[7]):
                         raise RuntimeError("the table of pairs does not hold a pair of these documents")
-                    sums = [sum(x) for x in list(zip(*got, strict=True))[1:7]] if got else [0] * 6
-                    for c, v in zip(_COLUMNS, sums, strict=True):
-                        out[c].append(v)
-                    said = ";".join([x[0] for x in got])
+                    for c, values in zip(_COLUMNS, by_column[1:7], strict=True):
+                        out[c].append(sum(values))
+                    said = ";".join(by_column[0])
                     out["groups_sha256"].append(hashlib.sha256(said.encode()).hexdigest() if got else "")
                     if with_groups:
                         out["groups"].append(said)
                     if not small:
-                        keys, at = np.unique(np.frombuffer(b"".join([x[8] for x in got]), dtype="<i8"), return_inverse=True)
-                        times = np.frombuffer(b"".join([x[9] for x in got]), dtype="<i8")
+                        keys, at = np.unique(np.frombuffer(b"".join(by_column[8]), dtype="<i8"), return_inverse=True)
+                        times = np.frombuffer(b"".join(by_column[9]), dtype="<i8")
                         out["row"].append(row)
                         out["pairs"].append(keys.astype(np.int64))
                         out["times"].append(np.bincount(at, weights=times, minlength=len(keys)).astype(np.int64))
