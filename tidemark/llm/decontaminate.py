@@ -63,24 +63,29 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, least: int = 10, s
     ``docs`` has doc_id and text, ``benchmark`` item_id and text; other columns
     are not read. A pair counts if its best run scores min(``least``, ``share``
     of the item's tokens, rounded up) or more; items of fewer tokens than a
-    mask must stand whole, and are looked for by their full sequence. Items
-    without a token, null ids and empty texts match nothing. A repeated
-    document or item gives its pair once. ``doc_pos`` is the token of the
-    document where the item begins (below 0: before the text).
+    mask must stand whole, and are looked for by their full sequence (their first place
+    counts). Items without a token, null ids and empty texts match nothing. A repeated
+    document or item gives its pair once; of places with equal scores the first counts. ``doc_pos``
+    is the token of the document where the item begins (below 0: before the text).
     """
     longest = max(map(len, masks))
     items = stage(benchmark.where("item_id is not null").select("item_id", tokens(F.col("text")).alias("toks"))
                   .where(F.size("toks") > 0).distinct(), "items")
     short = [r[0] for r in items.select(F.size("toks").alias("n")).where(F.col("n") < longest)
              .distinct().orderBy("n").collect()]        # at most a mask's length of numbers
-    every = list(masks) + ["1" * n for n in short]
-    seeds = stage(_exploded(items, ["item_id", "toks"], every).select("item_id", "seed", F.col("pos").alias("ipos"))
-                  .distinct(), "item-seeds")
-    few = seeds.count() <= BROADCAST_ROWS
     texts = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
-    corpus = _exploded(texts.select("doc_id", tokens(F.col("text")).alias("toks")), ["doc_id"], every)
-    hits = corpus.join(F.broadcast(seeds) if few else seeds, "seed")
-    hits = stage(hits.select("doc_id", "item_id", (F.col("pos") - F.col("ipos")).alias("diag")).distinct(), "hits")
+    cut = texts.select("doc_id", tokens(F.col("text")).alias("toks"))
+    seeds = stage(_exploded(items.where(F.size("toks") >= longest), ["item_id"], list(masks)).select(
+        "item_id", "seed", F.col("pos").alias("ipos")).distinct(), "item-seeds")
+    few = seeds.count() <= BROADCAST_ROWS
+    hits = _exploded(cut, ["doc_id"], list(masks)).join(F.broadcast(seeds) if few else seeds, "seed")
+    hits = hits.select("doc_id", "item_id", (F.col("pos") - F.col("ipos")).alias("diag")).distinct()
+    for n in short:     # one row a document and item, however often its few tokens come
+        whole = ["1" * n]
+        own = _exploded(items.where(F.size("toks") == n), ["item_id"], whole).select("item_id", "seed")
+        found = _exploded(cut, ["doc_id"], whole).join(own, "seed").groupBy("doc_id", "item_id").agg(F.min("pos").alias("diag"))
+        hits = hits.unionByName(found)
+    hits = stage(hits, "hits")
 
     ids = hits.select("doc_id").distinct()
     few = ids.count() <= BROADCAST_ROWS
@@ -100,8 +105,12 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, least: int = 10, s
             .select("doc_id", "item_id", "b.score", "b.n_item", (-F.col("b.p")).alias("doc_pos")))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents that ``find_contamination`` names; all columns pass."""
-    ids = stage(find_contamination(docs, benchmark, **options).select(F.col("doc_id").alias("_bad")).distinct(), "leaks")
+def decontaminate(docs: DataFrame, benchmark: DataFrame, identifying: int = 8, **options) -> DataFrame:
+    """``docs`` without the documents that ``find_contamination`` names for an item of ``identifying`` tokens or more; all columns pass.
+
+    A shorter item ("yes", "forty two") stands in many clean documents: it is reported, and removes none.
+    """
+    found = find_contamination(docs, benchmark, **options).where(F.col("n_item") >= identifying)
+    ids = stage(found.select(F.col("doc_id").alias("_bad")).distinct(), "leaks")
     few = ids.count() <= BROADCAST_ROWS
     return docs.join(F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("_bad"), "left_anti")
