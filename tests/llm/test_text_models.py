@@ -1,6 +1,7 @@
 """Toxicity (3) and language identification (10): held-out accuracy and edge cases."""
 
 import random
+import zlib
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -33,7 +34,9 @@ def test_language_held_out_accuracy_and_edges(spark):
     assert model.langs == ["aa", "bb", "cc"] and 0 < model.temperature < 30
     out = L.identify_language(docs.withColumns({"Score": F.lit("clash"), "extra": F.lit(1)}), model)
     got = {r["doc_id"]: r for r in out.collect()}
-    held = [r for r in rows if L.held_out and got[r[0]]["lang_pred"]]
+    held = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5 == 0]
+    kept_back = {r["doc_id"] for r in docs.where(L.held_out("doc_id", 5, 0)).select("doc_id").collect()}
+    assert len(held) > 40 and {r[0] for r in held} == {i for i in kept_back if i < 9000}
     right = np.mean([got[i]["lang_pred"] == lang for i, _, lang in held])
     assert right > 0.98 and len(got) == len(rows) + 4
     for i in (9000, 9001, 9002):
@@ -41,6 +44,21 @@ def test_language_held_out_accuracy_and_edges(spark):
     assert got[9003]["lang_pred"] == "aa" and 0 <= got[9003]["score"] <= 1
 
 
+def test_language_of_long_repeated_and_tied_texts(spark):
+    """Very long texts are read whole, repeated rows are answered each, a text of two languages has one answer that stays."""
+    rows = _documents(200)
+    docs = spark.createDataFrame(rows + rows[:20], "doc_id long, text string, lang string")
+    model = L.fit_language_model(docs, per_lang=60)
+    rng = random.Random(9)
+    # the first tenth is of one language, the rest of another
+    long = _prose(rng, "aa", 2_000) + " " + _prose(rng, "bb", 18_000)
+    half = _prose(rng, "bb", 300) + " " + _prose(rng, "cc", 300)
+    asked = spark.createDataFrame([(1, long), (2, half), (2, half), (3, half)], "doc_id long, text string")
+    got = [(r["doc_id"], r["lang_pred"], r["score"]) for r in L.identify_language(asked, model).collect()]
+    assert [x[1] for x in got if x[0] == 1] == ["bb"]
+    assert len(got) == 4 and len({x[1:] for x in got if x[0] != 1}) == 1 and got[1][1] in ("bb", "cc")
+
+
 def test_language_without_labels_or_rows(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, lang string")
     assert L.fit_language_model(empty) is None

@@ -35,8 +35,7 @@ def test_urls_against_brute_force(spark):
     pages = spark.createDataFrame([(i, u, "x", 1) for i, u in enumerate(urls)] + [(0, None, "x", 1)],
                                   "page_id long, url string, host string, Rule int")
     rules = spark.createDataFrame(RULES + [(None, "/", "block"), ("x", None, "allow")], "host string, path string, verdict string")
-    got = sorted((r["page_id"], r["host"], r["path"], r["rule"], r["verdict"]) for r in filter_urls(pages, rules).collect()
-                 ) if False else [(r["page_id"], r["host"], r["path"], r["rule"], r["verdict"]) for r in filter_urls(pages, rules).collect()]
+    got = [(r["page_id"], r["host"], r["path"], r["rule"], r["verdict"]) for r in filter_urls(pages, rules).collect()]
     assert len(got) == len(urls) + 1
     for i, h, p, rule, v in got:
         assert (h, p, rule, v) == _judge(urls[i], RULES), urls[i]

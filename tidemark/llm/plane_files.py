@@ -41,7 +41,7 @@ MAGIC, TAIL = b"TDPLANE1", "<QQ8s"
 MANIFEST = "manifest.json"
 
 
-# ---------------------------------------------------------------- blocks
+# blocks
 def to_planes(ids: np.ndarray, planes: str) -> list[bytes]:
     """The block's planes, lowest bit or byte first; none if all ids are 0."""
     top = int(ids.max()).bit_length() if len(ids) else 0
@@ -65,7 +65,7 @@ def from_planes(parts: list[bytes], n: int, planes: str) -> np.ndarray:
     return out
 
 
-# ---------------------------------------------------------------- files
+# files
 def file_system(path: str) -> tuple[pafs.FileSystem, str]:
     """The store that ``path`` lies in and its place there; a shared folder or any URI that pyarrow opens."""
     if path.startswith("file:"):
@@ -183,7 +183,7 @@ def read_span(folder: str, start: int, count: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, dtype="<u4")
 
 
-# ---------------------------------------------------------------- Spark source and sink
+# Spark source and sink
 @dataclass
 class _Written(WriterCommitMessage):
     files: list

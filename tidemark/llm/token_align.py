@@ -45,7 +45,7 @@ AT_ONCE = 1_500_000
 BROADCAST_BYTES = 96_000_000
 
 
-# ---------------------------------------------------------------- one text
+# one text
 def byte_of_character() -> dict[str, int]:
     """The bytes that the characters of byte-level entries stand for: printable Latin-1 for itself, the others from 256 on."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -184,7 +184,7 @@ def aligner(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
 
 
-# ---------------------------------------------------------------- first pass: documents of each pair
+# first pass: documents of each pair
 def _pairs_of_task(path_a: str, path_b: str):
     def put_out(part: int, keys: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
         seg = (mixed(keys, LEVEL_OF_SEGMENTS) >> np.uint64(56)).astype(np.int64)
@@ -336,7 +336,7 @@ def pair_rows(table: DataFrame, n_b: int) -> DataFrame:
     return table.select("pairs", "counts").mapInPandas(rows, "pair long, id_a long, id_b long, n_docs long")
 
 
-# ---------------------------------------------------------------- second pass: counts of each document's links
+# second pass: counts of each document's links
 class PairCounts:
     """The corpus' counts of pairs, looked up through the segments' perfect hashes."""
 
