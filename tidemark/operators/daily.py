@@ -10,7 +10,7 @@ from tidemark.functions.dates import date_part, event_day, event_instant, lookba
 from tidemark.functions.text import falsy_to_null
 
 
-# ---------------------------------------------------------------- scans
+# scans (A4, A5, A8)
 def type_is(env: DataFrame, *types: str) -> Column:
     """Document-type predicate. On the stored envelope (partitioned by
     ``doc_type``) this prunes whole partitions; otherwise it tests ``data.type``."""
@@ -62,7 +62,7 @@ def sample_by_type(env: DataFrame, order=("kafka_timestamp_ms", "kafka_offset"))
                .select("doc_type", "doc.*"))
 
 
-# ---------------------------------------------------------------- F4 / G1 / G2
+# F4 / G1 / G2
 def lookback_filter(docs: DataFrame, as_of: str, days: int, ts: str = "timestamp",
                     by_date: bool = False) -> DataFrame:
     """Keep documents at or after ``as_of - days``.
@@ -125,7 +125,7 @@ def avg_sentiment_by_company(docs: DataFrame, date: str = "date", company: str =
     return docs.groupBy(date, company).agg(F.avg(score).alias("avg_sentiment"))
 
 
-# ---------------------------------------------------------------- C12 / C13 / J3
+# C12 / C13 / J3
 def company_to_symbol(df: DataFrame, dim: DataFrame, company: str = "company",
                       keep_unmapped: bool = False) -> DataFrame:
     """Map ``lower(company)`` to a ticker through a dimension table.
@@ -146,7 +146,7 @@ def dimension_from_map(spark, mapping: dict) -> DataFrame:
     return spark.createDataFrame(sorted(mapping.items()), "company string, symbol string")
 
 
-# ---------------------------------------------------------------- J1 / J2 / J6
+# J1 / J2 / J6
 def price_sentiment_join(prices: DataFrame, daily: DataFrame) -> DataFrame:
     """prices LEFT JOIN daily sentiment ON (date, symbol).
 
@@ -208,7 +208,7 @@ def recent_sentiment_join(bars: DataFrame, docs: DataFrame, dim: DataFrame, as_o
     return latest.join(rs, "symbol", "left")
 
 
-# ---------------------------------------------------------------- options
+# options (D4, D8, D18)
 def dedupe_sentiment(docs: DataFrame, id_col: str = "id", score: str = "score",
                      order=("timestamp",)) -> DataFrame:
     """One document per id, preferring a copy that has a score (then the

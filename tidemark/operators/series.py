@@ -91,7 +91,7 @@ def _carry(local: DataFrame, keys: list[str], summary_aggs: list[Column],
     return local.join(summ, [*keys, _B], "left")
 
 
-# ------------------------------------------------------------------ range buckets
+# range buckets
 def range_buckets(df: DataFrame, keys: Sequence[str], order) -> DataFrame:
     """Buckets that stay balanced under any skew: the partitions of a range
     partitioning on (key, order). Spark samples the bounds, so a key (or a
@@ -106,7 +106,7 @@ def range_buckets(df: DataFrame, keys: Sequence[str], order) -> DataFrame:
     return ranged.withColumn(_B, F.spark_partition_id())
 
 
-# ------------------------------------------------------------------ fused scan
+# fused scan
 def fused_scan(df: DataFrame, keys=("symbol",), order=("date",), bucket: Column | None = None,
                pct: Sequence[tuple[str, str]] = (), ffill: Sequence[str] = (),
                nxt: Sequence[tuple[str, str]] = (), pos: tuple[str, str | None] | None = None,
@@ -203,7 +203,7 @@ def fused_scan(df: DataFrame, keys=("symbol",), order=("date",), bucket: Column
     return j.select(*fin)
 
 
-# ------------------------------------------------------------------ W1
+# W1
 def pct_change(df: DataFrame, col: str, out: str = "daily_return", keys=("symbol",),
                order=("date",), bucket: Column | None = None) -> DataFrame:
     """``value / previous - 1`` per key, NULLs padded forward first.
@@ -214,7 +214,7 @@ def pct_change(df: DataFrame, col: str, out: str = "daily_return", keys=("symbol
     return fused_scan(df, keys, order, bucket, pct=[(col, out)])
 
 
-# ------------------------------------------------------------------ W2
+# W2
 def forward_fill(df: DataFrame, cols: Sequence[str], keys=("symbol",), order=("date",),
                  bucket: Column | None = None) -> DataFrame:
     """Last non-NULL value per key, carried forward (W2); leading NULLs stay.
@@ -224,7 +224,7 @@ def forward_fill(df: DataFrame, cols: Sequence[str], keys=("symbol",), order=("d
     return fused_scan(df, keys, order, bucket, ffill=cols)
 
 
-# ------------------------------------------------------------------ W3 / W4
+# W3 / W4
 def next_value(df: DataFrame, col: str, out: str = "target_price", keys=("symbol",),
                order=("date",), bucket: Column | None = None) -> DataFrame:
     """Value of ``col`` on the next row of the same key (W3 ``lead(open)``,
@@ -232,7 +232,7 @@ def next_value(df: DataFrame, col: str, out: str = "target_price", keys=("symbol
     return fused_scan(df, keys, order, bucket, nxt=[(col, out)])
 
 
-# ------------------------------------------------------------------ W5 (per key)
+# W5 (per key)
 def positions(df: DataFrame, keys=("symbol",), order=("date",), bucket: Column | None = None,
               pos: str = "rn", total: str | None = "n") -> DataFrame:
     """1-based row number per key (``pos``) and the key's row count (``total``)."""
@@ -260,7 +260,7 @@ def _chunked(df: DataFrame, keys: list[str], halo: int, chunk_rows: int,
     return out
 
 
-# ------------------------------------------------------------------ W11
+# W11
 def rolling_mean(df: DataFrame, col: str, k: int, out: str | None = None, keys=("symbol",),
                  order=("date",), bucket: Column | None = None,
                  chunk_rows: int = 100_000, pos: str | None = None) -> DataFrame:
@@ -282,7 +282,7 @@ def rolling_mean(df: DataFrame, col: str, k: int, out: str | None = None, keys=(
     return r if pos else r.drop("_tm_pos")
 
 
-# ------------------------------------------------------------------ W7 / W8
+# W7 / W8
 def sequence_windows(df: DataFrame, length: int, features: Sequence[str], target: str,
                      keys=("symbol",), order=("date",), date: str = "date",
                      bucket: Column | None = None, chunk_rows: int = 100_000,
@@ -318,7 +318,7 @@ def sequence_windows(df: DataFrame, length: int, features: Sequence[str], target
                       F.col(target).alias("y"))
 
 
-# ------------------------------------------------------------------ W9
+# W9
 def latest_sequence(df: DataFrame, length: int, features: Sequence[str], keys=("symbol",),
                     order=("date",), date: str = "date") -> DataFrame:
     """The newest ``length`` rows of every key as one ascending sequence.
@@ -342,7 +342,7 @@ def latest_sequence(df: DataFrame, length: int, features: Sequence[str], keys=("
                       "n_rows")
 
 
-# ------------------------------------------------------------------ W10
+# W10
 def cumulative_return(df: DataFrame, cols: Sequence[str], keys=("symbol",), order=("date",),
                       bucket: Column | None = None) -> DataFrame:
     """``cumprod(1 + pct_change)`` per key for each of ``cols``.

@@ -152,7 +152,7 @@ def r6(x: str, alias: str | None = None) -> str:
     return f"round({x}, 6) AS {alias or x}"
 
 
-# ---------------------------------------------------------------- flagship
+# flagship
 def training_frame(as_of: str = K.AS_OF, days: int = K.LOOKBACK_DAYS) -> str:
     cutoff = lookback_cutoff(as_of, days)
     return with_(envelope_ctes(as_of), DIM, f"""
@@ -183,7 +183,7 @@ WINDOW w AS (PARTITION BY symbol ORDER BY date, kafka_timestamp_ms, kafka_offset
              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 
 
-# ---------------------------------------------------------------- shared pieces
+# shared pieces
 def env_query(select: str, as_of: str = K.AS_OF, extra: str = "") -> str:
     return with_(envelope_ctes(as_of), *( [extra] if extra else [])) + "\n" + select
 

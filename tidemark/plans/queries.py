@@ -50,7 +50,7 @@ def query(name: str):
     return deco
 
 
-# ---------------------------------------------------------------- flagship
+# flagship (P1)
 @query("training_frame")
 def q_training_frame(spark, d):
     """P1 over the envelope derived from ``events``: 8-column feature frame."""
@@ -59,7 +59,7 @@ def q_training_frame(spark, d):
     return prepare_training_data(env, B.dim(spark, d), K.AS_OF, K.LOOKBACK_DAYS)
 
 
-# ---------------------------------------------------------------- helpers
+# helpers
 def _flat_env(spark, d):
     from tidemark.operators.envelope import flatten_envelope
     return flatten_envelope(B.envelope(spark, d))
@@ -77,7 +77,7 @@ def _bucket():
     return "range"
 
 
-# ---------------------------------------------------------------- 2.1 sources
+# 2.1 sources
 @query("json_decode")
 def q_json_decode(spark, d):
     """Price topic values decoded with the price schema."""
@@ -152,7 +152,7 @@ def q_sample_by_type(spark, d):
     return s.select("doc_type", "source_topic", "kafka_offset", "symbol", "timestamp")
 
 
-# ---------------------------------------------------------------- 2.3 envelope
+# 2.3 envelope
 def _env_type(kind):
     def fn(spark, d):
         return _flat_env(spark, d).where(F.col("doc_type") == kind)
@@ -222,7 +222,7 @@ def q_schema_completion(spark, d):
     return complete_schema(price_rows(B.envelope(spark, d)))
 
 
-# ---------------------------------------------------------------- 2.4 filters
+# 2.4 filters
 @query("lookback_filter")
 def q_lookback_filter(spark, d):
     """Documents at or after as_of - 15 days (string comparison)."""
@@ -287,7 +287,7 @@ def q_keyword_score(spark, d):
     return keyword_score(B.texts(spark, d)).select("id", "company", "text", "sentiment")
 
 
-# ---------------------------------------------------------------- 2.5 joins
+# 2.5 joins
 @query("price_sentiment_join")
 def q_price_sentiment_join(spark, d):
     """Bars LEFT JOIN mapped daily sentiment on (date, symbol)."""
@@ -346,7 +346,7 @@ def q_score_store(spark, d):
     return flatten_envelope(store.read())
 
 
-# ---------------------------------------------------------------- 2.6 aggregations
+# 2.6 aggregations
 @query("daily_sentiment")
 def q_daily_sentiment(spark, d):
     """Per (company, day) mean score, count, positive share."""
@@ -404,7 +404,7 @@ def q_eligible_symbols(spark, d):
     return eligible_symbols(B.bars(spark, d), 3 * K.SEQUENCE_LENGTH)
 
 
-# ---------------------------------------------------------------- 2.7 windows
+# 2.7 windows
 @query("daily_return")
 def q_daily_return(spark, d):
     """Padded percent change of close per symbol (two-pass, range buckets)."""
@@ -482,7 +482,7 @@ def q_rolling_sentiment(spark, d):
     return r.select("symbol", "date", "avg_sentiment", "rolling_sentiment")
 
 
-# ---------------------------------------------------------------- 2.8 / 2.9
+# 2.8 / 2.9
 @query("limit_per_term")
 def q_limit_per_term(spark, d):
     """At most 25 posts per company, earliest first."""

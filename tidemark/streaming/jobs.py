@@ -101,7 +101,7 @@ def topic_writer(options: dict, fmt: str = "kafka", key: str | None = "id") -> C
     return write
 
 
-# ---------------------------------------------------------------- A1 / T1 / B1
+# A1 / T1 / B1
 def parsed_stream(records: DataFrame, schema, topic: str | None = None) -> DataFrame:
     """A1: records of one topic decoded with a fixed schema (non-objects dropped, D6)."""
     if topic:
@@ -179,7 +179,7 @@ class ObservedCounts:
         self.listener = _L()
 
 
-# ---------------------------------------------------------------- G4 / T2
+# G4 / T2
 def topic_counts_stream(records: DataFrame) -> DataFrame:
     """Running message count per topic, kept in the checkpointed state
     store (the reference's driver-side counter was lost on restart)."""
@@ -198,7 +198,7 @@ def latest_per_key(path: str, spark: SparkSession, keys: list[str]) -> DataFrame
              .select(*keys, "_v.*"))
 
 
-# ---------------------------------------------------------------- B3 / T5
+# B3 / T5
 ENVELOPE_KEY = ["source_topic", "kafka_partition", "kafka_offset"]
 
 
@@ -254,7 +254,7 @@ def envelope_writer(table: str, source: str = "") -> Callable[[DataFrame, int],
     return write
 
 
-# ---------------------------------------------------------------- B4 / T6 / T8
+# B4 / T6 / T8
 def index_writer(index_path: str, dead_path: str, id_col: str = "id"):
     """foreachBatch writer of a table that stands for a search index.
 
@@ -309,7 +309,7 @@ def dead_letter_split(records: DataFrame, value: str = "value") -> tuple[DataFra
     return records.where(ok), records.where(~ok | F.col(value).isNull())
 
 
-# ---------------------------------------------------------------- T7
+# T7
 def incremental_scores(env_stream: DataFrame, processed_at: str | None = None,
                        scorer: Scorer | None = None) -> DataFrame:
     """Unscored raw documents arriving on the envelope stream -> score rows."""
@@ -317,7 +317,7 @@ def incremental_scores(env_stream: DataFrame, processed_at: str | None = None,
     return score_updates(env_stream, processed_at, scorer)
 
 
-# ---------------------------------------------------------------- G1 as a stream
+# G1 as a stream
 def sentiment_partials(env: DataFrame) -> DataFrame:
     """G1, one batch: company, date, and the sums that daily sentiment is made of."""
     from tidemark.functions.dates import event_instant
@@ -423,7 +423,7 @@ def daily_sentiment_stream(env_stream: DataFrame, lateness: str) -> DataFrame:
                       "avg_sentiment", "sentiment_count", "positive_ratio")
 
 
-# ---------------------------------------------------------------- job starters
+# job starters
 def start_scoring_job(records: DataFrame, out: str, checkpoint: str, counts: str | None = None,
                       console: bool = False, console_rows: int = 20, available_now: bool = True,
                       processing_time: str | None = None, scorer: Scorer | None = None,

@@ -84,7 +84,7 @@ def redrive_dead_letters(table: VersionedTable, repair: Callable[[Column], Colum
             continue
 
 
-# ---------------------------------------------------------------- documents that an index rejected
+# documents that an index rejected
 def dead_documents(spark: SparkSession, path: str, schema: T.StructType) -> VersionedTable:
     """The table of rejected documents: their columns, the error, tries, when due; by whether they are given up."""
     extra = [T.StructField("error", T.StringType()), T.StructField("attempts", T.IntegerType()),
