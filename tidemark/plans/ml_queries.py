@@ -57,10 +57,19 @@ def q_eval_by_split(spark, d):
 
 @query("validated_training")
 def q_validated_training(spark, d):
-    """M3/M5: training that the validation rows stop; the error of each split after every tree."""
-    from tidemark.operators.ml import fit_with_validation
-    _, _, errors = fit_with_validation(_feature_frame(spark, d), ML_FEATURES, params={"maxIter": 20})
-    return errors
+    """M3/M5: training that the validation rows stop: rows behind each split's errors, and whether there is
+    one for every tree and the error that predictions of the saved rows give is the last."""
+    from tidemark.operators.ml import fit_with_validation, stored_errors
+    path = scratch_dir(spark, "validated") + "/predictions"
+    frame = _feature_frame(spark, d)
+    model, trees, errors = fit_with_validation(frame, ML_FEATURES, params={"maxIter": 20})
+    rows = model.transform(frame.where(F.col("split") != "test"))
+    rows.select("symbol", "date", "split", "target_price", "prediction").write.parquet(path)
+    last = errors.groupBy("split").agg(F.max_by("mse", "iteration").alias("last"), F.count("mse").alias("n"))
+    stored = stored_errors(spark, path).select("split", F.col("mse").alias("stored"))
+    counts = spark.read.parquet(path).groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
+    same = (F.col("n") == trees) & (F.abs(F.col("last") - F.col("stored")) <= 1e-6 * F.greatest(F.lit(1.0), F.col("stored")))
+    return counts.join(last, "split").join(stored, "split").select("split", "n_rows", same.alias("same"))
 
 
 @query("bucketed_return")

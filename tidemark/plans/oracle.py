@@ -352,6 +352,8 @@ SELECT symbol, date, round(open, 6) AS open, round(target_price, 6) AS target_pr
 SELECT symbol, date, true AS predicted FROM split WHERE split = 'test'"""
     q["model_roundtrip_same"] = with_(*feat, target, ml_split) + """
 SELECT true AS same, count(*) AS n FROM split WHERE split = 'test'"""
+    q["validated_training"] = with_(*feat, target, ml_split) + """
+SELECT split, count(*) AS n_rows, true AS same FROM split WHERE split <> 'test' GROUP BY split"""
     q["predict_next_day_keys"] = with_(*feat) + """
 SELECT symbol, max(date) AS date FROM feat WHERE filled IS NOT NULL GROUP BY symbol"""
     q["tweet_price_join"] = with_(*base, f"""
