@@ -97,3 +97,28 @@ def test_run_equals_the_stages_and_takes_no_documents(spark, result, tmp_path):
     path, _, _, _, stages = result
     got = P.run(spark, path)
     assert got.count() == stages[-1].count() and got.exceptAll(stages[-1]).count() == 0
+
+
+def _small(spark, path, docs, labels, schema="doc_id long, text string, lang string, source string, n_chars long, score string, `Kept` int"):
+    spark.createDataFrame(docs, schema).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame([(0, "an item of nine words that no document here holds")], "item_id long, text string").write.parquet(
+        f"{path}/benchmark.parquet")
+
+
+def test_empty_tables(spark, tmp_path):
+    _small(spark, str(tmp_path), [], [])
+    out = P.run(spark, str(tmp_path))
+    assert out.count() == 0 and out.columns == [*COLUMNS, "ids", "n_pieces", "decodes"]
+
+
+def test_repeated_rows_nulls_and_clashing_names(spark, tmp_path):
+    """Repeated rows are copies of one document: their lines stand in the first one only; other columns do not pass."""
+    rows = [(1, "one clean line of its own\nand a second one", "en", "s", 5, "x", 7)] * 2
+    rows += [(2, None, None, None, None, None, None), (None, "a text without an id, all alone", "en", "s", 1, "x", 7), (3, "", "en", "s", 0, "x", 7)]
+    _small(spark, str(tmp_path), rows, [(1, 1, 0), (1, 1, None), (9, 0, 1)])
+    out = P.run(spark, str(tmp_path))
+    assert out.columns == [*COLUMNS, "ids", "n_pieces", "decodes"]
+    got = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"]) for r in out.select("doc_id", "text").collect())
+    assert (False, 1, rows[0][1]) in got and (True, 0, rows[3][1]) in got and (False, 2, None) in got and (False, 3, "") in got
+    assert all(r["decodes"] for r in out.collect())
