@@ -101,6 +101,8 @@ def test_edge_rows_files_and_spans(spark, library, planes):
     texts = {i: sorted(np.frombuffer(r["ids"], dtype="<u4").tolist() for r in got if r["key"] == i) for i, _ in rows}
     for i, _ in rows:
         assert texts[i] == sorted(library.encode(t or "", add_special_tokens=False).ids + [2] for j, t in rows if j == i)
+    with pytest.raises(Exception, match="written once"):
+        P.write_tokens(docs, folder, BYTE_TOKENIZER, 2)
     for a, n in ((0, 1), (95, 10), (0, at), (at - 3, 10), (at, 5), (399, 201)):
         assert np.array_equal(P.read_span(folder, a, n), whole[a:a + n])
 

@@ -198,6 +198,9 @@ class _Writer(DataSourceArrowWriter):
         self.block = int(options.get("block", BLOCK))
         self.level = int(options.get("level", 3))
         self.file_ids = int(options.get("fileids", FILE_IDS))
+        fs, place = file_system(self.folder)
+        if fs.get_file_info(f"{place}/{MANIFEST}").type != pafs.FileType.NotFound:
+            raise ValueError(f"{self.folder} holds a sequence already; a folder is written once")
         if self.planes not in ("bit", "byte") or self.block < 1:
             raise ValueError("planes is bit or byte, block at least 1")
         if len(schema) != 2 or schema[1].dataType != T.BinaryType():
@@ -234,7 +237,7 @@ class _Writer(DataSourceArrowWriter):
 
     def commit(self, messages: list) -> None:
         """The manifest appears once all tasks are done: files by partition, ids counted up."""
-        files = sorted((f for m in messages if m is not None for f in m.files), key=lambda f: f["name"])
+        files = sorted((f for m in messages if m is not None for f in m.files), key=lambda f: (f["part"], f["name"]))
         at = 0
         for f in files:
             f["start"] = at
