@@ -287,7 +287,8 @@ def scoring_poll(table, writer: str, batch: int, scorer: Scorer | None = None, p
     raw = table.select(base, lambda v: v["doc_type"] in RAW_TEXT_TYPES)
     fresh = [f for f in raw if base.folders[f][0] > cursor and base.folders[f][1] != writer]
     retry = table.read_side(base, f"retry {writer}", RETRY)
-    due = retry.where(~F.col("given_up") & (F.col("due_at") <= now))
+    is_due = ~F.col("given_up") & (F.col("due_at") <= now)
+    due = retry.where(is_due)
     places = {tuple(r) for r in due.select("doc_type", "event_date").distinct().collect()}      # days of failed documents
     again = [f for f in raw if f not in set(fresh) and tuple(partition_values(f)[c] for c in ("doc_type", "event_date")) in places]
     place = [*DOC_KEY, "doc_type", "event_date"]
@@ -302,7 +303,9 @@ def scoring_poll(table, writer: str, batch: int, scorer: Scorer | None = None, p
     failed = scored.where("sentiment_label is null").join(retry.select(*DOC_KEY, "attempts"), list(DOC_KEY), "left").select(
         *place, tried.cast("int").alias("attempts"), (F.lit(float(now)) + F.lit(float(backoff_s)) * F.pow(F.lit(2.0), tried - 1)).alias("due_at"),
         (tried >= max_attempts).alias("given_up"), F.coalesce("error", F.lit("no label")).alias("error"))
-    state = retry.join(scored.select(*DOC_KEY), list(DOC_KEY), "left_anti").select(*RETRY.names).unionByName(failed.select(*RETRY.names))
+    # what was due is scored, has failed again, or is not there any more
+    state = retry.where(~is_due).join(scored.select(*DOC_KEY), list(DOC_KEY), "left_anti").select(*RETRY.names).unionByName(
+        failed.select(*RETRY.names))
     side = {f"retry {writer}": table.write_side(state)}
     kept = table.read_side(type(base)(side=side), f"retry {writer}", RETRY)
     waiting = kept.agg(F.count_if("given_up"), F.count_if(~F.col("given_up"))).first()

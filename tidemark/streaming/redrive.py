@@ -42,7 +42,8 @@ def redrive_dead_letters(table: VersionedTable, repair: Callable[[Column], Colum
     """Try the envelope table's due dead letters again: ``repair`` makes a new value of the old one.
 
     A value that is JSON now is routed as if it had arrived so, under the record's own topic, partition and
-    offset. Only folders that hold a repaired letter are rewritten. Returns the notes
+    offset. Only folders that hold a repaired letter are rewritten. Letters without an offset cannot be told
+    apart and stay as they are. Returns the notes
     (tried, repaired, waiting, given_up), or None if the batch was done.
     """
     now = time.time() if now is None else now
