@@ -33,13 +33,29 @@ def intervals(records: DataFrame) -> DataFrame:
 
 
 def merged(ledger: DataFrame, more: DataFrame) -> DataFrame:
-    """The ledger with more intervals (any, overlapping or touching ones too), disjoint again."""
-    rows = ledger.unionByName(more)
-    by = Window.partitionBy(*_KEY).orderBy("lo", "hi")
+    """The ledger with more intervals (any, overlapping or touching ones too), disjoint again.
+
+    Intervals are merged within the span they begin in; of each span one row tells how far its intervals
+    reach, and from the rows of the spans before follows which interval goes on from an earlier one. Only
+    these rows (one a span) are gone through partition by partition.
+    """
+    rows = ledger.unionByName(more).withColumn("_span", _spans(F.col("lo")))
+    by = Window.partitionBy(*_KEY, "_span").orderBy("lo", "hi")
     before = F.max("hi").over(by.rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumn("_begins", (F.coalesce(F.col("lo") > before + 1, F.lit(True))).cast("int"))
     rows = rows.withColumn("_run", F.sum("_begins").over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    return rows.groupBy(*_KEY, "_run").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).select(*LEDGER.names)
+    runs = rows.groupBy(*_KEY, "_span", "_run").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    # the runs of a span do not touch each other: those within what earlier spans reach come first, and all
+    # of these belong to the last run that begins in an earlier span
+    earlier = Window.partitionBy(*_KEY).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    ends = runs.groupBy(*_KEY, "_span").agg(F.max("lo").alias("_last"), F.max("hi").alias("_hi"))
+    ends = ends.withColumn("_reach", F.max("_hi").over(earlier))
+    ends = ends.withColumn("_from", F.max(F.when(F.coalesce(F.col("_last") > F.col("_reach") + 1, F.lit(True)), F.col("_last"))).over(earlier))
+    names = [*_KEY, "_span"]
+    ends = ends.select(*[F.col(k).alias(f"_of_{k}") for k in names], "_reach", "_from")
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in names]
+    runs = runs.join(ends, same).withColumn("_at", F.when(F.col("lo") <= F.col("_reach") + 1, F.col("_from")).otherwise(F.col("lo")))
+    return runs.groupBy(*_KEY, "_at").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).select(*LEDGER.names)
 
 
 def not_stored(records: DataFrame, ledger: DataFrame) -> DataFrame:
