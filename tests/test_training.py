@@ -66,3 +66,17 @@ def test_windows_over_a_bucketed_table_need_no_exchange(spark, tmp_path):
     # a rebuild replaces the table
     assert write_bucketed(df.limit(10), "test_bars", ["symbol", "month"], ["date"], 6, str(tmp_path / "bars2")).count() == 10
     spark.sql("DROP TABLE test_bars")
+
+
+def test_training_reads_the_stored_frame_and_computes_it_once(spark, tmp_path):
+    from tidemark.plans import ml_queries as Q
+    (spark.range(600).selectExpr("id event_id", "timestamp_seconds(1704067200 + id * 3600) ts", "id % 7 user_id",
+                                 "element_at(array('click', 'view', 'error', 'purchase', 'signup'), cast(id % 5 + 1 as int)) event_type",
+                                 "100.0D + id % 31 value", "'{}' props").write.parquet(str(tmp_path / "events.parquet")))
+    d = str(tmp_path)
+    for frame, keys in ((Q._features(spark, d), {"date", "symbol"}), (Q._feature_frame(spark, d), {"date", "symbol", "target_price", "split"})):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan parquet" in plan and not any(step in plan for step in ("Exchange", "Window", "Join", "ExistingRDD"))
+        assert keys <= set(frame.columns) and frame.count()
+    assert Q._feature_frame(spark, d).inputFiles() == Q._feature_frame(spark, d).inputFiles()
+    assert Q.q_ml_split_rows(spark, d).count() == Q._feature_frame(spark, d).count()

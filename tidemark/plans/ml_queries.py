@@ -13,16 +13,21 @@ ML_FEATURES = list(K.FEATURES)
 
 
 def _features(spark, d):
-    """Bars with forward-filled daily sentiment (P1 over bars), the newest row of a symbol included."""
+    """Bars with forward-filled daily sentiment (P1 over bars), the newest row of a symbol included; stored once a session."""
     from tidemark.plans.training import prepare_from_bars
-    f = prepare_from_bars(B.bars(spark, d), _mapped_daily(spark, d))
-    return f.select("date", "symbol", *ML_FEATURES)
+
+    def build():
+        f = prepare_from_bars(B.bars(spark, d), _mapped_daily(spark, d))
+        return f.select("date", "symbol", *ML_FEATURES)
+    return B._stored(spark, ("features", d), build)
 
 
 def _feature_frame(spark, d):
-    """The features with the next row's target, split."""
+    """The features with the next row's target, split (P3); stored once a session, as training reads it several times
+    and its passes over the trees then have as many tasks as the stored files' splits, not as the shuffles before."""
     from tidemark.operators.ml import add_split_features
-    return add_split_features(_features(spark, d), "open", ("date", "symbol"), ("symbol",), _bucket())
+    return B._stored(spark, ("feature_frame", d), lambda: add_split_features(
+        _features(spark, d), "open", ("date", "symbol"), ("symbol",), _bucket()))
 
 
 _FITTED: dict = {}
