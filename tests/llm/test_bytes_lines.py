@@ -255,6 +255,23 @@ def test_a_key_of_very_many_lines(spark, monkeypatch):
     assert not any(out[d] for d in out if d % 2 == 0) and sum(out.values()) >= 37
 
 
+def test_no_line_of_a_key_of_very_many_is_left_out(spark, monkeypatch):
+    """Three quarters of each line are the same in all, so that most share all their least hashes and the pairs that
+    repeat each other differ from the first of them; every pair is found, in blocks of a few lines too."""
+    import tidemark.llm.line_dedup as M
+    monkeypatch.setattr(M, "BLOCK", 16, raising=False)
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
+    head, rows = [word() for _ in range(24)], []
+    for k in range(60):
+        own = [word() for _ in range(8)]
+        again = list(own)
+        again[k % 8] = word()
+        rows += [(2 * k, " ".join(head + own)), (2 * k + 1, " ".join(head + again))]
+    out = {r["doc_id"]: r["n_removed"] for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert not any(out[d] for d in out if d % 2 == 0) and sum(out.values()) >= 59
+
+
 ITEM = "the quick brown fox jumps over the lazy dog while seven wizards brew potent quaffs tonight"
 
 
