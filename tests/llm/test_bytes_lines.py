@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import suffix_dedup as S
 from tidemark.llm.decontaminate import decontaminate, find_contamination
-from tidemark.llm.line_dedup import dedup_lines, line_table
+from tidemark.llm.common import stage
+from tidemark.llm.line_dedup import _by_key, bag_words, dedup_lines, gram_table, line_table
 
 
 def test_suffix_array_and_prefixes():
@@ -275,6 +276,57 @@ def test_no_line_of_a_key_of_very_many_is_left_out(spark, monkeypatch):
 ITEM = "the quick brown fox jumps over the lazy dog while seven wizards brew potent quaffs tonight"
 
 
+def test_shuffle_files_of_a_staged_table_go(spark):
+    import time
+
+    def kept():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {n for i in range(files.size()) if (n := files.apply(i).getName()).startswith("shuffle_")}
+    before = kept()
+    out = stage(spark.range(20_000).groupBy(F.xxhash64("id").alias("k")).count(), "test-cleanup")
+    for _ in range(50):
+        if not kept() - before:
+            break
+        time.sleep(0.1)
+    assert not kept() - before and out.count() == 20_000
+
+
+def test_bags_differ_by_no_more_than_edits(spark):
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz 0159äßжщ中\U00020000\U0001D400"
+    pairs, far = [], 0
+    for n in (1, 5, 30, 130, 700):
+        for edits in (0, 1, 2, n // 10, n // 3):
+            x = [rng.choice(letters) for _ in range(n)]
+            y = list(x)
+            for _ in range(edits):
+                at = rng.randrange(len(y)) if y else 0
+                y[at:at + rng.randint(0, 1)] = rng.choice(([], [rng.choice(letters)], ["e"]))
+            pairs.append(("".join(x), "".join(y), edits))
+    other = ["".join(rng.choice(letters[:26]) for _ in range(110)) for _ in range(2)]
+    pairs.append((*other, 110))
+    df = spark.createDataFrame(pairs, "x string, y string, edits int")
+    df = df.withColumn("d", sum((F.bit_count(a.bitwiseXOR(b)) for a, b in zip(bag_words(F.col("x")), bag_words(F.col("y")))), F.lit(0)))
+    rows = df.withColumn("lev", F.levenshtein("x", "y")).collect()
+    assert len(rows) == 26 and all(r.d <= 2 * r.lev for r in rows)
+    far = [r.d for r in rows if r.edits == 110]
+    assert far[0] > 22          # twice the edits that a line of 110 characters may have
+
+
+def test_keys_of_one_line_are_not_made(spark):
+    rng = random.Random(9)
+    line = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 8))) for _ in range(60)]
+    other = [[w[::-1] + "x" for w in rng.sample(line, 60)] for _ in range(30)]
+    docs = [(0, " ".join(line)), (1, " ".join(line[:59] + ["another"])), *[(2 + k, " ".join(o)) for k, o in enumerate(other)]]
+    grams = gram_table(spark.createDataFrame(docs, "doc_id long, text string"), 20).withColumn("id", F.col("doc_id"))
+    by = {}
+    for r in _by_key(grams).collect():
+        by.setdefault(r.key, set()).add(r.id)
+    assert any(v == {0, 1} for v in by.values())
+    # without the counting of hashes before, every line has ten keys
+    assert sum(map(len, by.values())) < 60
+
+
 def test_contamination(spark):
     w = ITEM.split()
     substituted = " ".join(["slow" if k in (4, 11) else x for k, x in enumerate(w)])
