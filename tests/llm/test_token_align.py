@@ -147,6 +147,16 @@ def test_groups_of_very_many_tokens(monkeypatch):
     assert got == want and found.counts()[3] == [sum(n for (_, g), n in want.items() if g < 3), sum(n for (_, g), n in want.items() if g >= 3)]
 
 
+@pytest.mark.parametrize("by_parts", [True, False])
+def test_parts_of_texts(by_parts, monkeypatch):
+    one = aligner(BYTE_TOKENIZER, PIECE_MODEL)
+    monkeypatch.setattr(one, "by_parts", by_parts)
+    texts = ["a b a", "", "  c", "a b a", " "]
+    parts, of, offsets = one.parts(texts)
+    got = [[parts[k] for k in of[x:y]] for x, y in zip(offsets[:-1], offsets[1:], strict=True)]
+    assert got == ([["a", "b", "a"], [], ["  c"], ["a", "b", "a"], [" "]] if by_parts else [["a b a"], [], ["  c"], ["a b a"], [" "]])
+
+
 def test_counts_of_a_pair_table(spark):
     texts = ["the cat", "the dog", "the cat the cat"]
     docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)

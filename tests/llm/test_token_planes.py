@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import plane_files as P
 from tidemark.llm.queries import BYTE_TOKENIZER, op12_token_planes
-from tidemark.llm.token_ids import IdEncoder, cut_at_blanks
+from tidemark.llm.token_ids import IdEncoder, cut_at_blanks, distinct_parts
 
 PIECES = ["a", "B", " ", "  ", "\n", " \n", "\t", "'s", "'", "9", "12", ".", ",", "é", "漢字", " ", "　", "\x1c",
           "\x85", "word", "The", "<|endoftext|>", "▁", "🙂", "é"]
@@ -45,6 +45,23 @@ def test_ids_equal_the_librarys(library, special_as_text):
     library.encode_special_tokens = False
 
 
+def test_distinct_parts_are_the_cuts():
+    rng = random.Random(6)
+    texts = ["".join(rng.choice(PIECES) for _ in range(rng.randrange(30))) for _ in range(300)] + ["", " ", "a b a b"]
+    for some in (texts, texts[-1:], [""], []):
+        parts, of, offsets = distinct_parts(some)
+        assert len(set(parts)) == len(parts)
+        assert [[parts[k] for k in of[x:y]] for x, y in zip(offsets[:-1], offsets[1:], strict=True)] == list(map(cut_at_blanks, some))
+
+
+def test_a_part_is_looked_up_once_for_all_texts(monkeypatch):
+    encoder, asked = IdEncoder(BYTE_TOKENIZER), []
+    learn = encoder.memory.learn
+    monkeypatch.setattr(encoder.memory, "learn", lambda parts: asked.append(len(parts)) or learn(parts))
+    encoder.encode([" ".join(f"word{k % 50}" for k in range(j, j + 3000)) for j in range(100)])
+    assert sum(asked) <= 100        # two million characters are cut at once (before: four times as many looks)
+
+
 def test_memory_is_bounded(library, monkeypatch):
     import tidemark.llm.token_ids as M
     monkeypatch.setattr(M, "REMEMBERED", 50)

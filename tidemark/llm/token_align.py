@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm.common import python_batches, stage
 from tidemark.llm.perfect_hash import PerfectHash, mixed
-from tidemark.llm.token_ids import MARKS, IdEncoder, Memory, slices
+from tidemark.llm.token_ids import MARKS, IdEncoder, Memory, distinct_parts, joined, slices
 
 #: Segments of the distinct pairs. A pair is two ids, so a segment holds at most |A| x |B| / 256 pairs
 #: (6.3 million for vocabularies of 50,257 and 32,000).
@@ -87,11 +87,18 @@ class Aligner:
         # a mark behind a word is a part of its own where no piece goes on from a letter to a mark
         self.marks = "" if any(x[-1:].isalpha() for p in proto.pieces for m in MARKS for x in p.piece.split(m)[:-1]) else MARKS
 
-    def cuts(self, memory: Memory, texts: list[str]) -> tuple[list[list[str]], set[str]]:
-        """The parts of each text, of an empty one none; and all parts."""
-        cut, parts = memory.cuts(texts) if self.by_parts else ([[t] for t in texts], set(texts))
-        parts.discard("")
-        return [c if t else [] for c, t in zip(cut, texts, strict=True)], parts
+    def parts(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """``distinct_parts`` of the texts; an empty one has none."""
+        if self.by_parts:
+            parts, of, offsets = distinct_parts(texts)
+        else:
+            number: dict[str, int] = {}
+            of = np.array([number.setdefault(t, len(number)) for t in texts], dtype=np.int64)
+            parts, offsets = list(number), np.arange(len(texts) + 1)
+        if "" in parts:
+            kept = of != parts.index("")
+            of, offsets = of[kept], np.concatenate([[0], np.cumsum(kept)])[offsets]
+        return parts, of, offsets
 
     def aligned(self, parts: list[str]) -> Aligned | None:
         """All parts (a blank stands before each) as one text to both; None if one of them is not to come back byte for byte."""
@@ -208,14 +215,11 @@ def _pairs_of_task(path_a: str, path_b: str):
         for batch in batches:
             texts = [t or "" for t in batch.column(0).to_pylist()]
             for a, b in slices(texts, AT_ONCE):
-                cut, every = one.cuts(memory, texts[a:b])
-                found = memory.learn(every)
-                of_docs = []
-                for parts in cut:
-                    pairs = list(map(found.__getitem__, set(parts)))
-                    if pairs and None not in pairs:
-                        of_docs.append(np.unique(np.frombuffer(b"".join(pairs), dtype=one.kind)))
-                memory.forget()
+                parts, of, offsets = one.parts(texts[a:b])
+                pairs = _made(memory, parts)
+                without = _has(pairs, of, offsets)
+                pairs = joined(pa.array([x or b"" for x in pairs], pa.large_binary()), of, offsets).to_pylist()
+                of_docs = [np.unique(np.frombuffer(x, dtype=one.kind)) for x, no in zip(pairs, without, strict=True) if x and not no]
                 if of_docs:
                     held.append(np.unique(np.concatenate(of_docs), return_counts=True))
                     loose += len(held[-1][0])
@@ -230,6 +234,25 @@ def _pairs_of_task(path_a: str, path_b: str):
     return work
 
 
+def _made(memory: Memory, parts: list[str]) -> list:
+    """What the memory has of each part; None of an empty one."""
+    found = memory.learn({p for p in parts if p})
+    out = [found[p] if p else None for p in parts]
+    memory.forget()
+    return out
+
+
+def _has(made: list, of: np.ndarray, offsets: np.ndarray) -> list[bool]:
+    """Whether each text has a part of which there is nothing."""
+    none = np.array([x is None for x in made], dtype=np.int64)
+    return (_sums(none, of, offsets) > 0).tolist()
+
+
+def _sums(of_parts: np.ndarray, of: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Of each text the sum of its parts' values."""
+    return np.diff(np.concatenate([[0], np.cumsum(of_parts[of])])[offsets])
+
+
 #: Seed of the hash that deals pairs to segments (others than the levels of the perfect hashes).
 LEVEL_OF_SEGMENTS = 1 << 20
 _MEMORIES: dict = {}
@@ -445,33 +468,34 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id",
         one = aligner(path_a, path_b)
         memory = _memory((run, path_a, path_b), one, _scored(one, shared.value) if small else _linked(one), _together, REMEMBERED)
         row = TaskContext.get().partitionId() << 33
+        nothing = ("", 0, 0, 0, 0, 0, 0, True, b"", b"")
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for a, b in slices(texts, AT_ONCE):
-                cut, every = one.cuts(memory, texts[a:b])
-                found = memory.learn(every)
-                out = {f.name: [] for f in schema.fields[1:]}
-                for parts in cut:
-                    got = list(map(found.__getitem__, parts))
-                    if None in got:
-                        got = []
-                    by_column = list(zip(*got)) or [()] * 10
-                    if small and not all(by_column[7]):
-                        raise RuntimeError("the table of pairs does not hold a pair of these documents")
-                    for c, values in zip(_COLUMNS, by_column[1:7], strict=True):
-                        out[c].append(sum(values))
-                    said = ";".join(by_column[0])
-                    out["groups_sha256"].append(hashlib.sha256(said.encode()).hexdigest() if got else "")
-                    if with_groups:
-                        out["groups"].append(said)
-                    if not small:
-                        keys, at = np.unique(np.frombuffer(b"".join(by_column[8]), dtype="<i8"), return_inverse=True)
-                        times = np.frombuffer(b"".join(by_column[9]), dtype="<i8")
-                        out["row"].append(row)
+                parts, of, offsets = one.parts(texts[a:b])
+                made = _made(memory, parts)
+                without = np.array(_has(made, of, offsets)) | (offsets[1:] == offsets[:-1])
+                made = [x or nothing for x in made]
+                if small and (~without & (_sums(np.array([not x[7] for x in made], dtype=np.int64), of, offsets) > 0)).any():
+                    raise RuntimeError("the table of pairs does not hold a pair of these documents")
+                out = {}
+                for k, c in enumerate(_COLUMNS, 1):
+                    out[c] = np.where(without, 0, _sums(np.array([x[k] for x in made], dtype=np.int64), of, offsets))
+                said = joined(pa.array([x[0] for x in made], pa.large_string()), of, offsets, ";").to_pylist()
+                said = ["" if no else x for x, no in zip(said, without.tolist(), strict=True)]
+                out["groups_sha256"] = [hashlib.sha256(x.encode()).hexdigest() if x else "" for x in said]
+                if with_groups:
+                    out["groups"] = said
+                if not small:
+                    out["row"] = row + np.arange(len(said))
+                    row += len(said)
+                    out["pairs"], out["times"] = [], []
+                    of_docs = [joined(pa.array([x[k] for x in made], pa.large_binary()), of, offsets).to_pylist() for k in (8, 9)]
+                    for pairs, times, no in zip(*of_docs, without.tolist(), strict=True):
+                        pairs, times = (np.frombuffer(b"" if no else x, dtype="<i8") for x in (pairs, times))
+                        keys, at = np.unique(pairs, return_inverse=True)
                         out["pairs"].append(keys.astype(np.int64))
                         out["times"].append(np.bincount(at, weights=times, minlength=len(keys)).astype(np.int64))
-                        row += 1
-                memory.forget()
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a)] + [pa.array(out[f.name], _ARROW[f.dataType.simpleString()]) for f in schema.fields[1:]],
                     [f.name for f in schema.fields])

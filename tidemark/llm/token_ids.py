@@ -12,13 +12,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from tidemark.llm.common import python_batches
 
 #: Parts that a generation of a worker's memory holds, characters up to which a part is worth it,
 #: and characters of texts that are cut and encoded at once.
-REMEMBERED, LONGEST, AT_ONCE = 60_000, 48, 500_000
+REMEMBERED, LONGEST, AT_ONCE = 300_000, 48, 2_000_000
 
 #: Marks that are a pre-token of their own between a letter and a blank.
 MARKS = ".,;:!?"
@@ -41,11 +42,41 @@ def cut_at_blanks(text: str) -> list[str]:
     return out
 
 
+def distinct_parts(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """``cut_at_blanks`` of every text: the distinct parts, the number of each text's parts among
+    them, one text after the other, and where each text's begin and end in that."""
+    if not texts:
+        return [], np.zeros(0, dtype=np.int64), np.zeros(1, dtype=np.int64)
+    cut = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+    words, offsets = cut.flatten().dictionary_encode(), cut.offsets.to_numpy()
+    parts = _strings(words.dictionary)
+    odd = [k for k, p in enumerate(parts) if not p or p[0].isspace()]
+    if odd:     # some blanks are no cuts; a text with one is cut in a loop
+        is_odd = np.zeros(len(parts), dtype=bool)
+        is_odd[odd] = True
+        cut = cut.to_pylist()
+        for k in np.flatnonzero(np.add.reduceat(is_odd[words.indices.to_numpy()], offsets[:-1])).tolist():
+            cut[k] = cut_at_blanks(texts[k])
+        offsets = np.concatenate([[0], np.cumsum([len(c) for c in cut])])
+        words = pa.array([p for c in cut for p in c], pa.large_string()).dictionary_encode()
+        parts = _strings(words.dictionary)
+    return parts, words.indices.to_numpy().astype(np.int64), offsets
+
+
+def _strings(a: pa.Array) -> list[str]:
+    return a.to_numpy(zero_copy_only=False).tolist()
+
+
+def joined(of_parts: pa.Array, of: np.ndarray, offsets: np.ndarray, between: str | bytes = b"") -> pa.Array:
+    """Of each text its parts' values one behind the other; ``of`` and ``offsets`` as ``distinct_parts`` gives them."""
+    lists = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), of_parts.take(pa.array(of)))
+    return pc.binary_join(lists, pa.scalar(between, of_parts.type))
+
+
 class Memory:
     """Parts of texts and what was made of them: two generations, the older one goes when the newer is full.
 
-    ``cuts`` cuts texts, ``learn`` makes what is not known yet, ``new`` then holds all
-    of it until ``forget``.
+    ``learn`` makes what is not known yet, ``new`` then holds all of it until ``forget``.
     """
 
     def __init__(self, make, remembered: int | None = None):
@@ -55,17 +86,6 @@ class Memory:
         self.old: dict = {}
         self.passing: list[str] = []
 
-    def cuts(self, texts: list[str]) -> tuple[list[list[str]], set[str]]:
-        """``cut_at_blanks`` of every text, without its loop where no part is empty or begins with white space; and all parts."""
-        cut = [t.split(" ") for t in texts]
-        parts = set().union(*cut)
-        # what is remembered is not odd
-        odd = {p for p in parts - self.new.keys() if not p or p[0].isspace()}
-        if odd:
-            cut = [c if odd.isdisjoint(c) else cut_at_blanks(t) for c, t in zip(cut, texts, strict=True)]
-            parts = set().union(*cut)
-        return cut, parts
-
     def learn(self, parts: set[str]) -> dict:
         """``new``, with a result for each of ``parts``."""
         missing = parts - self.new.keys()
@@ -88,7 +108,7 @@ class Memory:
     def by_words(self, parts: list[str], make, of_mark: dict, add) -> list:
         """``make`` of ``parts``, of which a word (ending in a Latin letter) with a mark behind it is
         ``add`` of the word's result, known or made, and the mark's."""
-        word = [p[:-1] if len(p) > 1 and p[-1] in of_mark and p[-2] < "\u0250" and p[-2].isalpha() else None for p in parts]
+        word = [p[:-1] if p[-1:] in of_mark and p[-2:-1].isalpha() and p[-2] < "\u0250" else None for p in parts]
         words = {w for w in word if w}
         known = {w: self.new[w] for w in words & self.new.keys()}
         known.update((w, self.old[w]) for w in (words - known.keys()) & self.old.keys())
@@ -154,18 +174,28 @@ class IdEncoder:
             out.insert(k, x)
         return out
 
+    def _by_words(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts without special strings: each distinct part of all of them is looked up once."""
+        parts, of, offsets = distinct_parts(texts)
+        # the part that begins a text has no blank before it
+        first = self.whole([parts[k] for k in of[offsets[:-1]].tolist()])
+        of = np.delete(of, offsets[:-1])
+        used = np.flatnonzero(np.bincount(of, minlength=len(parts)))
+        place = np.zeros(len(parts), dtype=np.int64)
+        place[used] = np.arange(len(used))
+        used = [parts[k] for k in used.tolist()]
+        found = self.memory.learn(set(used))
+        ids = pa.array(list(map(found.__getitem__, used)), pa.large_binary())
+        self.memory.forget()
+        rest = joined(ids, place[of], offsets - np.arange(len(offsets))).to_pylist()
+        return [f + r for f, r in zip(first, rest, strict=True)]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         out: list = [None] * len(texts)
         plain = [k for k, t in enumerate(texts) if self.by_parts and not any(s in t for s in self.apart)]
         for a, b in slices([texts[k] for k in plain]):
-            of = plain[a:b]
-            cut, _ = self.memory.cuts([texts[k] for k in of])
-            first = self.whole([c[0] for c in cut])
-            rest = [c[1:] for c in cut]
-            result = self.memory.learn(set().union(*rest)).__getitem__
-            for k, f, r in zip(of, first, rest, strict=True):
-                out[k] = f + b"".join(map(result, r))
-            self.memory.forget()
+            for k, x in zip(plain[a:b], self._by_words([texts[k] for k in plain[a:b]]), strict=True):
+                out[k] = x
         left = [k for k, x in enumerate(out) if x is None]
         for k, x in zip(left, self.whole([texts[k] for k in left]) if left else [], strict=True):
             out[k] = x
@@ -185,7 +215,7 @@ def encode_ids(docs: DataFrame, tokenizer: str, end_id: int | None = None, text:
     Rows stay where and in the order they are. A null text counts as empty;
     ``end_id`` is appended to every document. An older column ``ids`` is replaced.
     """
-    python_batches(docs.sparkSession, 200)
+    python_batches(docs.sparkSession, 500)
     keep = [c for c in docs.columns if c.lower() not in (text.lower(), ids.lower())]
     schema = docs.select(*keep).schema.add(ids, "binary")
 
