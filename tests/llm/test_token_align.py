@@ -149,7 +149,7 @@ def test_groups_of_very_many_tokens(monkeypatch):
 
 @pytest.mark.parametrize("by_parts", [True, False])
 def test_parts_of_texts(by_parts, monkeypatch):
-    one = aligner(BYTE_TOKENIZER, PIECE_MODEL)
+    one = A.aligner(BYTE_TOKENIZER, PIECE_MODEL)
     monkeypatch.setattr(one, "by_parts", by_parts)
     texts = ["a b a", "", "  c", "a b a", " "]
     parts, of, offsets = one.parts(texts)
