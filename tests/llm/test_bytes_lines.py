@@ -273,6 +273,84 @@ def test_no_line_of_a_key_of_very_many_is_left_out(spark, monkeypatch):
     assert not any(out[d] for d in out if d % 2 == 0) and sum(out.values()) >= 59
 
 
+def test_lines_that_share_only_a_phrase_are_not_all_held_together(spark, monkeypatch):
+    """Lines of a frequent key meet again only under rarer hashes; those that repeat one another are still found."""
+    import tidemark.llm.line_dedup as M
+    blocks, in_blocks = [], M.in_blocks
+    monkeypatch.setattr(M, "in_blocks", lambda *a, **b: blocks.append(1) or in_blocks(*a, **b))
+    monkeypatch.setattr(M, "ROUND_LINES", 10, raising=False)
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
+    head, rows = [word() for _ in range(11)], []
+    for k in range(150):
+        own = [word() for _ in range(21)]
+        rows.append((2 * k, " ".join(head + own)))
+        if k % 3 == 0:
+            own[k % 21] = word()
+            rows.append((2 * k + 1, " ".join(head + own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lines = gram_table(docs, 20).withColumn("id", F.xxhash64("h1"))
+    assert _by_key(lines).groupBy("key").count().agg(F.max("count")).first()[0] > M.TOGETHER
+    out = {r["doc_id"]: r["n_removed"] for r in dedup_lines(docs).collect()}
+    assert not blocks
+    assert not any(out[d] for d in out if d % 2 == 0) and sum(out.values()) >= 49
+
+
+@pytest.mark.parametrize("few", [2, 256])
+def test_refined_keys_lose_no_pair_that_agrees(spark, monkeypatch, few):
+    """All pairs of lines that agree in enough sampled hashes are met under their rarest common ones, at any depth."""
+    import tidemark.llm.line_dedup as M
+    monkeypatch.setattr(M, "FEW", few)
+    monkeypatch.setattr(M, "DIFFER", 64)
+    rng = random.Random(4)
+    common, rows = [rng.randrange(1 << 30) for _ in range(24)], []
+    for k in range(60):
+        z = rng.choice((1, 2, 5, 12, 14, 16, 16, 16))
+        kept = rng.sample(common, min(z, rng.randint(0, 12)))
+        rows.append((k, [*kept, *[rng.randrange(1 << 30, 1 << 31) for _ in range(z - len(kept))]]))
+    lines = spark.createDataFrame([(i, sorted(h), None, 0, 0, 100) for i, h in rows],
+                                  "id long, sample0 array<int>, sample1 array<int>, sketch0 long, sketch1 long, n_chars int")
+    # the sketch tells a line's two kinds apart
+    lines = lines.withColumn("sketch1", F.lit(1).cast("long"))
+    ranked = stage(M._ranked(lines.select("id", F.col("id").alias("c")), lines), "test-ranked")
+    parents, pairs, wide = M._rarest(ranked), [], []
+    for depth in range(2, M.DEEPEST + 1):
+        level = M._level(parents, depth, 2, 0.9)
+        pairs.append(level.where("a is not null").select("a", "b"))
+        rest = level.where("key is not null")
+        parents = rest.withColumn("c", F.col("id")).join(ranked.select("id", "sketch", "t", "h"), ["id", "sketch"])
+        wide.append(parents.where(f"t <= {depth if depth < M.DEEPEST else 16}").select("key", "id"))
+    last = pairs[0].where("false")
+    for w in wide:
+        last = last.unionByName(w.alias("x").join(w.alias("y"), "key").where("x.id < y.id").selectExpr("x.id a", "y.id b"))
+    for p in pairs:
+        last = last.unionByName(p)
+    got = {(r.a, r.b) for r in M._agreeing(last.distinct(), [], lines).collect()}
+
+    def agree(x, y):
+        z = max(len(x), len(y))
+        return len(set(x) & set(y)) >= max(min(z, 2), z - M.MISSES)
+    want = {(i, j) for i, x in rows for j, y in rows if i < j and agree(x, y)}
+    assert len(want) > 20 and got == want
+
+
+def test_distance_without_equal_ends(spark):
+    from tidemark.llm.line_dedup import _within
+    rng = random.Random(6)
+    letters, pairs = "abc é中\U00020000", []
+    for n in (0, 1, 2, 7, 40, 130):
+        for edits in (0, 1, 2, 5, 13, 40):
+            x = [rng.choice(letters) for _ in range(n)]
+            y = list(x)
+            for _ in range(edits):
+                at = rng.randrange(len(y)) if y else 0
+                y[at:at + rng.randint(0, 1)] = rng.choice(([], [rng.choice(letters)]))
+            pairs += [("".join(x), "".join(y), k) for k in (0, 1, 3, 13)]
+    df = spark.createDataFrame(pairs, "x string, y string, allowed int")
+    rows = df.select(_within(F.col("x"), F.col("y"), F.col("allowed")).alias("got"), (F.levenshtein("x", "y") <= F.col("allowed")).alias("want")).collect()
+    assert all(r.got == r.want for r in rows) and {r.want for r in rows} == {True, False}
+
+
 ITEM = "the quick brown fox jumps over the lazy dog while seven wizards brew potent quaffs tonight"
 
 
