@@ -163,3 +163,41 @@ def test_vectors_against_brute_force(spark):
         assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in out} == {d: (n[d], comp[d]) for d in ids}
         assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in out) and len(out) == len(rows)
     assert link_vectors(df.limit(0)).collect() == []
+
+
+def test_vectors_in_rounds(spark, monkeypatch):
+    """Single precision, many vectors of a label, cells by parts: the same as in one round, and no copies are staged."""
+    import tidemark.llm.vector_dedup as V
+    rng = np.random.default_rng(7)
+    base = rng.normal(size=(40, 24))
+    v = (base[rng.integers(0, 40, 400)] + rng.normal(size=(400, 24)) * rng.choice([0.02, 0.1, 0.2], size=(400, 1))).astype(np.float32)
+    v[50:60] = v[40]
+    x = v.astype(np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    label = [int(k) for k in rng.integers(0, 2, 400)]
+    links = [(a, b) for a in range(400) for b in range(a + 1, 400) if label[a] == label[b] and x[a] @ x[b] >= 0.98]
+    comp = _union(list(range(400)), links)
+    n = np.bincount(np.array(links).ravel(), minlength=400)
+    df = spark.createDataFrame([(k, [float(f) for f in v[k]], label[k]) for k in range(400)], "vec_id long, embedding array<float>, label int")
+    staged, stage = [], V.stage
+    monkeypatch.setattr(V, "stage", lambda d, name: staged.append((name, d.columns)) or stage(d, name))
+    monkeypatch.setattr(V, "WIDE", 1, raising=False)
+    for kw in ({"block_rows": 20, "round_rows": 30}, {"block_rows": 7, "round_rows": 200, "blocks": 3}):
+        out = link_vectors(df, **kw).collect()
+        assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in out} == {k: (n[k], comp[k]) for k in range(400)}
+    assert len(links) > 500 and sum(name == "vec-links" for name, _ in staged) == 16 + 3      # 400 vectors by 30: 8 blocks in 2 parts
+    assert not any("x" in columns for _, columns in staged)
+
+
+def test_near_points_meet_in_one_cell():
+    from tidemark.llm.vector_dedup import _cells
+    rng = np.random.default_rng(2)
+    g = np.concatenate([rng.normal(size=(150, 4)) * 0.1, [[0.25, 0, -0.25, 0.5], [0.25, 0, -0.25, 0.5]]])
+    row, key, home = _cells(g, 0.25, 0.07, 3)
+    assert sorted(row[home]) == list(range(len(g)))
+    for i in range(len(g)):
+        for j in range(i):
+            met = sum(len(set(key[(row == a) & home]) & set(key[row == b])) for a, b in ((i, j), (j, i)))
+            same = set(key[(row == i) & home]) == set(key[(row == j) & home])
+            if ((g[i] - g[j]) ** 2).sum() <= 0.07 ** 2:
+                assert met == (2 if same else 1)
