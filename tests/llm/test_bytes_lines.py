@@ -325,7 +325,7 @@ def test_refined_keys_lose_no_pair_that_agrees(spark, monkeypatch, few):
         last = last.unionByName(w.alias("x").join(w.alias("y"), "key").where("x.id < y.id").selectExpr("x.id a", "y.id b"))
     for p in pairs:
         last = last.unionByName(p)
-    got = {(r.a, r.b) for r in M._agreeing(last.distinct(), [], lines).collect()}
+    got = {(r.a, r.b) for r in M._agreeing(last.distinct(), [], ranked).collect()}
 
     def agree(x, y):
         z = max(len(x), len(y))
